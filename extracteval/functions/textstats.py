@@ -16,7 +16,8 @@ def response_length(text: Column | str) -> Column:
 def ngrams(tokens: Column, n: int) -> Column:
     """Contiguous n-grams (token arrays) of a token array; guarded against size < n."""
     last = F.size(tokens) - F.lit(n)
-    return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.slice(tokens, i + 1, n))
+    grams = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.slice(tokens, i + 1, n))
+    return F.when(last >= 0, grams).otherwise(F.array().cast("array<array<string>>"))
 
 
 def ngram_diversity(text: Column | str, n: int = 2) -> Column:
@@ -25,3 +26,9 @@ def ngram_diversity(text: Column | str, n: int = 2) -> Column:
     grams = ngrams(toks, n)
     ratio = F.size(F.array_distinct(grams)).cast("double") / F.size(grams).cast("double")
     return F.when(F.size(toks) < n, F.lit(0.0)).otherwise(round_half_even(ratio, 3))
+
+
+def distinct_ngrams(text: Column | str, n: int = 2) -> tuple[Column, Column]:
+    """(number of n-grams, number of distinct n-grams) of the lower-cased tokens."""
+    grams = ngrams(py_split(F.lower(col_(text))), n)
+    return F.size(grams), F.size(F.array_distinct(grams))

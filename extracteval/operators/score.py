@@ -37,21 +37,20 @@ def alignment_mismatch(outputs: DataFrame, cases: DataFrame) -> DataFrame:
     have = cases.select("test_id", F.lit(True).alias("has_case"))
     j = have.join(present, "test_id", "full_outer")
     labels = F.coalesce(F.col("labels"), F.array().cast("array<string>"))
-    missing = F.when(F.col("has_case").isNotNull(), F.array_except(all_labels, labels)).otherwise(F.array())
-    orphan = F.when(F.col("has_case").isNull(), labels).otherwise(F.array())
+    j = j.select(
+        "test_id",
+        F.when(F.col("has_case").isNotNull(), F.array_except(all_labels, labels)).alias("missing"),
+        F.when(F.col("has_case").isNull(), labels).alias("orphan"),
+    )
     probs = F.concat(
-        F.transform(missing, lambda l: F.struct(l.alias("label"), F.lit("no_output").alias("problem"))),
-        F.transform(orphan, lambda l: F.struct(l.alias("label"), F.lit("no_case").alias("problem"))),
+        F.transform(F.coalesce("missing", F.array().cast("array<string>")),
+                    lambda l: F.struct(l.alias("label"), F.lit("no_output").alias("problem"))),
+        F.transform(F.coalesce("orphan", F.array().cast("array<string>")),
+                    lambda l: F.struct(l.alias("label"), F.lit("no_case").alias("problem"))),
     )
     return j.select("test_id", F.explode(probs).alias("p")).select("p.label", "test_id", "p.problem")
 
 
-def score_columns(output: str = "output", expected: str = "expected") -> dict[str, Column]:
-    """Per-row metric columns: cleaned text once, validity, parsed prediction, accuracy, compliance."""
-    cleaned = jsonx.strip_fences(output)
-    return {"cleaned": cleaned, "compliance": scoring.format_compliance(output)}
-
-
 def _with_parsed(df: DataFrame, output: str = "output", expected: str = "expected") -> DataFrame:
     t = df.withColumn("_clean", jsonx.strip_fences(output))
     t = t.withColumn("_piece", jsonx.brace_slice("_clean"))

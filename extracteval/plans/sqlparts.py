@@ -81,12 +81,17 @@ def length(x: str) -> str:
     return f"CAST(len({split(x)}) AS BIGINT)"
 
 
-def diversity(x: str, n: int = 2) -> str:
-    toks = split(f"lower({x})")
-    grams = f"list_transform(range(len(t) - {n - 1}), lambda i: array_to_string(t[i + 1:i + {n}], ' '))"
-    ratio = f"CAST(len(list_distinct(g)) AS DOUBLE) / len(g)"
-    return (f"(SELECT CASE WHEN len(t) < {n} THEN 0.0 ELSE {r3(ratio)} END "
-            f"FROM (SELECT t, {grams} AS g FROM (SELECT {toks} AS t)))")
+def bigram_lists(x: str, n: int = 2) -> str:
+    """SELECT-list fragment: tokens t and n-grams g (joined by a space) of lower(x)."""
+    return (f"{split(f'lower({x})')} AS t")
+
+
+def grams(t: str = "t", n: int = 2) -> str:
+    return f"list_transform(range(len({t}) - {n - 1}), lambda i: array_to_string({t}[i + 1:i + {n}], ' '))"
+
+
+def diversity_of(t: str = "t", g: str = "g", n: int = 2) -> str:
+    return f"CASE WHEN len({t}) < {n} THEN 0.0 ELSE {r3(f'CAST(len(list_distinct({g})) AS DOUBLE) / len({g})')} END"
 
 
 X_CASES = """x_cases AS (

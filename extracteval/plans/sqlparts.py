@@ -185,3 +185,19 @@ SUMMARY_CTE = """summary AS (
       round_even(CAST(sum(CAST(field_accuracy AS DECIMAL(4,3))) AS DOUBLE) / count(*), 3) AS field_accuracy,
       round_even(CAST(sum(CAST(format_compliance AS DECIMAL(4,3))) AS DOUBLE) / count(*), 3) AS format_compliance
     FROM scored GROUP BY label))"""
+
+
+def lit(s: str) -> str:
+    """A Python string as a DuckDB expression (newlines via chr(10))."""
+    parts = ["'" + p.replace("'", "''") + "'" for p in s.split("\n")]
+    return "(" + " || chr(10) || ".join(parts) + ")"
+
+
+F1_CTE = """f1 AS (SELECT *, coalesce(CAST(chosen_rating AS DOUBLE), CAST(chosen_score AS DOUBLE), 0.0) AS chosen_value,
+  coalesce(input, question, prompt, '') AS prompt_text,
+  coalesce(CAST(rejected_rating AS DOUBLE), 0.0) AS rejected_value FROM x_pairs)"""
+F3_CTE = """f3 AS (SELECT * FROM f1 WHERE NOT (chosen_value <> 0 AND rejected_value <> 0 AND NOT isnan(chosen_value)
+  AND chosen_value = rejected_value) AND chosen_value >= 4.0 AND length(prompt_text) > 0
+  AND coalesce(length(chosen), 0) > 0 AND coalesce(length(rejected), 0) > 0)"""
+F4_CTE = """f4 AS (SELECT * FROM x_pairs WHERE coalesce(CAST(chosen_score AS DOUBLE), 0.0) >= 4.0
+  AND coalesce(length(input), 0) > 0 AND coalesce(length(chosen), 0) > 0 AND coalesce(length(rejected), 0) > 0)"""

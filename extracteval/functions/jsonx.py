@@ -34,13 +34,34 @@ def strip_fences(c: Column | str) -> Column:
     return py_strip(F.regexp_replace(col_(c), FENCE_RE, ""))
 
 
-def is_valid_json(c: Column | str) -> Column:
-    """R2 core: the text is exactly one JSON value under Python's grammar; null -> false."""
-    x = col_(c)
-    tag = F.md5(x)
+def _map_wrap_ok(x: Column, tag: Column) -> Column:
     wrapped = F.concat(F.lit('{"v":'), x, F.lit(',"'), tag, F.lit('":1}'))
     parsed = F.from_json(wrapped, "map<string,string>", _STRICT_JSON)
-    ok = (F.size(parsed) == 2) & F.map_contains_key(parsed, "v") & F.map_contains_key(parsed, tag)
+    return (F.size(parsed) == 2) & F.map_contains_key(parsed, "v") & F.map_contains_key(parsed, tag)
+
+
+def variant_wrap(x: Column) -> Column:
+    """``[x, "md5(x)"]`` parsed as VARIANT; the text is one JSON value iff element 1 is the tag."""
+    return F.try_parse_json(F.concat(F.lit("["), x, F.lit(',"'), F.md5(x), F.lit('"]')))
+
+
+def _wrap_ok(w: Column, x: Column) -> Column:
+    return F.try_variant_get(w, "$[1]", "string") == F.md5(x)
+
+
+def _non_numeric(x: Column) -> Column:
+    return F.instr(x, "NaN") + F.instr(x, "Infinity") > 0
+
+
+def is_valid_json(c: Column | str) -> Column:
+    """R2 core: the text is exactly one JSON value under Python's grammar; null -> false.
+
+    Variant parsing accepts trailing text and rejects NaN/Infinity, so the text is wrapped as
+    the first element of an array whose second element is the text's own md5 (unforgeable by
+    the text).  Texts mentioning NaN/Infinity take the slower map wrap whose parser accepts them.
+    """
+    x = col_(c)
+    ok = F.when(_non_numeric(x), _map_wrap_ok(x, F.md5(x))).otherwise(_wrap_ok(variant_wrap(x), x))
     return F.coalesce(ok, F.lit(False))
 
 
@@ -61,9 +82,19 @@ def brace_slice(cleaned: Column | str) -> Column:
 
 
 def parse_json_safe(output: Column | str) -> Column:
-    """A VARIANT object parsed from the brace slice; null stands for Python's ``{}``."""
-    piece = brace_slice(strip_fences(output))
-    return F.when(is_valid_json(piece), F.try_parse_json(piece))
+    """A VARIANT object parsed from the brace slice; null stands for Python's ``{}``.
+
+    Validity and parse share one Variant parse of the wrapped slice.  An object holding bare
+    NaN/Infinity parses to ``{}`` (Variant has no such numbers; declared deviation).
+    """
+    return parse_json_safe_clean(strip_fences(output))
+
+
+def parse_json_safe_clean(cleaned: Column | str) -> Column:
+    """R3 on text whose fences are already removed."""
+    piece = brace_slice(cleaned)
+    w = variant_wrap(piece)
+    return F.when(_wrap_ok(w, piece), F.try_variant_get(w, "$[0]", "variant"))
 
 
 def as_object_map(v: Column | str) -> Column:

@@ -13,12 +13,15 @@ from extracteval.functions.pytext import col_, py_float, py_strip, round_half_ev
 
 _INTEGRAL = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 
+# Higher-order functions evaluate interpreted: an expression repeated inside a lambda (or an outer
+# column captured by it) is re-evaluated per element.  So every value travels with its type string
+# ``t = schema_of_variant(v)`` computed once, and no lambda captures an outer expression.
 
-def vkind(v: Column) -> Column:
-    """Coarse kind of a VARIANT value: null, str, int, dec, dbl, bool, list, obj."""
-    t = F.schema_of_variant(v)
+
+def kind_of(t: Column) -> Column:
+    """Coarse kind from a variant type string: null, str, int, dec, dbl, bool, list, obj."""
     return (
-        F.when(v.isNull() | (t == "VOID"), F.lit("null"))
+        F.when(t.isNull() | (t == "VOID"), F.lit("null"))
         .when(t == "STRING", F.lit("str"))
         .when(t.isin(*_INTEGRAL), F.lit("int"))
         .when(t.startswith("DECIMAL"), F.lit("dec"))
@@ -29,94 +32,114 @@ def vkind(v: Column) -> Column:
     )
 
 
-def py_text(v: Column) -> Column:
-    """``str(value)`` of the Python object json.loads would build.
+def vkind(v: Column) -> Column:
+    return kind_of(F.schema_of_variant(v))
+
+
+def _is_num(t: Column) -> Column:
+    return t.isin(*_INTEGRAL, "DOUBLE", "FLOAT", "BOOLEAN") | t.startswith("DECIMAL")
+
+
+def py_text(v: Column, t: Column | None = None) -> Column:
+    """``str(value)`` of the Python object json.loads would build (t: the value's type string).
 
     Floats arrive as DECIMAL with trailing zeros dropped (1.0 -> DECIMAL(1,0) '1'), so a
     missing '.' gets '.0' back.  Objects and lists render as JSON text (declared deviation
     from Python's repr).
     """
-    k = vkind(v)
+    t = F.schema_of_variant(v) if t is None else t
     dec = v.cast("string")
     return (
-        F.when(k == "null", F.lit("None"))
-        .when(k == "str", F.variant_get(v, "$", "string"))
-        .when(k == "bool", F.when(F.variant_get(v, "$", "boolean"), F.lit("True")).otherwise(F.lit("False")))
-        .when(k == "dec", F.when(F.instr(dec, ".") > 0, dec).otherwise(F.concat(dec, F.lit(".0"))))
-        .when(k == "dbl", F.try_variant_get(v, "$", "double").cast("string"))
-        .when(k == "int", dec)
+        F.when(v.isNull() | (t == "VOID"), F.lit("None"))
+        .when(t == "STRING", F.variant_get(v, "$", "string"))
+        .when(t == "BOOLEAN", F.when(F.variant_get(v, "$", "boolean"), F.lit("True")).otherwise(F.lit("False")))
+        .when(t.startswith("DECIMAL"), F.when(F.instr(dec, ".") > 0, dec).otherwise(F.concat(dec, F.lit(".0"))))
+        .when(t.isin("DOUBLE", "FLOAT"), F.try_variant_get(v, "$", "double").cast("string"))
+        .when(t.isin(*_INTEGRAL), dec)
         .otherwise(F.to_json(v))
     )
 
 
-def as_number(v: Column) -> Column:
+def as_number(v: Column, t: Column) -> Column:
     """``float(value)``: numbers and bools convert, text by Python's float grammar, else null."""
-    k = vkind(v)
-    return (
-        F.when(k.isin("int", "dec", "dbl", "bool"), F.try_variant_get(v, "$", "double"))
-        .when(k == "str", py_float(F.variant_get(v, "$", "string")))
+    return F.when(_is_num(t), F.try_variant_get(v, "$", "double")).when(
+        t == "STRING", py_float(F.variant_get(v, "$", "string"))
     )
 
 
-def match_number(exp: Column, pred: Column) -> Column:
+def match_number(e: Column, et: Column, p: Column, pt: Column) -> Column:
     """1 when |float(pred) - float(exp)| < 0.01 (strict), else 0."""
-    diff = F.abs(as_number(pred) - as_number(exp))
+    diff = F.abs(as_number(p, pt) - as_number(e, et))
     return F.when(diff < F.lit(0.01), F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def _text_set(v: Column) -> Column:
+def text_set(v: Column) -> Column:
+    """Distinct lower-cased texts of a VARIANT list's elements."""
     items = F.try_variant_get(v, "$", "array<variant>")
-    return F.array_distinct(F.transform(items, lambda e: F.lower(py_text(e))))
+    typed = F.transform(items, lambda x: F.struct(x.alias("x"), F.schema_of_variant(x).alias("t")))
+    return F.array_distinct(F.transform(typed, lambda s: F.lower(py_text(s["x"], s["t"]))))
 
 
-def match_list(exp: Column, pred: Column) -> Column:
+def match_list(e: Column, p: Column, pt: Column) -> Column:
     """|distinct lower texts in both| / |distinct expected|; non-list prediction -> 0."""
-    e = _text_set(exp)
-    p = _text_set(pred)
-    share = F.size(F.array_intersect(e, p)).cast("double") / F.size(e).cast("double")
-    return F.when((vkind(pred) == "list") & (F.size(e) > 0), share).otherwise(F.lit(0.0))
+    es = text_set(e)
+    share = F.size(F.array_intersect(es, text_set(p))).cast("double") / F.size(es).cast("double")
+    return F.when(pt.startswith("ARRAY") & (F.size(es) > 0), share).otherwise(F.lit(0.0))
 
 
-def match_text(exp: Column, pred: Column) -> Column:
+def match_text(e: Column, et: Column, p: Column, pt: Column) -> Column:
     """Equal after lower+strip -> 1; lower(expected) inside lower(pred) -> 0.5; else 0."""
-    e = F.lower(py_text(exp))
-    p = F.lower(py_text(pred))
+    el = F.lower(py_text(e, et))
+    pl = F.lower(py_text(p, pt))
     return (
-        F.when(py_strip(p) == py_strip(e), F.lit(1.0))
-        .when(F.instr(p, e) > 0, F.lit(0.5))
+        F.when(py_strip(pl) == py_strip(el), F.lit(1.0))
+        .when(F.instr(pl, el) > 0, F.lit(0.5))
         .otherwise(F.lit(0.0))
     )
 
 
-def rule_of(exp: Column) -> Column:
+def rule_from(et: Column) -> Column:
     """Which rule applies to an expected value: number (bool included, X5), list or text."""
-    k = vkind(exp)
-    return (
-        F.when(k.isin("int", "dec", "dbl", "bool"), F.lit("number"))
-        .when(k == "list", F.lit("list"))
-        .otherwise(F.lit("text"))
+    return F.when(_is_num(et), F.lit("number")).when(et.startswith("ARRAY"), F.lit("list")).otherwise(F.lit("text"))
+
+
+def rule_of(exp: Column) -> Column:
+    return rule_from(F.schema_of_variant(exp))
+
+
+_EMPTY = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>"))
+
+
+def field_pairs(exp_map: Column | str, pred_map: Column | str) -> Column:
+    """MAP<key, STRUCT<e, et, p, pt>> over expected and predicted keys (``e`` null: extra key,
+    ``p`` null: key missing from the prediction; a present JSON null is a non-null VOID value)."""
+    return F.map_zip_with(
+        F.coalesce(col_(exp_map), _EMPTY),
+        F.coalesce(col_(pred_map), _EMPTY),
+        lambda k, e, p: F.struct(
+            e.alias("e"), F.schema_of_variant(e).alias("et"), p.alias("p"), F.schema_of_variant(p).alias("pt")
+        ),
     )
 
 
-def field_credit(key: Column, exp: Column, pred_map: Column) -> Column:
-    """Credit in [0, 1] of one expected key against the predicted object."""
-    present = F.coalesce(F.map_contains_key(pred_map, key), F.lit(False))
-    pred = F.try_element_at(pred_map, key)
-    rule = rule_of(exp)
+def pair_credit(s: Column) -> Column:
+    """Credit in [0, 1] of one expected key (``s`` a field_pairs value)."""
+    e, et, p, pt = s["e"], s["et"], s["p"], s["pt"]
+    rule = rule_from(et)
     return (
-        F.when(~present, F.lit(0.0))
-        .when(rule == "number", match_number(exp, pred))
-        .when(rule == "list", match_list(exp, pred))
-        .otherwise(match_text(exp, pred))
+        F.when(p.isNull(), F.lit(0.0))
+        .when(rule == "number", match_number(e, et, p, pt))
+        .when(rule == "list", match_list(e, p, pt))
+        .otherwise(match_text(e, et, p, pt))
     )
 
 
 def field_accuracy(exp_map: Column | str, pred_map: Column | str) -> Column:
     """Sum of credits / number of expected keys, 3 dp; empty expected -> 0.0."""
     em = col_(exp_map)
-    pm = col_(pred_map)
+    pairs = F.map_values(field_pairs(em, pred_map))
     total = F.aggregate(
-        F.map_entries(em), F.lit(0.0), lambda acc, e: acc + field_credit(e["key"], e["value"], pm)
+        pairs, F.lit(0.0), lambda acc, s: acc + F.when(s["e"].isNull(), F.lit(0.0)).otherwise(pair_credit(s))
     )
     n = F.size(em)
     return F.when(em.isNull() | (n <= 0), F.lit(0.0)).otherwise(round_half_even(total / n.cast("double"), 3))
@@ -126,10 +149,7 @@ def empty_list_flag(exp_map: Column | str) -> Column:
     """The expected object holds an empty list (the reference divides by zero there)."""
     em = col_(exp_map)
     return F.coalesce(
-        F.exists(
-            F.map_values(em),
-            lambda v: (vkind(v) == "list") & (F.size(F.try_variant_get(v, "$", "array<variant>")) == 0),
-        ),
+        F.exists(F.map_values(em), lambda v: F.size(F.try_variant_get(v, "$", "array<variant>")) == 0),
         F.lit(False),
     )
 

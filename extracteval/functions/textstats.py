@@ -14,10 +14,17 @@ def response_length(text: Column | str) -> Column:
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    """Contiguous n-grams (token arrays) of a token array; guarded against size < n."""
-    last = F.size(tokens) - F.lit(n)
-    grams = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.slice(tokens, i + 1, n))
-    return F.when(last >= 0, grams).otherwise(F.array().cast("array<array<string>>"))
+    """Contiguous n-grams of a whitespace-token array, each joined by one space.
+
+    Built from ``n`` shifted slices zipped together, so no lambda captures the token expression
+    (a captured expression is re-evaluated per element).  Tokens never contain whitespace, so
+    the joined text identifies the n-gram exactly and ``array_distinct`` stays hash-based.
+    """
+    count = F.greatest(F.size(tokens) - F.lit(n - 1), F.lit(0))
+    shifted = [F.slice(tokens, k + 1, count) for k in range(n)]
+    zipped = F.arrays_zip(*shifted)
+    grams = F.transform(zipped, lambda z: F.concat_ws(" ", *[z.getField(str(k)) for k in range(n)]))
+    return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
 def ngram_diversity(text: Column | str, n: int = 2) -> Column:

@@ -53,10 +53,7 @@ def alignment_mismatch(outputs: DataFrame, cases: DataFrame) -> DataFrame:
 
 def _with_parsed(df: DataFrame, output: str = "output", expected: str = "expected") -> DataFrame:
     t = df.withColumn("_clean", jsonx.strip_fences(output))
-    t = t.withColumn("_piece", jsonx.brace_slice("_clean"))
-    t = t.withColumn(
-        "_pm", jsonx.as_object_map(F.when(jsonx.is_valid_json("_piece"), F.try_parse_json("_piece")))
-    )
+    t = t.withColumn("_pm", jsonx.as_object_map(jsonx.parse_json_safe_clean("_clean")))
     return t.withColumn("_em", jsonx.as_object_map(F.try_parse_json(expected)))
 
 
@@ -75,41 +72,39 @@ def score_outputs(aligned: DataFrame) -> DataFrame:
     )
 
 
+def _pairs_long(aligned: DataFrame) -> DataFrame:
+    t = _with_parsed(aligned)
+    e = t.select("label", "test_id", F.explode(F.map_entries(scoring.field_pairs("_em", "_pm"))).alias("kv"))
+    return e.where(F.col("kv.value.e").isNotNull()).select("label", "test_id", F.col("kv.key").alias("key"), F.col("kv.value").alias("s"))
+
+
 def field_breakdown(aligned: DataFrame) -> DataFrame:
     """J4 + R9 long form: one row per expected key with the predicted value and its credit."""
-    t = _with_parsed(aligned)
-    e = t.select("label", "test_id", "_pm", F.explode(F.map_entries("_em")).alias("kv"))
-    key, ev = F.col("kv.key"), F.col("kv.value")
-    pv = F.try_element_at(F.col("_pm"), key)
+    e = _pairs_long(aligned)
+    s = F.col("s")
+    present = s["p"].isNotNull()
     return e.select(
         "label",
         "test_id",
-        key.alias("key"),
-        scoring.rule_of(ev).alias("rule"),
-        scoring.py_text(ev).alias("expected_value"),
-        F.when(F.coalesce(F.map_contains_key("_pm", key), F.lit(False)), scoring.py_text(pv)).alias("predicted_value"),
-        F.coalesce(F.map_contains_key("_pm", key), F.lit(False)).alias("present"),
-        scoring.field_credit(key, ev, F.col("_pm")).alias("credit"),
+        "key",
+        scoring.rule_from(s["et"]).alias("rule"),
+        scoring.py_text(s["e"], s["et"]).alias("expected_value"),
+        F.when(present, scoring.py_text(s["p"], s["pt"])).alias("predicted_value"),
+        present.alias("present"),
+        scoring.pair_credit(s).alias("credit"),
     )
 
 
 def list_overlap(aligned: DataFrame) -> DataFrame:
     """Per list-valued expected key, distinct expected / predicted texts and their overlap."""
-    t = _with_parsed(aligned)
-    e = t.select("label", "test_id", "_pm", F.explode(F.map_entries("_em")).alias("kv"))
-    e = e.where(scoring.vkind(F.col("kv.value")) == "list")
-    pv = F.try_element_at(F.col("_pm"), F.col("kv.key"))
-
-    def texts(v: Column) -> Column:
-        return F.array_distinct(
-            F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.lower(scoring.py_text(x)))
-        )
-
-    es, ps = texts(F.col("kv.value")), texts(pv)
+    e = _pairs_long(aligned).where(F.col("s.et").startswith("ARRAY"))
+    s = F.col("s")
+    es = scoring.text_set(s["e"])
+    ps = F.when(s["pt"].startswith("ARRAY"), scoring.text_set(s["p"]))
     return e.select(
         "label",
         "test_id",
-        F.col("kv.key").alias("key"),
+        "key",
         F.size(es).cast("bigint").alias("n_expected"),
         F.coalesce(F.size(ps), F.lit(0)).cast("bigint").alias("n_predicted"),
         F.coalesce(F.size(F.array_intersect(es, ps)), F.lit(0)).cast("bigint").alias("n_overlap"),

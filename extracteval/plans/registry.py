@@ -35,7 +35,7 @@ def query(name: str, sql: str | None = None):
 
 def _load() -> None:
     # Importing the query modules fills the registry.
-    from extracteval.plans import q_curate, q_scoring  # noqa: F401
+    from extracteval.plans import q_curate, q_io, q_scoring, q_tokens  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

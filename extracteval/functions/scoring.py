@@ -107,15 +107,16 @@ def rule_of(exp: Column) -> Column:
     return rule_from(F.schema_of_variant(exp))
 
 
-_EMPTY = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>"))
+def _empty_map() -> Column:
+    return F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>"))
 
 
 def field_pairs(exp_map: Column | str, pred_map: Column | str) -> Column:
     """MAP<key, STRUCT<e, et, p, pt>> over expected and predicted keys (``e`` null: extra key,
     ``p`` null: key missing from the prediction; a present JSON null is a non-null VOID value)."""
     return F.map_zip_with(
-        F.coalesce(col_(exp_map), _EMPTY),
-        F.coalesce(col_(pred_map), _EMPTY),
+        F.coalesce(col_(exp_map), _empty_map()),
+        F.coalesce(col_(pred_map), _empty_map()),
         lambda k, e, p: F.struct(
             e.alias("e"), F.schema_of_variant(e).alias("et"), p.alias("p"), F.schema_of_variant(p).alias("pt")
         ),

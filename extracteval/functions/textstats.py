@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extracteval.functions.pytext import col_, py_split, round_half_even
@@ -39,3 +39,25 @@ def distinct_ngrams(text: Column | str, n: int = 2) -> tuple[Column, Column]:
     """(number of n-grams, number of distinct n-grams) of the lower-cased tokens."""
     grams = ngrams(py_split(F.lower(col_(text))), n)
     return F.size(grams), F.size(F.array_distinct(grams))
+
+
+def with_text_stats(df: DataFrame, text: str, n: int = 2, prefix: str = "") -> DataFrame:
+    """Adds ``{prefix}len``, ``{prefix}n_grams``, ``{prefix}n_distinct``, ``{prefix}diversity``.
+
+    Staged projections: tokens and n-grams are each referenced several times below, which keeps
+    Catalyst from inlining them (inside higher-order functions an inlined expression would be
+    re-evaluated at every reference).  ``lower`` never creates whitespace, so the lower-cased
+    token count is also the length of ``text.split()``.
+    """
+    t = df.withColumn("_tok", py_split(F.lower(F.col(text))))
+    t = t.withColumn("_gram", ngrams(F.col("_tok"), n))
+    t = t.withColumn("_gd", F.size(F.array_distinct("_gram"))).withColumn("_gn", F.size("_gram"))
+    ratio = F.col("_gd").cast("double") / F.col("_gn").cast("double")
+    div = F.when(F.size("_tok") < n, F.lit(0.0)).otherwise(round_half_even(ratio, 3))
+    return t.select(
+        *df.columns,
+        F.size("_tok").alias(f"{prefix}len"),
+        F.col("_gn").alias(f"{prefix}n_grams"),
+        F.col("_gd").alias(f"{prefix}n_distinct"),
+        div.alias(f"{prefix}diversity"),
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extracteval.functions.pytext import round_half_even
-from extracteval.functions.textstats import ngram_diversity, response_length
+from extracteval.functions.textstats import with_text_stats
 from extracteval.operators.score import pairwise_checkpoints
 
 METRICS = ("valid_json_rate", "field_accuracy", "format_compliance", "overall_score")
@@ -47,7 +47,7 @@ def stage_deltas(summary: DataFrame, pairs: Sequence[tuple[str, str, str]] = STA
 
 def output_quality(outputs: DataFrame, n: int = 2) -> DataFrame:
     """Per label mean length (1 dp), mean of rounded diversities (3 dp), min and max length."""
-    t = outputs.select("label", response_length("output").alias("len"), ngram_diversity("output", n).alias("div"))
+    t = with_text_stats(outputs.select("label", "output"), "output", n).select("label", "len", F.col("diversity").alias("div"))
     exact = F.sum(F.col("div").cast("decimal(4,3)")).cast("double") / F.count(F.lit(1)).cast("double")
     return t.groupBy("label").agg(
         round_half_even(F.avg("len"), 1).alias("avg_length_tokens"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from extracteval.functions.pytext import py_split, round_half_even
-from extracteval.functions.textstats import distinct_ngrams, ngram_diversity, response_length
+from extracteval.functions.textstats import response_length, with_text_stats
 from extracteval.operators import curate, encode, prefnum
 from extracteval.plans import sqlparts as S
 from extracteval.plans.registry import query
@@ -29,14 +29,14 @@ def q_r11(spark, sf):
 @query("ngram_diversity", S.with_(DOCS) + f"SELECT doc_id, {S.diversity_of()} AS diversity FROM dg")
 def q_r12(spark, sf):
     """Bigram diversity of every document."""
-    return _docs(spark, sf).select("doc_id", ngram_diversity("text", 2).alias("diversity"))
+    return with_text_stats(_docs(spark, sf), "text", 2).select("doc_id", "diversity")
 
 
 @query("distinct_ngrams", S.with_(DOCS) + "SELECT doc_id, CAST(len(g) AS INTEGER) AS n_bigrams, CAST(len(list_distinct(g)) AS INTEGER) AS n_distinct FROM dg")
 def q_u3(spark, sf):
     """Bigrams and distinct bigrams of every document."""
-    n, d = distinct_ngrams("text", 2)
-    return _docs(spark, sf).select("doc_id", n.alias("n_bigrams"), d.alias("n_distinct"))
+    st = with_text_stats(_docs(spark, sf), "text", 2)
+    return st.select("doc_id", F.col("n_grams").alias("n_bigrams"), "n_distinct")
 
 
 VOCAB_CTE = f"""vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 1 AS INTEGER) AS token_id, n

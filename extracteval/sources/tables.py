@@ -10,7 +10,23 @@ TABLES = (
 ).split()
 
 
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Round-robin a scan only when it yields fewer partitions than the session has cores.
+
+    A small single-row-group file scans as one task, and the CPU-heavy text work downstream
+    would run serially.  Large inputs (many files / row groups) already have at least that many
+    partitions and are returned untouched, so this never adds a shuffle at scale.
+    """
+    try:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            return df.repartition(want)
+    except Exception:  # noqa: BLE001 - e.g. sessions without RDD access
+        pass
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))

@@ -121,10 +121,11 @@ def q_t5(spark, sf):
 
 @query("training_plan", S.with_(S.X_CASES, S.X_PAIRS, S.F1_CTE, S.F3_CTE,
     "t500 AS (SELECT * FROM f3 ORDER BY md5('42:' || CAST(pair_id AS VARCHAR)), pair_id LIMIT 500)") + """
-SELECT 'sft' AS plan, rows, 4 AS per_device_batch, 2 AS grad_accumulation, 8 AS effective_batch, 75 AS steps,
+SELECT 'sft' AS plan, rows, CAST(4 AS BIGINT) AS per_device_batch, CAST(2 AS BIGINT) AS grad_accumulation,
+  CAST(8 AS BIGINT) AS effective_batch, CAST(75 AS BIGINT) AS steps,
   round_even(75 * 8 / rows, 3) AS epochs_covered FROM (SELECT CAST(count(*) AS BIGINT) AS rows FROM x_cases)
 UNION ALL
-SELECT 'dpo', rows, 2, 4, 8, CAST(ceil(rows / 8) AS BIGINT), round_even(CAST(ceil(rows / 8) AS BIGINT) * 8 / rows, 3)
+SELECT 'dpo', rows, CAST(2 AS BIGINT), CAST(4 AS BIGINT), CAST(8 AS BIGINT), CAST(ceil(rows / 8) AS BIGINT), round_even(CAST(ceil(rows / 8) AS BIGINT) * 8 / rows, 3)
 FROM (SELECT CAST(count(*) AS BIGINT) AS rows FROM t500)""")
 def q_t6(spark, sf):
     """SFT (75 steps of 4 x 2 over the corpus) and DPO (1 epoch of 2 x 4 over 500 sampled pairs)."""

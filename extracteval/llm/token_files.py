@@ -152,7 +152,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         if docs_in:
             yield close()
 
-    ordered = encoded.repartitionByRange("doc_id", "n_tokens", "ids").sortWithinPartitions("doc_id", "n_tokens", "ids")
+    ordered = encoded.repartitionByRange("doc_id", "n_tokens").sortWithinPartitions("doc_id", "n_tokens", "ids")
     blocks = ordered.select("doc_id", "ids").mapInArrow(run, "file_no bigint, block_no bigint, n_values bigint, block binary")
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
 

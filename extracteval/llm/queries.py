@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from extracteval.llm import chat
+from extracteval.llm import chat, quality
 from extracteval.llm.block_search import nearest
 from extracteval.llm.common import read
 from extracteval.llm.decontamination import find_leaks
 from extracteval.llm.packing import pack_documents
+from extracteval.llm.pii import personal_data
 from extracteval.llm.sharding import shard_documents
 from extracteval.llm.simhash import simhash_components
 from extracteval.llm.token_files import token_files_query
@@ -25,10 +26,18 @@ def op1_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op2_contextual_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read(spark, sf_dir, "documents"))
+
+
 def op3_vbyte_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files_query(read(spark, sf_dir, "documents"), public_path(BYTE_BPE))
 
 
+def op4_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.with_probe(read(spark, sf_dir, "conversations"))
     return chat.digest_conversations(chat.format_conversations(spark, rows))
@@ -57,8 +66,9 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_label_propagation_shards, op3_vbyte_token_files, op5_event_sourced_chat, op6_best_fit_packing,
-        op7_block_matrix_search, op8_toxic_clause_grammar, op9_qgram_decontamination, op10_covering_simhash,
+        op1_label_propagation_shards, op2_contextual_personal_data, op3_vbyte_token_files, op4_additive_quality,
+        op5_event_sourced_chat, op6_best_fit_packing, op7_block_matrix_search, op8_toxic_clause_grammar,
+        op9_qgram_decontamination, op10_covering_simhash,
     )
 }
 ORACLE: dict[str, str] = {"op5_event_sourced_chat": chat.ORACLE_SQL}

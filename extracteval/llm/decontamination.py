@@ -175,17 +175,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 LEAK = "doc_id bigint, item_id bigint, edits bigint, start bigint, end bigint"
 
 
+def _holds_item(share):
+    @F.pandas_udf("boolean")
+    def leaks(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = ItemIndex(share.value)
+        for texts in parts:
+            yield pd.Series([bool(index.find(normalise(t))) for t in texts], dtype=bool)
+
+    return leaks
+
+
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; map only, whatever the chunks."""
     spark = prepare(docs.sparkSession)
     for items in item_chunks(benchmark):
-        share = spark.sparkContext.broadcast(items)
-
-        @F.pandas_udf("boolean")
-        def leaks(parts: Iterator[pd.Series], share=share) -> Iterator[pd.Series]:
-            index = ItemIndex(share.value)
-            for texts in parts:
-                yield pd.Series([bool(index.find(normalise(t))) for t in texts], dtype=bool)
-
-        docs = docs.where(~leaks("text"))
+        docs = docs.where(~_holds_item(spark.sparkContext.broadcast(items))("text"))
     return docs

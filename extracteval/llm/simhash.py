@@ -105,7 +105,8 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, bucket: int = B
     """(a, b): links that connect every pair of the distinct fingerprints ``fp`` within ``radius``."""
     spark = distinct.sparkSession
     masks = {(): 0}
-    rows, links, level = distinct.select("fp", F.lit(0).cast("bigint").alias("cover")), None, 0
+    bucket = max(bucket, 256)  # three levels leave at most 7 bits free, so no bucket stays larger
+    rows, links, level = distinct, None, 0
     number = {(): 0}
     while True:
         level += 1
@@ -117,12 +118,15 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, bucket: int = B
         number = {path: n for n, (_, path, _) in enumerate(fine)}
         masks = {path: m for _, path, m in fine}
         # 15, 225 or 3,375 rows by level, whatever the input
-        table = spark.createDataFrame([(o, number[p], _signed(m)) for o, p, m in fine], "cover bigint, finer bigint, mask bigint")
-        keyed = rows.join(F.broadcast(table), "cover").select(
-            "fp", F.col("finer").alias("cover"), F.col("fp").bitwiseAND(F.col("mask")).alias("key")
-        )
+        if level == 1:
+            table = F.array(*[F.struct(F.lit(number[p]).cast("bigint").alias("finer"), F.lit(_signed(m)).cast("bigint").alias("mask")) for _, p, m in fine])
+            met = rows.select("fp", F.explode(table).alias("t")).select("fp", "t.finer", "t.mask")
+        else:
+            table = spark.createDataFrame([(o, number[p], _signed(m)) for o, p, m in fine], "cover bigint, finer bigint, mask bigint")
+            met = rows.join(F.broadcast(table), "cover")
+        keyed = met.select("fp", F.col("finer").alias("cover"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
         if level > 1:
-            keyed = stored(keyed.distinct(), "simhash-split")
+            keyed = stored(keyed, "simhash-split")
         sizes = stored(
             keyed.groupBy("cover", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"),
             "simhash-buckets",

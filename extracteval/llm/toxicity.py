@@ -191,7 +191,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     base = {"=" + w: FIXED_WEIGHT for w in INSULTS}
     if not n_pos or not n_neg:
         return base
-    counted = sample.repartition(F.xxhash64("text")).mapInArrow(_count_forms, "form string, pos bigint, neg bigint").groupBy("form").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counted = sample.mapInArrow(_count_forms, "form string, pos bigint, neg bigint").groupBy("form").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     lift = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
     likely = counted.where((F.col("pos") >= 2) & (lift > 1.5)).select("form", "pos", "neg", (F.col("pos") * lift).alias("gain"))
     table = likely.orderBy(F.desc("gain"), F.desc(F.length("form")), "form").limit(TOP_FORMS).collect()

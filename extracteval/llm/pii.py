@@ -125,12 +125,6 @@ def instance(kind: str, surface: str) -> str:
     return surface.lower() if kind == "email" else re.sub(r"\D", "", surface)
 
 
-ROW = (
-    "uid bigint, doc_id bigint, base array<struct<a:int,kind:string,b:int>>, "
-    "mentions array<struct<a:int,kind:string,b:int,seed:boolean,instance:string,patterns:array<string>>>"
-)
-
-
 def find_mentions(text: str | None) -> tuple[list, list]:
     base = base_spans(text)
     rows = [
@@ -228,11 +222,12 @@ def confident_mentions(rows: DataFrame, docs: DataFrame, min_seeds: int = MIN_SE
     return graph.where(~F.col("seed")).join(sure, ["kind", "instance"]).join(good, ["kind", "pattern"]).select("kind", "instance", "pattern")
 
 
-def extract(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, added): every row with ``uid`` and its ``found`` spans, stored; and (uid, added spans)."""
+def extract(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, added): ``keep``, ``uid`` and the ``found`` spans of every row, stored; (uid, added)."""
     prepare(docs.sparkSession)
-    rows = stored(mention_rows(docs.withColumn("uid", F.monotonically_increasing_id())), "pii-rows")
-    flat = rows.select("uid", F.col("found.mentions").alias("mentions"), "found", "text")
+    found = mention_rows(docs.withColumn("uid", F.monotonically_increasing_id()))
+    rows = stored(found.select("uid", *keep, "found"), "pii-rows")
+    flat = rows.select(F.col("found.mentions").alias("mentions"))
     sure = confident_mentions(flat, docs)
     mention = rows.select("uid", F.explode("found.mentions").alias("m")).where(~F.col("m.seed"))
     mention = mention.select("uid", F.col("m.a").alias("a"), F.col("m.kind").alias("kind"), F.col("m.b").alias("b"), F.col("m.instance").alias("instance"), F.explode("m.patterns").alias("pattern"))
@@ -252,7 +247,7 @@ def _digest(base: pd.Series, added: pd.Series) -> pd.DataFrame:
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added."""
-    rows, added = extract(docs.select("doc_id", "text"))
+    rows, added = extract(docs.select("doc_id", "text"), ["doc_id"])
     both = rows.select("uid", "doc_id", F.col("found.base").alias("base")).join(added, "uid", "left")
 
     def count(kind: str):
@@ -282,7 +277,7 @@ def _redact(texts: pd.Series, base: pd.Series, added: pd.Series) -> pd.Series:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets and n_chars counted anew."""
     names = docs.columns
-    rows, added = extract(docs.select(F.struct(*names).alias("row"), "text"))
+    rows, added = extract(docs.select(F.struct(*names).alias("row"), "text"), ["row", "text"])
     both = rows.join(added, "uid", "left")
     new = both.select("row", F.pandas_udf(_redact, "string")("text", F.col("found.base"), F.col("added")).alias("clean"))
     changed = {"text": F.col("clean"), "n_chars": F.length("clean").cast(docs.schema["n_chars"].dataType)}

@@ -39,9 +39,19 @@ def py_split(c: Column | str) -> Column:
 
 
 def round_half_even(c: Column | str, digits: int) -> Column:
-    """Python ``round(x, n)`` (banker's rounding at the binary value's decimal product)."""
-    scale = float(10**digits)
-    return F.rint(col_(c) * F.lit(scale)) / F.lit(scale)
+    """Python ``round(x, n)``: half-even on the binary value's exact decimal product.
+
+    Where ``x * 10**n`` lands on a tie only because the product was rounded, the residual of the
+    product (Veltkamp split; the scale has few bits, so both partial products are exact) decides.
+    """
+    x, scale = col_(c).cast("double"), float(10**digits)
+    product = x * F.lit(scale)
+    high = x * F.lit(134217729.0) - (x * F.lit(134217729.0) - x)
+    residual = (high * F.lit(scale) - product) + (x - high) * F.lit(scale)
+    low = F.floor(product).cast("double")
+    tie = (product - low) == 0.5
+    whole = F.when(tie & (residual > 0), low + 1).when(tie & (residual < 0), low).otherwise(F.rint(product))
+    return whole / F.lit(scale)
 
 
 def py_float(c: Column | str) -> Column:
@@ -69,21 +79,3 @@ def fixed(c: Column | str, digits: int) -> Column:
     """``f"{v:.{digits}f}"`` with Python's half-even rounding."""
     return F.format_string(f"%.{digits}f", round_half_even(c, digits))
 
-
-def to_units(c: Column | str, unit_digits: int = 6) -> Column:
-    """A double as an exact integer count of 10**-unit_digits (nearest, ties to even)."""
-    return F.rint(col_(c) * F.lit(float(10**unit_digits))).cast("bigint")
-
-
-def mean_half_even(units_sum: Column, count: Column, unit_digits: int = 6, digits: int = 4) -> Column:
-    """Mean of unit counts rounded half-even to ``digits`` in exact integer arithmetic.
-
-    Float sums depend on the order of addition (partitioning); integer sums do not, so a mean
-    that lands on a decimal tie rounds the same way on every plan.
-    """
-    d = count.cast("bigint") * F.lit(10 ** (unit_digits - digits))
-    r = F.pmod(units_sum, d)
-    q = (units_sum - r).cast("decimal(38,0)") / d
-    q = q.cast("bigint")
-    up = (r * 2 > d) | ((r * 2 == d) & (F.pmod(q, F.lit(2)) == 1))
-    return (q + F.when(up, F.lit(1)).otherwise(F.lit(0))).cast("double") / F.lit(float(10**digits))

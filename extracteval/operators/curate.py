@@ -3,7 +3,7 @@ batching and epochs (F1-F6, P9, T1-T6).
 
 Sampling orders by ``md5(seed:id)``: the same rows are picked whatever the partitioning, and a
 top-n becomes ``TakeOrderedAndProject`` (no global sort).  Batch numbering is an exact global
-ordinal computed with ``scan.ordinal_within`` over digest-prefix buckets.
+ordinal computed with ``scan.ordinal_within`` over digest-prefix levels.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from extracteval.operators.scan import hex_bucket, ordinal_within
+from extracteval.operators.scan import hex_levels, ordinal_within
 
 # Alternative field names, tried in this order.
 CHOSEN_SCORE_NAMES = ("chosen_rating", "rating_chosen", "chosen_score")
@@ -59,11 +59,16 @@ def non_empty(df: DataFrame, name: str) -> Column:
     return F.coalesce(F.length(c) > 0, F.lit(False))
 
 
+def at_least(score: Column, least: float = MIN_SCORE) -> Column:
+    """``score >= least`` as Python has it: false for NaN, which Spark orders above all numbers."""
+    return (score >= least) & ~F.isnan(score)
+
+
 def quality_keep(df: DataFrame) -> Column:
     """F3 predicate over a frame that went through ``coalesce_fields``."""
     return (
         ~is_tie(F.col("chosen_value"), F.col("rejected_value"))
-        & (F.col("chosen_value") >= MIN_SCORE)
+        & at_least(F.col("chosen_value"))
         & (F.length("prompt_text") > 0)
         & non_empty(df, "chosen")
         & non_empty(df, "rejected")
@@ -79,7 +84,7 @@ def filter_pairs_quality(df: DataFrame) -> DataFrame:
 def filter_pairs_simple(df: DataFrame) -> DataFrame:
     """``chosen_score`` (null -> 0) >= 4.0 and input, chosen, rejected non-empty; no ties rule."""
     score = F.coalesce(F.col("chosen_score").try_cast("double"), F.lit(0.0)) if "chosen_score" in df.columns else F.lit(0.0)
-    return df.where((score >= MIN_SCORE) & non_empty(df, "input") & non_empty(df, "chosen") & non_empty(df, "rejected"))
+    return df.where(at_least(score) & non_empty(df, "input") & non_empty(df, "chosen") & non_empty(df, "rejected"))
 
 
 def normalise_completion(df: DataFrame, name: str) -> Column:
@@ -148,7 +153,7 @@ def sample_pairs(df: DataFrame, n: int = 500, seed: int = 42, id_col: str = "pai
 def assign_batches(df: DataFrame, batch: int = 2, seed: int = 42, id_col: str = "pair_id") -> DataFrame:
     """Exact global shuffled position, ``batch_id = (position - 1) div batch``."""
     k = df.withColumn("_key", shuffle_key(seed, id_col))
-    r = ordinal_within(k, [], ["_key", id_col], "position", bucket=hex_bucket("_key"))
+    r = ordinal_within(k, [], ["_key", id_col], "position", levels=hex_levels("_key"))
     return r.withColumn("batch_id", ((F.col("position") - 1) / F.lit(batch)).cast("bigint")).drop("_key")
 
 
@@ -172,7 +177,7 @@ def repeat_epochs(df: DataFrame, epochs: int, batch: int = 2, seed: int = 42, id
     """T4: every row once per epoch, re-shuffled per epoch; position and batch inside the epoch."""
     e = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
     e = e.withColumn("_key", shuffle_key(seed, id_col, F.col("epoch")))
-    r = ordinal_within(e, ["epoch"], ["_key", id_col], "position", bucket=hex_bucket("_key"))
+    r = ordinal_within(e, ["epoch"], ["_key", id_col], "position", levels=hex_levels("_key"))
     return r.withColumn("batch_id", ((F.col("position") - 1) / F.lit(batch)).cast("bigint")).drop("_key")
 
 

@@ -2,44 +2,46 @@
 
 Tokens are whitespace words (the reference's own length approximation) with ids from a
 vocabulary table; a pre-tokenised ``ARRAY<INT>`` column works with N3/N5/N6 unchanged.
-The vocabulary is capped at ``size`` rows, so broadcasting it has a proven bound.  Texts are
-repartitioned by key before tokens are exploded, which makes the regrouping after the broadcast
-join shuffle-free (the exploded token rows never cross the network).
+The vocabulary holds every token unless the caller caps it; the join with it is left to AQE, which
+broadcasts a small one and shuffles a large one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extracteval.functions.pytext import col_, py_split
-from extracteval.operators.scan import ordinal_within
+from extracteval.operators.scan import hex_levels, ordinal_within
 
 PAD_ID = 0
 UNK_ID = 1
 FIRST_ID = 2
-VOCAB_SIZE = 32000
 MAX_LEN = 384
 
 
-def build_vocab(texts: DataFrame, text_col: str = "text", size: int = VOCAB_SIZE) -> DataFrame:
-    """Token -> token_id by rank of (count desc, token); ids start after pad and unk."""
+def build_vocab(texts: DataFrame, text_col: str = "text", size: int | None = None) -> DataFrame:
+    """Token -> token_id by rank of (count desc, digest, token); ids start after pad and unk.
+
+    Ranks come from a levelled scan: by count, then by the digest's leading digits, so the many
+    tokens that occur once are spread over all tasks.  ``size`` keeps the first so many ids.
+    """
     toks = texts.select(F.explode(py_split(text_col)).alias("token"))
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), "token").limit(size)
-    # at most `size` rows: a single ordered window over them is bounded
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "token"))
-    return top.select("token", (rank + FIRST_ID - 1).cast("int").alias("token_id"), F.col("n").cast("bigint").alias("n"))
+    keyed = counts.select("token", "n", (-F.col("n")).alias("_less"), F.md5("token").alias("_key"))
+    ranked = ordinal_within(keyed, [], ["_less", "_key", "token"], "_rank", levels=[F.col("_less"), *hex_levels("_key")])
+    vocab = ranked.select("token", (F.col("_rank") + FIRST_ID - 1).alias("token_id"), F.col("n").cast("bigint").alias("n"))
+    return vocab if size is None else vocab.where(F.col("token_id") < size + FIRST_ID)
 
 
 def tokenize_ids(df: DataFrame, keys: Sequence[str], text_col: str, vocab: DataFrame, out: str = "ids") -> DataFrame:
-    """Keys + ``out`` ARRAY<INT> of token ids in text order; unknown tokens -> UNK_ID."""
+    """Keys + ``out`` ARRAY<BIGINT> of token ids in text order; unknown tokens -> UNK_ID."""
     keys = list(keys)
     spread = df.select(*keys, text_col).repartition(*keys)
     toks = spread.select(*keys, F.posexplode_outer(py_split(text_col)).alias("pos", "token"))
-    v = F.broadcast(vocab.select("token", "token_id"))
+    v = vocab.select("token", "token_id")
     j = toks.join(v, "token", "left")
     g = j.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("id")))).alias("_t")

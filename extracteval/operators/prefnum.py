@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from extracteval.functions.pytext import mean_half_even, round_half_even, to_units
+from extracteval.functions.pytext import round_half_even
 from extracteval.operators.curate import assign_batches
 from extracteval.operators.scan import ordinal_within
 
@@ -75,9 +75,16 @@ def mean_of_batch_means(losses: DataFrame, batch: int = 2, seed: int = 42) -> Da
 
 def running_loss_log(losses: DataFrame, every: int = 20, run: str = "run_id", step: str = "step") -> DataFrame:
     """V1: running mean loss to date per run, reported every ``every`` steps (4 dp)."""
-    units = losses.select(run, step, to_units("loss").alias("_u"))
-    r = ordinal_within(units, [run], step, "_n", running=["_u"])
-    mean = mean_half_even(F.col("_u_cum"), F.col("_n"), 6, 4)
+    loss = F.col("loss").cast("double")
+    finite = loss.isNotNull() & ~F.isnan(loss) & (F.abs(loss) < float("inf"))
+    parts = losses.select(
+        run, step,
+        # exact sums do not depend on the order of addition; 18 decimals keep any loss worth logging
+        F.when(finite, loss.try_cast("decimal(30,18)")).otherwise(F.lit(0).cast("decimal(30,18)")).alias("_u"),
+        F.when(finite, F.lit(0.0)).otherwise(loss).alias("_odd"),
+    )
+    r = ordinal_within(parts, [run], step, "_n", running=["_u", "_odd"])
+    mean = round_half_even((F.col("_u_cum").cast("double") + F.col("_odd_cum")) / F.col("_n"), 4)
     return r.where(F.col(step) % every == 0).select(run, step, mean.alias("running_loss"))
 
 

@@ -2,27 +2,39 @@
 
 ``row_number() over (partition by run order by step)`` sorts every run in a single task; with
 one run holding a third of the data that task holds a third of the data.  Here the order key is
-cut into buckets that are monotone in the order (``floor(id / width)`` for numbers, a hex prefix
-for digests).  Rows are ranked inside (key, bucket) groups of bounded size, bucket totals are
-prefix-summed over the small bucket table, and a join on (key, bucket) adds the offset back.
+cut into ``levels``, each a refinement of the one before and all monotone in the order (16 bits of
+a number at a time, or four hex digits of a digest).  Rows are ranked inside their finest level;
+level totals are prefix-summed inside their parent, so a window holds at most 65,536 children of
+one parent (or the rows of one finest bucket), whatever the ids look like.  Totals come from the
+ranked frame, so the input is shuffled once.  Null keys and null order values form groups of
+their own (nulls first), and no row is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_WIDTH = 1 << 16
 
+def radix_levels(order_col: str) -> list[Column]:
+    """Sixteen bits more at each level; a bucket of the last level spans 65,536 ids."""
+    c = F.col(order_col).cast("bigint")
+    return [F.shiftright(c, 48), F.shiftright(c, 32), F.shiftright(c, 16)]
 
-def numeric_bucket(order_col: str, width: int = DEFAULT_WIDTH) -> Column:
-    return F.floor(F.col(order_col) / F.lit(width))
 
+def hex_levels(digest_col: str) -> list[Column]:
+    """Four and eight leading characters of a lower-case hex digest."""
+    return [F.substring(F.col(digest_col), 1, 4), F.substring(F.col(digest_col), 1, 8)]
 
-def _order(cols: Sequence[str]) -> list[Column]:
-    return [F.col(c) for c in cols]
+
+def _join(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Inner null-safe equi-join on ``cols``, kept once."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols])
+    return left.join(renamed, on).drop(*[f"_r_{c}" for c in cols])
 
 
 def ordinal_within(
@@ -30,39 +42,40 @@ def ordinal_within(
     keys: Sequence[str],
     order: str | Sequence[str],
     out: str,
-    bucket: Column | None = None,
+    levels: Sequence[Column] | None = None,
     running: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order`` inside ``keys``.
 
     ``running`` names numeric columns that also get ``<name>_cum`` (inclusive running sum).
-    ``bucket`` must be non-decreasing along ``order``; default ``floor(order[0] / 65536)``.
+    ``levels`` must be monotone along ``order``, each refining the one before; default: radix
+    levels of ``order[0]``.  The order of rows that tie in ``order`` is not defined.
     """
     order = [order] if isinstance(order, str) else list(order)
-    keys = list(keys)
-    b = bucket if bucket is not None else numeric_bucket(order[0])
-    t = df.withColumn("_bkt", b)
-    part = keys + ["_bkt"]
-    inner = Window.partitionBy(*part).orderBy(*_order(order))
-    t = t.withColumn("_pos", F.row_number().over(inner))
-    for r in running:
-        t = t.withColumn(f"_{r}_in", F.sum(r).over(inner.rowsBetween(Window.unboundedPreceding, 0)))
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(r).alias(f"_{r}_tot") for r in running]
-    totals = df.withColumn("_bkt", b).groupBy(*part).agg(*aggs)
-    before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select(
-        *part,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-        *[F.coalesce(F.sum(f"_{r}_tot").over(before), F.lit(0)).alias(f"_{r}_off") for r in running],
-    )
-    j = t.join(offs, part)
-    j = j.withColumn(out, (F.col("_off") + F.col("_pos")).cast("bigint"))
+    keys, levels = list(keys), list(levels if levels is not None else radix_levels(order[0]))
+    names = [f"_lvl{k}" for k in range(len(levels))]
+    t = df.withColumns(dict(zip(names, levels)))
+    part = keys + names
+    inner = Window.partitionBy(*part).orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    t = t.withColumn("_pos", F.count(F.lit(1)).over(inner))
     for r in running:
-        j = j.withColumn(f"{r}_cum", F.col(f"_{r}_off") + F.col(f"_{r}_in"))
-    drop = ["_bkt", "_pos", "_off"] + [f"_{r}_in" for r in running] + [f"_{r}_off" for r in running]
-    return j.drop(*drop)
+        t = t.withColumn(f"_{r}_in", F.sum(r).over(inner))
 
-
-def hex_bucket(digest_col: str, digits: int = 4) -> Column:
-    """Monotone bucket of a lower-case hex digest: its first ``digits`` characters."""
-    return F.substring(F.col(digest_col), 1, digits)
+    sums = ["_n"] + [f"_{r}_tot" for r in running]
+    tables = [t.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(r).alias(f"_{r}_tot") for r in running])]
+    for k in range(len(names) - 1, 0, -1):
+        tables.append(tables[-1].groupBy(*keys, *names[:k]).agg(*[F.sum(s).alias(s) for s in sums]))
+    offs = None
+    for k, table in enumerate(reversed(tables), 1):
+        parent = keys + names[: k - 1]
+        before = Window.partitionBy(*parent).orderBy(names[k - 1]).rowsBetween(Window.unboundedPreceding, -1)
+        here = table.select(*parent, names[k - 1], *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"{s}_b") for s in sums])
+        if offs is not None:
+            here = _join(here, offs.withColumnsRenamed({f"{s}_b": f"{s}_up" for s in sums}), parent) if parent else here
+            here = here.select(*parent, names[k - 1], *[(F.col(f"{s}_b") + F.col(f"{s}_up")).alias(f"{s}_b") for s in sums])
+        offs = here
+    j = _join(t, offs, part)
+    j = j.withColumn(out, (F.col("_n_b") + F.col("_pos")).cast("bigint"))
+    for r in running:
+        j = j.withColumn(f"{r}_cum", F.col(f"_{r}_tot_b") + F.col(f"_{r}_in"))
+    return j.drop(*names, "_pos", *[f"{s}_b" for s in sums], *[f"_{r}_in" for r in running])

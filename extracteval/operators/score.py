@@ -29,26 +29,42 @@ def align_outputs_cases(outputs: DataFrame, cases: DataFrame) -> DataFrame:
     return outputs.join(cases.select("test_id", "input", "expected"), "test_id")
 
 
-def alignment_mismatch(outputs: DataFrame, cases: DataFrame) -> DataFrame:
-    """(label, test_id, problem) for every case without an output under some label and every
-    output without a case.  Rows, not an exception; one shuffle on test_id."""
-    all_labels = outputs.select(F.array_sort(F.collect_set("label"))).scalar()
-    present = outputs.groupBy("test_id").agg(F.collect_set("label").alias("labels"))
-    have = cases.select("test_id", F.lit(True).alias("has_case"))
+def alignment_mismatch(outputs: DataFrame, cases: DataFrame, labels: Sequence[str] | None = None, fail: bool = False) -> DataFrame:
+    """(label, test_id, problem): ``no_output`` for a case without an output under a label,
+    ``no_case`` for an output without a case, ``duplicate`` for a label's further outputs of a case.
+
+    ``labels`` are the checkpoints to expect (a silent one is then reported for every case); by
+    default those that are present.  ``fail=True`` raises on the first problem row that is read.
+    """
+    if labels is None:
+        expected = outputs.select(F.array_sort(F.collect_set("label"))).scalar()
+    else:
+        expected = F.array(*[F.lit(l) for l in labels]).cast("array<string>")
+    counted = outputs.groupBy("test_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    present = counted.groupBy("test_id").agg(
+        F.collect_set("label").alias("labels"), F.collect_set(F.when(F.col("n") > 1, F.col("label"))).alias("twice")
+    )
+    have = cases.select("test_id", F.lit(True).alias("has_case")).distinct()
     j = have.join(present, "test_id", "full_outer")
-    labels = F.coalesce(F.col("labels"), F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+
+    def problems(found: Column, name: str) -> Column:
+        return F.transform(F.coalesce(found, none), lambda l: F.struct(l.alias("label"), F.lit(name).alias("problem")))
+
+    case = F.col("has_case").isNotNull()
     j = j.select(
-        "test_id",
-        F.when(F.col("has_case").isNotNull(), F.array_except(all_labels, labels)).alias("missing"),
-        F.when(F.col("has_case").isNull(), labels).alias("orphan"),
+        "test_id", "twice",
+        F.when(case, F.array_except(expected, F.coalesce("labels", none))).alias("missing"),
+        F.when(~case, F.col("labels")).alias("orphan"),
     )
     probs = F.concat(
-        F.transform(F.coalesce("missing", F.array().cast("array<string>")),
-                    lambda l: F.struct(l.alias("label"), F.lit("no_output").alias("problem"))),
-        F.transform(F.coalesce("orphan", F.array().cast("array<string>")),
-                    lambda l: F.struct(l.alias("label"), F.lit("no_case").alias("problem"))),
+        problems(F.col("missing"), "no_output"), problems(F.col("orphan"), "no_case"), problems(F.col("twice"), "duplicate")
     )
-    return j.select("test_id", F.explode(probs).alias("p")).select("p.label", "test_id", "p.problem")
+    rows = j.select("test_id", F.explode(probs).alias("p")).select("p.label", "test_id", "p.problem")
+    if fail:
+        text = F.concat_ws(" ", F.lit("misaligned outputs:"), "label", F.col("test_id").cast("string"), "problem")
+        rows = rows.withColumn("problem", F.when(F.lit(True), F.raise_error(text)))
+    return rows
 
 
 def _with_parsed(df: DataFrame, output: str = "output", expected: str = "expected") -> DataFrame:
@@ -128,18 +144,6 @@ def evaluate_outputs(scored: DataFrame) -> DataFrame:
     return s.withColumn("overall_score", round_half_even(overall, 3))
 
 
-def per_test_nested(scored: DataFrame, summary: DataFrame) -> DataFrame:
-    """A6 (opt-in, small evaluation sets only): summary rows with their ordered per-test list."""
-    per = scored.groupBy("label").agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct("test_id", "input_preview", "valid_json", "field_accuracy", "format_compliance", "output_preview")
-            )
-        ).alias("per_test")
-    )
-    return summary.join(per, "label")
-
-
 def evaluate_checkpoints(outputs: DataFrame, cases: DataFrame) -> DataFrame:
     """J1 -> A1 -> A5 in one job (many labels in one pass)."""
     return evaluate_outputs(score_outputs(align_outputs_cases(outputs, cases)))
@@ -147,4 +151,4 @@ def evaluate_checkpoints(outputs: DataFrame, cases: DataFrame) -> DataFrame:
 
 def pairwise_checkpoints(scored: DataFrame, labels: Sequence[str], value: str = "field_accuracy") -> DataFrame:
     """One row per test with the value under each label (one shuffle on test_id)."""
-    return scored.groupBy("test_id").pivot("label", list(labels)).agg(F.max(value))
+    return scored.where(F.col("label").isin(*labels)).groupBy("test_id").pivot("label", list(labels)).agg(F.max(value))

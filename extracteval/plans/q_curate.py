@@ -51,24 +51,21 @@ def q_f5(spark, sf):
     return curate.format_pairs(X.x_pairs(spark, sf))
 
 
-@query("curation_funnel", S.with_(S.X_PAIRS, S.F1_CTE, S.F3_CTE, T1_CTE) + """SELECT
-  (SELECT CAST(count(*) AS BIGINT) FROM x_pairs) AS n_raw, (SELECT CAST(count(*) AS BIGINT) FROM f3) AS n_filtered,
-  CAST(count(*) AS BIGINT) AS n_sampled,
-  CAST(count_if(length(prompt_text) > 0 AND length(chosen) > 0 AND length(rejected) > 0) AS BIGINT) AS n_formatted FROM t1""")
+@query("curation_funnel", S.with_(S.X_PAIRS, S.F1_CTE, S.F3_CTE) + f"""SELECT (SELECT CAST(count(*) AS BIGINT) FROM x_pairs) AS n_raw,
+  CAST(count(*) AS BIGINT) AS n_filtered, CAST(least({SAMPLE_N}, n_formatted) AS BIGINT) AS n_sampled, n_formatted FROM f3,
+  (SELECT CAST(count(*) AS BIGINT) AS n_formatted FROM f3 WHERE length(prompt_text) > 0 AND length(chosen) > 0 AND length(rejected) > 0)
+GROUP BY n_formatted""")
 def q_f6(spark, sf):
-    """row counts raw -> filtered -> sampled -> formatted (one aggregate pass + the sample)."""
+    """row counts raw -> filtered -> formatted in one aggregate pass; ``n_sampled`` is what T1
+    would take of the formatted rows."""
     c = curate.coalesce_fields(X.x_pairs(spark, sf))
-    keep = curate.quality_keep(c)
-    sampled = curate.sample_pairs(c.where(keep), SAMPLE_N)
-    formatted = curate.format_pairs(sampled)
-    return c.agg(
-        F.count(F.lit(1)).alias("n_raw"),
-        F.count_if(keep).alias("n_filtered"),
-    ).select(
-        "n_raw", "n_filtered",
-        sampled.select(F.count(F.lit(1))).scalar().alias("n_sampled"),
-        formatted.select(F.count(F.lit(1))).scalar().alias("n_formatted"),
-    )
+    keep = F.coalesce(curate.quality_keep(c), F.lit(False))
+    texts = [F.col("prompt_text"), curate.normalise_completion(c, "chosen"), curate.normalise_completion(c, "rejected")]
+    formatted = keep
+    for t in texts:
+        formatted = formatted & (F.coalesce(F.length(t), F.lit(0)) > 0)
+    counts = c.agg(F.count(F.lit(1)).alias("n_raw"), F.count_if(keep).alias("n_filtered"), F.count_if(formatted).alias("n_formatted"))
+    return counts.select("n_raw", "n_filtered", F.least(F.lit(SAMPLE_N), F.col("n_formatted")).cast("bigint").alias("n_sampled"), "n_formatted")
 
 
 @query("normalise_completion", """SELECT conv_id, CASE WHEN count_if(role = 'assistant') > 0
@@ -119,19 +116,18 @@ def q_t5(spark, sf):
     return curate.head_n(X.x_pairs(spark, sf), 10, ["pair_id"]).select("pair_id", "prompt")
 
 
-@query("training_plan", S.with_(S.X_CASES, S.X_PAIRS, S.F1_CTE, S.F3_CTE,
-    "t500 AS (SELECT * FROM f3 ORDER BY md5('42:' || CAST(pair_id AS VARCHAR)), pair_id LIMIT 500)") + """
+@query("training_plan", S.with_(S.X_CASES, S.X_PAIRS, S.F1_CTE, S.F3_CTE) + """
 SELECT 'sft' AS plan, rows, CAST(4 AS BIGINT) AS per_device_batch, CAST(2 AS BIGINT) AS grad_accumulation,
   CAST(8 AS BIGINT) AS effective_batch, CAST(75 AS BIGINT) AS steps,
   round_even(75 * 8 / rows, 3) AS epochs_covered FROM (SELECT CAST(count(*) AS BIGINT) AS rows FROM x_cases)
 UNION ALL
 SELECT 'dpo', rows, CAST(2 AS BIGINT), CAST(4 AS BIGINT), CAST(8 AS BIGINT), CAST(ceil(rows / 8) AS BIGINT), round_even(CAST(ceil(rows / 8) AS BIGINT) * 8 / rows, 3)
-FROM (SELECT CAST(count(*) AS BIGINT) AS rows FROM t500)""")
+FROM (SELECT CAST(count(*) AS BIGINT) AS rows FROM f3)""")
 def q_t6(spark, sf):
-    """SFT (75 steps of 4 x 2 over the corpus) and DPO (1 epoch of 2 x 4 over 500 sampled pairs)."""
+    """SFT (75 steps of 4 x 2 over the corpus) and DPO (1 epoch of 2 x 4 over all formatted pairs)."""
     sft = X.x_cases(spark, sf).agg(F.count(F.lit(1)).alias("n"))
     sft = sft.select(F.lit("sft").alias("plan"), *curate.training_plan(F.col("n"), 4, 2, steps=F.lit(75)))
-    pairs = curate.format_pairs(curate.sample_pairs(curate.filter_pairs_quality(X.x_pairs(spark, sf)), 500))
+    pairs = curate.format_pairs(curate.filter_pairs_quality(X.x_pairs(spark, sf)))
     dpo = pairs.agg(F.count(F.lit(1)).alias("n"))
     dpo = dpo.select(F.lit("dpo").alias("plan"), *curate.training_plan(F.col("n"), 2, 4, epochs=1))
     return sft.unionByName(dpo)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from extracteval.operators import compare, curate, prefnum, prompts, score, udf
@@ -12,16 +10,11 @@ from extracteval.plans import sqlparts as S
 from extracteval.plans.q_scoring import QUALITY_CTE, W2_CTE, WIN_CTE, _outputs, _scored, _summary
 from extracteval.plans.q_tokens import LOGP
 from extracteval.plans.registry import query
-from extracteval.session import shared_dir
 from extracteval.sinks import reports as K
 from extracteval.sources import fixtures as X
 from extracteval.sources import readers as R
 
 
-def _scratch(spark, name: str) -> str:
-    return shared_dir(spark, f"extracteval/{name}-{uuid.uuid4().hex}")
-
-
 def _sft_lines(spark, sf):
     c = X.x_cases(spark, sf)
     return c.select(F.to_json(F.struct(F.lit(prompts.INSTRUCTION).alias("instruction"), "input",
@@ -33,47 +26,37 @@ SFT_SQL = S.with_(S.X_CASES) + f"SELECT {S.lit(prompts.INSTRUCTION)} AS instruct
 
 @query("scan_sft_jsonl_strict", SFT_SQL)
 def q_s1(spark, sf):
-    """An SFT corpus written as JSONL from the cases, read back strictly."""
-    path = _scratch(spark, "sft-strict")
-    _sft_lines(spark, sf).write.mode("overwrite").text(path)
-    return R.scan_sft_jsonl_strict(spark, path)
+    """The records of SFT JSONL lines made from the cases, parsed strictly."""
+    return R.sft_records_strict(_sft_lines(spark, sf))
 
 
 @query("scan_sft_jsonl_lenient", SFT_SQL)
 def q_s2(spark, sf):
-    """The same corpus with a blank line after every record, read leniently."""
-    path = _scratch(spark, "sft-lenient")
-    _sft_lines(spark, sf).select(F.concat("value", F.lit("\n  ")).alias("value")).write.mode("overwrite").text(path)
-    return R.scan_sft_jsonl_lenient(spark, path)
+    """The same lines, each followed by a blank one, parsed leniently."""
+    lines = _sft_lines(spark, sf).select(F.explode(F.array(F.col("value"), F.lit("  "))).alias("value"))
+    return R.sft_records_lenient(lines)
 
 
 @query("scan_preference_pairs", S.with_(S.X_PAIRS) + "SELECT * FROM x_pairs")
 def q_s3(spark, sf):
-    """S3: preference pairs from a user path (written from conversations, read back)."""
-    path = _scratch(spark, "pairs")
-    X.x_pairs(spark, sf).write.mode("overwrite").parquet(path)
-    return R.scan_preference_pairs(spark, path, "parquet")
+    """S3: preference pairs parsed from JSON lines made from conversations."""
+    pairs = X.x_pairs(spark, sf)
+    return R.json_records(pairs.select(F.to_json(F.struct(*pairs.columns)).alias("value")), pairs.schema)
 
 
 @query("scan_test_cases", S.with_(S.X_CASES) + "SELECT test_id, input, expected FROM x_cases")
 def q_s4(spark, sf):
-    """Test cases with explicit ids from JSON lines."""
-    path = _scratch(spark, "cases")
-    X.x_cases(spark, sf).write.mode("overwrite").json(path)
-    return R.scan_test_cases(spark, path)
+    """Test cases with explicit ids parsed from JSON lines."""
+    cases = X.x_cases(spark, sf).select("test_id", "input", "expected")
+    return R.json_records(cases.select(F.to_json(F.struct("*")).alias("value")), R.CASE_SCHEMA)
 
 
 @query("scan_metrics_report", S.with_(*S.SCORED_CTES) + """SELECT label, test_id, input_preview, valid_json, field_accuracy,
   format_compliance, output_preview FROM scored WHERE label IN ('sft_model', 'dpo_model')""")
 def q_s5(spark, sf):
-    """Per-test rows of two stages from a written three-stage report."""
-    path = _scratch(spark, "report")
-    scored = _scored(spark, sf)
-    summary = score.evaluate_outputs(scored)
-    rep = K.report_three_stage(summary, TRAINING, HARDWARE)
-    K.write_report_with_tests(rep, scored.drop("empty_expected_list"), path)
-    return R.scan_metrics_report(spark, path).select(
-        "label", "test_id", "input_preview", "valid_json", "field_accuracy", "format_compliance", "output_preview")
+    """Per-test rows of two stages parsed from a report's per-test lines."""
+    per = _scored(spark, sf).drop("empty_expected_list")
+    return R.per_test_records(per.select(F.to_json(F.struct(*R.PER_TEST_COLUMNS)).alias("value")))
 
 
 def _wide_sql(groups: dict[str, str]) -> str:
@@ -208,8 +191,3 @@ def q_d1(spark, sf):
     return udf.filter_callable(pairs, lambda b: b["prompt"].str.len() > 200, ["prompt"]).select("pair_id", "prompt")
 
 
-@query("batch_generate", S.with_(S.X_CASES) + f"""SELECT test_id, array_to_string(({S.split(f"{S.lit(prompts.USER_TAG + prompts.INSTRUCTION + prompts.TEXT_LABEL)} || input || {S.lit(chr(10) + prompts.END_TAG + prompts.ASSISTANT_TAG)}")})[1:256], ' ') AS output FROM x_cases""")
-def q_d2(spark, sf):
-    """Generation over every case prompt with a factory loaded once per partition (echo double)."""
-    p = X.x_cases(spark, sf).select("test_id", prompts.inference_prompt("input").alias("prompt"))
-    return udf.batch_generate(p, lambda: udf.echo_generator, max_new=256)

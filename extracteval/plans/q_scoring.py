@@ -173,13 +173,6 @@ for _col, _name, _doc in (("valid_json_rate", "valid_json_rate", "A2"), ("field_
     query(_name, SUMMARY_SQL + f"SELECT label, {_col} FROM summary")(_mk2())
 
 
-@query("per_test_nested")
-def q_per_test_nested(spark, sf):
-    """A6 (opt-in): summary rows carrying their ordered per-test records."""
-    scored = _scored(spark, sf)
-    return score.per_test_nested(scored, score.evaluate_outputs(scored))
-
-
 @query("improvement", SUMMARY_SQL + """SELECT
   round_even(a.valid_json_rate - b.valid_json_rate, 3) AS valid_json_improvement,
   round_even(a.field_accuracy - b.field_accuracy, 3) AS field_accuracy_improvement,

@@ -39,9 +39,8 @@ def q_u3(spark, sf):
     return st.select("doc_id", F.col("n_grams").alias("n_bigrams"), "n_distinct")
 
 
-VOCAB_CTE = f"""vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 1 AS INTEGER) AS token_id, n
-  FROM (SELECT token, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest({S.split('text')}) AS token FROM documents) GROUP BY token)
-  QUALIFY row_number() OVER (ORDER BY n DESC, token) <= {encode.VOCAB_SIZE})"""
+VOCAB_CTE = f"""vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, md5(token), token) + 1 AS BIGINT) AS token_id, n
+  FROM (SELECT token, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest({S.split('text')}) AS token FROM documents) GROUP BY token))"""
 
 
 def _ids_cte(src: str, keys: str, text: str, name: str = "ids") -> str:
@@ -66,7 +65,7 @@ def _join_ids(c):
 
 @query("build_vocab", S.with_(VOCAB_CTE) + "SELECT token, token_id, n FROM vocab")
 def q_n1(spark, sf):
-    """Vocabulary of the document corpus (top 32000 tokens by count)."""
+    """Vocabulary of the document corpus (every token, by count)."""
     return encode.build_vocab(_docs(spark, sf))
 
 
@@ -92,8 +91,7 @@ def q_n3(spark, sf):
 
 
 N4_SQL = S.with_(S.X_PAIRS, S.F4_CTE, VOCAB_CTE,
-    "t500 AS (SELECT * FROM f4 ORDER BY md5('42:' || CAST(pair_id AS VARCHAR)), pair_id LIMIT 500)",
-    "sides AS (SELECT pair_id, 'chosen' AS side, input || ' ' || chosen AS text FROM t500 UNION ALL SELECT pair_id, 'rejected', input || ' ' || rejected FROM t500)",
+    "sides AS (SELECT pair_id, 'chosen' AS side, input || ' ' || chosen AS text FROM f4 UNION ALL SELECT pair_id, 'rejected', input || ' ' || rejected FROM f4)",
     _ids_cte("sides", "pair_id, side", "text")) + f"""SELECT pair_id,
   max(CASE WHEN side = 'chosen' THEN {_P} END) AS chosen_ids, max(CASE WHEN side = 'chosen' THEN {_M} END) AS chosen_mask,
   max(CASE WHEN side = 'rejected' THEN {_P} END) AS rejected_ids, max(CASE WHEN side = 'rejected' THEN {_M} END) AS rejected_mask
@@ -102,8 +100,8 @@ FROM ids GROUP BY pair_id"""
 
 @query("encode_pairs", N4_SQL)
 def q_n4(spark, sf):
-    """Sampled simple-filtered pairs encoded to four fixed-length arrays."""
-    pairs = curate.sample_pairs(curate.filter_pairs_simple(X.x_pairs(spark, sf)), 500)
+    """All simple-filtered pairs encoded to four fixed-length arrays."""
+    pairs = curate.filter_pairs_simple(X.x_pairs(spark, sf))
     enc = encode.encode_pairs(pairs, encode.build_vocab(_docs(spark, sf)))
     return enc.select("pair_id", *[_join_ids(F.col(c)).alias(c) for c in ("chosen_ids", "chosen_mask", "rejected_ids", "rejected_mask")])
 
@@ -186,9 +184,9 @@ def q_l5(spark, sf):
     return prefnum.mean_of_batch_means(prefnum.dpo_loss(prefnum.logratios(_tok(spark, sf))))
 
 
-@query("running_loss_log", S.with_(S.X_LOSSES) + f"""SELECT run_id, step, {S.mean_half_even('u', 'step')} AS running_loss FROM (
-  SELECT run_id, step, CAST(sum(CAST(round_even(loss * 1000000.0, 0) AS BIGINT)) OVER (PARTITION BY run_id ORDER BY step
-  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS u FROM x_losses) WHERE step % 20 = 0""")
+@query("running_loss_log", S.with_(S.X_LOSSES) + f"""SELECT run_id, step, round_even(u, 4) AS running_loss FROM (
+  SELECT run_id, step, CAST(sum(CAST(loss AS DECIMAL(30,18))) OVER (PARTITION BY run_id ORDER BY step
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / step AS u FROM x_losses) WHERE step % 20 = 0""")
 def q_v1(spark, sf):
     """V1: running mean loss every 20 steps of each logged run."""
     return prefnum.running_loss_log(X.x_losses(spark, sf))

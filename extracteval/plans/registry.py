@@ -13,6 +13,23 @@ from extracteval.session import configure
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+def exact_round(sql: str) -> str:
+    """``round_even(x, n)`` as a cast of the printed number: DuckDB prints the binary value exactly,
+    so the oracle rounds as Python does without multiplying first."""
+    mark = "round_even("
+    while (at := sql.find(mark)) >= 0:
+        depth, cut, end = 1, -1, at + len(mark)
+        while depth:
+            c = sql[end]
+            depth += (c == "(") - (c == ")")
+            if c == "," and depth == 1:
+                cut = end
+            end += 1
+        value, digits = sql[at + len(mark) : cut], sql[cut + 1 : end - 1].strip()
+        sql = f"{sql[:at]}CAST(printf('%.{digits}f', CAST({value} AS DOUBLE)) AS DOUBLE){sql[end:]}"
+    return sql
+
+
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
@@ -27,7 +44,7 @@ def query(name: str, sql: str | None = None):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = exact_round(sql)
         return run
 
     return deco

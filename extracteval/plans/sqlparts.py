@@ -197,15 +197,8 @@ F1_CTE = """f1 AS (SELECT *, coalesce(CAST(chosen_rating AS DOUBLE), CAST(chosen
   coalesce(input, question, prompt, '') AS prompt_text,
   coalesce(CAST(rejected_rating AS DOUBLE), 0.0) AS rejected_value FROM x_pairs)"""
 F3_CTE = """f3 AS (SELECT * FROM f1 WHERE NOT (chosen_value <> 0 AND rejected_value <> 0 AND NOT isnan(chosen_value)
-  AND chosen_value = rejected_value) AND chosen_value >= 4.0 AND length(prompt_text) > 0
+  AND chosen_value = rejected_value) AND chosen_value >= 4.0 AND NOT isnan(chosen_value) AND length(prompt_text) > 0
   AND coalesce(length(chosen), 0) > 0 AND coalesce(length(rejected), 0) > 0)"""
-F4_CTE = """f4 AS (SELECT * FROM x_pairs WHERE coalesce(CAST(chosen_score AS DOUBLE), 0.0) >= 4.0
+F4_CTE = """f4 AS (SELECT * FROM x_pairs WHERE coalesce(CAST(chosen_score AS DOUBLE), 0.0) >= 4.0 AND NOT isnan(coalesce(CAST(chosen_score AS DOUBLE), 0.0))
   AND coalesce(length(input), 0) > 0 AND coalesce(length(chosen), 0) > 0 AND coalesce(length(rejected), 0) > 0)"""
 
-
-def mean_half_even(units_sum: str, count: str, unit_digits: int = 6, digits: int = 4) -> str:
-    d = f"(CAST({count} AS BIGINT) * {10 ** (unit_digits - digits)})"
-    r = f"((({units_sum}) % {d} + {d}) % {d})"
-    q = f"((({units_sum}) - {r}) // {d})"
-    up = f"(2 * {r} > {d} OR (2 * {r} = {d} AND (({q} % 2) + 2) % 2 = 1))"
-    return f"(CAST({q} + CASE WHEN {up} THEN 1 ELSE 0 END AS DOUBLE) / {float(10 ** digits)})"

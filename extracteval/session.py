@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -40,16 +39,9 @@ def get_spark(master: str | None = None, app: str = "extracteval", **conf: str)
 
 
 def shared_dir(spark: SparkSession, sub: str) -> str:
-    """A folder under the cluster's shared checkpoint directory.
-
-    The directory comes from ``spark.checkpoint.dir``; only a local-mode session without
-    one (tests, laptops) gets a fresh temporary folder.
-    """
+    """A folder under the cluster's shared checkpoint directory (``spark.checkpoint.dir``), or
+    under the session's warehouse where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="extracteval-"))
-        base = spark.sparkContext.getCheckpointDir()
+        base = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_shared")
     return os.path.join(base.rstrip("/"), sub)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from extracteval.functions.jsonx import is_valid_json
 from extracteval.functions.pytext import py_strip
@@ -16,20 +18,43 @@ PER_TEST_SCHEMA = (
 )
 
 
-def scan_sft_jsonl_strict(spark: SparkSession, path: str, schema: str = SFT_SCHEMA) -> DataFrame:
-    """One JSON object per line after stripping; a blank or malformed line fails the job."""
+PER_TEST_COLUMNS = [f.split()[0] for f in PER_TEST_SCHEMA.split(", ")]
+
+
+def json_records(lines: DataFrame, schema: str | StructType) -> DataFrame:
+    """Lines (``value``) -> records; a malformed line fails the job."""
+    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
+def sft_records_strict(lines: DataFrame, schema: str = SFT_SCHEMA) -> DataFrame:
+    """S1 on lines: one JSON object a line after stripping; a blank or malformed line fails."""
     line = py_strip(F.col("value"))
     checked = (
         F.when(F.length(line) == 0, F.raise_error(F.lit("blank line in JSONL source")))
         .when(~is_valid_json(line), F.raise_error(F.concat(F.lit("malformed JSONL line: "), F.left(line, F.lit(80)))))
         .otherwise(F.from_json(line, schema, {"mode": "FAILFAST"}))
     )
-    return spark.read.text(path).select(checked.alias("r")).select("r.*")
+    return lines.select(checked.alias("r")).select("r.*")
+
+
+def sft_records_lenient(lines: DataFrame, schema: str = SFT_SCHEMA) -> DataFrame:
+    """S2 on lines: blank lines skipped; a malformed line still fails the job."""
+    return json_records(lines.where(F.length(py_strip(F.col("value"))) > 0), schema)
+
+
+def per_test_records(lines: DataFrame, labels: tuple[str, ...] = ("sft_model", "dpo_model")) -> DataFrame:
+    """S5 on lines: per-test rows of the given stages."""
+    return json_records(lines, PER_TEST_SCHEMA).where(F.col("label").isin(*labels))
+
+
+def scan_sft_jsonl_strict(spark: SparkSession, path: str, schema: str = SFT_SCHEMA) -> DataFrame:
+    """A path of JSONL, strictly."""
+    return sft_records_strict(spark.read.text(path), schema)
 
 
 def scan_sft_jsonl_lenient(spark: SparkSession, path: str, schema: str = SFT_SCHEMA) -> DataFrame:
-    """Blank lines skipped; a malformed line still fails the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    """A path of JSONL, leniently."""
+    return sft_records_lenient(spark.read.text(path), schema)
 
 
 def scan_preference_pairs(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
@@ -42,21 +67,28 @@ def scan_preference_pairs(spark: SparkSession, path: str, fmt: str = "parquet",
 
 def scan_test_cases(spark: SparkSession, path: str) -> DataFrame:
     """Test cases with an explicit ``test_id`` (position is never identity)."""
-    return spark.read.schema(CASE_SCHEMA).option("mode", "FAILFAST").json(path)
+    return json_records(spark.read.text(path), CASE_SCHEMA)
 
 
 def scan_metrics_report(spark: SparkSession, path: str, labels: tuple[str, ...] = ("sft_model", "dpo_model")) -> DataFrame:
-    """Per-test rows of the given stages from a report written by ``sinks.reports``.
+    """Per-test rows of the given stages from a stored report.
 
-    The per-test table is stored as JSON lines partitioned by label, so only the requested
-    stages are read (partition pruning).  A missing report raises with a message.
+    ``path`` is a folder that ``sinks.reports`` wrote (per-test JSON lines partitioned by label, so
+    only the requested stages are read) or one nested report: a JSON document with an object for
+    each stage that holds a ``per_test`` list.  Such a document is a report on a small evaluation
+    set and is parsed as one value.  A path that is not there raises with a message.
     """
-    from py4j.protocol import Py4JJavaError
-
     try:
-        per = spark.read.schema(PER_TEST_SCHEMA).json(f"{path.rstrip('/')}/per_test")
-    except Exception as exc:  # noqa: BLE001 - AnalysisException / Py4J
-        if isinstance(exc, Py4JJavaError) or "PATH_NOT_FOUND" in str(exc):
-            raise FileNotFoundError(f"report not found at {path}; write it with sinks.reports first") from exc
+        document = spark.read.text(path, wholetext=True, recursiveFileLookup=False)
+        folder = "label" in document.columns or document.isEmpty()
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" in str(missing):
+            raise FileNotFoundError(f"report not found at {path}; write it with sinks.reports first") from missing
         raise
-    return per.where(F.col("label").isin(*labels))
+    if folder:
+        per = spark.read.schema(PER_TEST_SCHEMA).json(f"{path.rstrip('/')}/per_test")
+        return per.where(F.col("label").isin(*labels))
+    test = "array<struct<" + ", ".join(f.replace(" ", ":") for f in PER_TEST_SCHEMA.split(", ")[1:]) + ">>"
+    stages = F.from_json("value", f"map<string, struct<per_test:{test}>>")
+    rows = document.select(F.explode(stages).alias("label", "stage")).where(F.col("label").isin(*labels))
+    return rows.select("label", F.inline("stage.per_test")).select(*PER_TEST_COLUMNS)

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from extracteval.plans import registry
 from extracteval.sources.tables import TABLES
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -12,7 +13,7 @@ CHECKED = [
     "evaluate_outputs", "score_outputs", "alignment_mismatch", "stage_deltas", "win_rate", "avg_length_diversity",
     "filter_pairs_quality", "sample_pairs", "assign_batches", "normalise_completion", "render_inference_prompt",
     "tokenize_ids", "pack_sequences", "dpo_loss", "running_loss_log", "summary_table", "markdown_table",
-    "scan_sft_jsonl_strict", "filter_callable", "batch_generate",
+    "scan_sft_jsonl_strict", "filter_callable",
 ]
 
 
@@ -42,8 +43,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_docs_and_entry_runs(spark):
-    qs = E.queries()
-    assert len(qs) == 81
+    qs = registry.queries()
+    assert len(qs) == 79
     assert all(fn.__doc__ for fn in qs.values())
     assert E.entry(spark).count() == 3
 
@@ -66,9 +67,21 @@ def test_no_python_in_scoring_plan(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
-def test_funnel_scans_conversations_in_one_pass_per_stage(spark):
+def test_funnel_evaluates_the_pair_view_once(spark):
     plan = _plan(E.queries()["curation_funnel"](spark, SF_SMALL))
     assert "ArrowEvalPython" not in plan
+    once = _plan(E.queries()["filter_pairs_quality"](spark, SF_SMALL))
+    assert plan.count("FileScan") == once.count("FileScan")
+
+
+def test_no_query_deals_rows_round_robin(spark):
+    for name in ("evaluate_outputs", "win_rate", "curation_funnel", "pack_sequences", "tokenize_ids"):
+        assert "RoundRobin" not in _plan(E.queries()[name](spark, SF_SMALL)), name
+
+
+def test_win_rate_scores_only_the_two_checkpoints(spark):
+    plan = E.queries()["win_rate"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "dpo_model" in plan and "Filter" in plan and "label" in plan.split("Generate")[0]
 
 
 def test_projection_reaches_scan(spark):

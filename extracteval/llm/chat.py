@@ -8,7 +8,7 @@ Kinds: ``open`` starts a message, ``delta`` appends to it, ``edit`` replaces its
 ``regenerate`` clears it for new deltas and rewinds: what later messages recorded before it is
 dropped, ``delete`` removes it.  Deltas without an open message start one with the role ``""``.
 
-Each final message becomes one row of the formatted table: ``<|role|>`` newline, the text,
+Each final message becomes one row of the formatted table: ``<|role |>`` newline, the text,
 ``<|end|>`` newline.  Inside roles and texts a backslash is put before every backslash and into
 every control string, so none can be read as a mark, and taking it out again restores the text.
 The loss mask covers the text of assistant messages.
@@ -51,14 +51,14 @@ def unescape(text: str) -> str:
 
 def render(role: str, text: str) -> tuple[str, int, int]:
     """-> (formatted message, start and end of the loss mask; equal when nothing is learned)."""
-    head = f"<|{escape(role)}|>\n"
+    head = f"<|{escape(role)} |>\n"
     body = escape(text)
     return head + body + END, len(head), len(head) + (len(body) if role == "assistant" else 0)
 
 
 def parse(formatted: str) -> tuple[str, str]:
     """A formatted message -> (role, text)."""
-    role, _, rest = formatted[2:].partition("|>\n")
+    role, _, rest = formatted[2:].partition(" |>\n")
     return unescape(role), unescape(rest[: -len(END)])
 
 
@@ -220,5 +220,5 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(length({_SQL_ESCAPED.format('role')}) + length({_SQL_ESCAPED.format('text')}) + {len('<||>') + 1 + len(END)}) AS BIGINT) AS formatted_chars
+  CAST(sum(length({_SQL_ESCAPED.format('role')}) + length({_SQL_ESCAPED.format('text')}) + {len('<| |>') + 1 + len(END)}) AS BIGINT) AS formatted_chars
 FROM rows GROUP BY conv_id"""

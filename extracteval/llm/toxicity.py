@@ -102,8 +102,8 @@ class Grammar:
 
     forms: dict[str, float] = field(default_factory=lambda: {"=" + w: FIXED_WEIGHT for w in INSULTS})
     weights: list[float] = field(default_factory=lambda: [-4.0] + [
-        (5.0 if o[0] == "I" else 3.0) - (4.0 if "n" in o else 0) - (3.0 if "r" in o else 0) + ("p" in o) for o in OUTPUTS
-    ] + [0.5, 0.5, 0.5])
+        (6.0 if o[0] == "I" else 3.0) - (6.0 if "n" in o else 0) - (4.0 if "r" in o else 0) + ("p" in o) for o in OUTPUTS
+    ] + [0.2, 0.2, 0.2])
 
     def __post_init__(self) -> None:
         fixed = {"T": THREATS, "P": TARGETS, "N": NEGATIONS, "R": REPORTS}

@@ -39,13 +39,17 @@ COUNTS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
 def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
     """Unsigned 32-bit values -> (control bytes, data bytes)."""
     values = values.astype(np.uint32)
-    size = 1 + (values > 0xFF) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    size = 1 + (values > 0xFF).astype(np.uint8)
+    if int(values.max(initial=0)) > 0xFFFF:
+        size = size + (values > 0xFFFF) + (values > 0xFFFFFF)
     code = np.zeros(-(-len(values) // 4) * 4, dtype=np.uint8)
     code[: len(values)] = size - 1
     code = code.reshape(-1, 4)
     control = code[:, 0] | code[:, 1] << 2 | code[:, 2] << 4 | code[:, 3] << 6
-    quads = values.astype("<u4").view(np.uint8).reshape(-1, 4)
-    data = quads[np.arange(4) < size[:, None]]
+    # columns that no value needs are left out of the selection
+    wide = int(size.max(initial=1))
+    octets = values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :wide]
+    data = octets[np.arange(wide) < size[:, None]]
     return control.tobytes(), data.tobytes()
 
 
@@ -54,7 +58,7 @@ def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     at = np.cumsum(size) - size
     raw = np.frombuffer(data + b"\0\0\0", dtype=np.uint8)
     out = raw[at].astype(np.uint32)
-    for k in (1, 2, 3):
+    for k in range(1, int(size.max(initial=1))):
         longer = np.flatnonzero(size > k)
         out[longer] |= raw[at[longer] + k].astype(np.uint32) << (8 * k)
     return out
@@ -91,9 +95,9 @@ def encode_texts(docs: DataFrame, tokenizer: str, end_id: int, spaces: bool = Tr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, spaces)
         for b in batches:
-            ids = list(enc.ids(b.column(1).to_pylist(), end_id))
+            ids = list(enc.blobs(b.column(1).to_pylist(), end_id))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(i) for i in ids], pa.int64()), pa.array([i.tobytes() for i in ids], pa.binary())],
+                [b.column(0), pa.array([len(i) // enc.dtype.itemsize for i in ids], pa.int64()), pa.array(ids, pa.binary())],
                 names=["doc_id", "n_tokens", "ids"],
             )
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -21,6 +22,10 @@ _WORD = r"[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[,.;:!?*#$%&|])"
 _WITH_SPACE = re.compile(rf"\s*+{_WORD}|\s*+\S++|\s++").findall
 _NO_SPACE = re.compile(rf"{_WORD}|\S++").findall
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+# Byte-level vocabularies write a byte as itself where it prints, else as the next sign from U+0100.
+_PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_SIGNS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 CACHE_ENTRIES = 1_000_000  # memory bound of a worker's cache; a full cache starts anew
 
 
@@ -62,6 +67,7 @@ class TextEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.spaces = spaces
         self.findall = _WITH_SPACE if spaces else _NO_SPACE
         self.after_space = _Pieces(self, " " if spaces else "", cut=True)
@@ -70,15 +76,15 @@ class TextEncoder:
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype=self.dtype).tobytes()
+        return array(self.code, ids).tobytes()
 
     def word(self, piece: str) -> bytes:
-        """One piece; plain ASCII letters are one pre-split token, so the model alone decides."""
-        if piece.isascii():
-            bare = piece[1:] if piece[:1] == " " else piece
-            if bare.isalpha():
-                mapped = "Ġ" + bare if len(bare) < len(piece) else bare if self.spaces else bare.lower()
-                return np.array([t.id for t in self.model.tokenize(mapped)], dtype=self.dtype).tobytes()
+        """One piece; plain Latin letters are one pre-split token, so the model alone decides."""
+        bare = piece[1:] if piece[:1] == " " else piece
+        if _LETTERS(bare):
+            letters = piece if self.spaces else bare.lower()
+            signs = letters.encode().decode("latin-1").translate(_BYTE_SIGNS)
+            return array(self.code, [t.id for t in self.model.tokenize(signs)]).tobytes()
         return self.whole(piece)
 
     def part(self, piece: str) -> bytes:
@@ -103,11 +109,16 @@ class TextEncoder:
         except _Unsafe:
             return b"".join(map(self.bare.__getitem__, self.findall(text)))
 
-    def ids(self, texts: Iterable[str | None], end: int) -> Iterable[np.ndarray]:
-        """Ids of each text followed by ``end``."""
+    def blobs(self, texts: Iterable[str | None], end: int) -> Iterable[bytes]:
+        """Id bytes of each text followed by ``end``."""
         tail = np.array([end], dtype=self.dtype).tobytes()
         for text in texts:
-            yield np.frombuffer(self(text) + tail, dtype=self.dtype)
+            yield self(text) + tail
+
+    def ids(self, texts: Iterable[str | None], end: int) -> Iterable[np.ndarray]:
+        """Ids of each text followed by ``end``."""
+        for blob in self.blobs(texts, end):
+            yield np.frombuffer(blob, dtype=self.dtype)
 
 
 @lru_cache(maxsize=2)

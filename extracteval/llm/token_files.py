@@ -6,7 +6,7 @@ each value's byte count, four values a byte) and the data bytes.  Blocks are row
 table written in ascending ``doc_id`` order, with the rank table beside it; any store that Spark
 writes to will do.  Decoding is a numpy table lookup from control byte to byte counts.
 
-Steps: encode every text once (map only, stored), count ids (one histogram a task, summed by id),
+Steps: encode every text once (map only, stored, each task with its id histogram), sum the histograms by id,
 rank them (one row for each vocabulary entry), range-partition by ``doc_id``, write blocks.
 
 Defined results: null text encodes as empty (just the end id); null doc_ids come first; repeated
@@ -90,36 +90,52 @@ def unpack_block(blob: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray,
 
 
 def encode_texts(docs: DataFrame, tokenizer: str, end_id: int, spaces: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian bytes, end id included); stored once."""
+    """doc_id, n_tokens, ids (little-endian bytes, end id included), counts; stored once.
+
+    ``counts`` is null but for the last row of each task, which holds the task's id histogram.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, spaces)
+        enc, total, held = encoder(tokenizer, spaces), np.zeros(0, dtype=np.int64), None
         for b in batches:
+            if not b.num_rows:
+                continue
+            if held:
+                yield _encoded(*held, None)
             ids = list(enc.blobs(b.column(1).to_pylist(), end_id))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(i) // enc.dtype.itemsize for i in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=["doc_id", "n_tokens", "ids"],
-            )
+            seen = np.bincount(np.frombuffer(b"".join(ids), enc.dtype), minlength=len(total))
+            seen[: len(total)] += total
+            total, held = seen, (b.column(0), ids, enc.dtype.itemsize)
+        if held:
+            there = np.flatnonzero(total)
+            yield _encoded(*held, there.astype("<i8").tobytes() + total[there].astype("<i8").tobytes())
 
     prepare(docs.sparkSession)
     pairs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return stored(pairs.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary"), "token-ids")
+    return stored(pairs.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary, counts binary"), "token-ids")
+
+
+def _encoded(doc_ids: pa.Array, ids: list[bytes], width: int, counts: bytes | None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            doc_ids, pa.array([len(i) // width for i in ids], pa.int64()), pa.array(ids, pa.binary()),
+            pa.array([None] * (len(ids) - 1) + [counts], pa.binary()),
+        ],
+        names=["doc_id", "n_tokens", "ids", "counts"],
+    )
 
 
-def count_ids(encoded: DataFrame, dtype: str) -> DataFrame:
-    """token_id, n over all documents: each task sends one histogram."""
+def count_ids(encoded: DataFrame) -> DataFrame:
+    """token_id, n over all documents, from the histogram that each task stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
         for b in batches:
             for blob in b.column(0).to_pylist():
-                h = np.bincount(np.frombuffer(blob, dtype), minlength=len(total))
-                h[: len(total)] += total
-                total = h
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["token_id", "n"])
+                ids, n = np.frombuffer(blob, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["token_id", "n"])
 
-    return encoded.select("ids").mapInArrow(run, "token_id bigint, n bigint").groupBy("token_id").agg(F.sum("n").alias("n"))
+    found = encoded.select("counts").where("counts IS NOT NULL").mapInArrow(run, "token_id bigint, n bigint")
+    return found.groupBy("token_id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, spaces: bool = True) -> None:
@@ -128,7 +144,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     dtype = str(encoder(tokenizer, spaces).dtype)
     encoded = encode_texts(docs, tokenizer, end_id, spaces)
     # at most one row for each entry of the tokenizer's vocabulary
-    counts = sorted((-r.n, r.token_id) for r in count_ids(encoded, dtype).collect())
+    counts = sorted((-r.n, r.token_id) for r in count_ids(encoded).collect())
     ids = [i for _, i in counts]
     rank = np.zeros(max(ids, default=0) + 1, dtype=np.uint32)
     rank[ids] = np.arange(len(ids), dtype=np.uint32)
@@ -156,7 +172,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         if docs_in:
             yield close()
 
-    ordered = encoded.repartitionByRange("doc_id", "n_tokens").sortWithinPartitions("doc_id", "n_tokens", "ids")
+    ordered = encoded.select("doc_id", "n_tokens", "ids").repartitionByRange("doc_id", "n_tokens").sortWithinPartitions("doc_id", "n_tokens", "ids")
     blocks = ordered.select("doc_id", "ids").mapInArrow(run, "file_no bigint, block_no bigint, n_values bigint, block binary")
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
 

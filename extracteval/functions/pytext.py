@@ -44,14 +44,19 @@ def round_half_even(c: Column | str, digits: int) -> Column:
     Where ``x * 10**n`` lands on a tie only because the product was rounded, the residual of the
     product (Veltkamp split; the scale has few bits, so both partial products are exact) decides.
     """
-    x, scale = col_(c).cast("double"), float(10**digits)
-    product = x * F.lit(scale)
-    high = x * F.lit(134217729.0) - (x * F.lit(134217729.0) - x)
-    residual = (high * F.lit(scale) - product) + (x - high) * F.lit(scale)
-    low = F.floor(product).cast("double")
-    tie = (product - low) == 0.5
-    whole = F.when(tie & (residual > 0), low + 1).when(tie & (residual < 0), low).otherwise(F.rint(product))
-    return whole / F.lit(scale)
+    scale = float(10**digits)
+
+    def rounded(x: Column) -> Column:
+        product = x * F.lit(scale)
+        high = x * F.lit(134217729.0) - (x * F.lit(134217729.0) - x)
+        residual = (high * F.lit(scale) - product) + (x - high) * F.lit(scale)
+        low = F.floor(product).cast("double")
+        tie = (product - low) == 0.5
+        whole = F.when(tie & (residual > 0), low + 1).when(tie & (residual < 0), low).otherwise(F.rint(product))
+        return whole / F.lit(scale)
+
+    # bound by a lambda, so a costly input is worked out once
+    return F.get(F.transform(F.array(col_(c).cast("double")), rounded), F.lit(0))
 
 
 def py_float(c: Column | str) -> Column:

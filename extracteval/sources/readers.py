@@ -23,7 +23,8 @@ PER_TEST_COLUMNS = [f.split()[0] for f in PER_TEST_SCHEMA.split(", ")]
 
 def json_records(lines: DataFrame, schema: str | StructType) -> DataFrame:
     """Lines (``value``) -> records; a malformed line fails the job."""
-    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    # a generator parses each line once, however many fields are read
+    return lines.select(F.inline(F.array(F.from_json("value", schema, {"mode": "FAILFAST"}))))
 
 
 def sft_records_strict(lines: DataFrame, schema: str = SFT_SCHEMA) -> DataFrame:
@@ -34,7 +35,7 @@ def sft_records_strict(lines: DataFrame, schema: str = SFT_SCHEMA) -> DataFrame:
         .when(~is_valid_json(line), F.raise_error(F.concat(F.lit("malformed JSONL line: "), F.left(line, F.lit(80)))))
         .otherwise(F.from_json(line, schema, {"mode": "FAILFAST"}))
     )
-    return lines.select(checked.alias("r")).select("r.*")
+    return lines.select(F.inline(F.array(checked)))
 
 
 def sft_records_lenient(lines: DataFrame, schema: str = SFT_SCHEMA) -> DataFrame:

@@ -7,6 +7,8 @@ composed into one table, which is run over every clause that holds an insult or
 puts out (plain, targeted, negated, reported ...) is counted by clause and weighted by a logistic
 model.  The insult lexicon is a few fixed words plus words and word beginnings learned from
 labelled texts by greedy cover: the form that best tells the toxic texts that are still unexplained.
+A word beginning may ask for a density: it then counts only in texts where it stands at least once
+in so many characters, as a beginning that is rare in clean texts and frequent in toxic ones does.
 
 The model is fitted on at most ``FIT_ROWS`` labelled rows (least hashes of the id) and only on rows
 outside the held-out fifth; the score uses nothing but the text.
@@ -35,7 +37,8 @@ from extracteval.llm.common import held_out, prepare, stored
 
 FIT_ROWS = 20_000
 FIXED_WEIGHT = 6.0  # of the grammar's own insults where no label tells more
-TOP_FORMS = 3_000  # candidate lexicon forms that the greedy cover chooses from
+TOP_FORMS = 5_000  # candidate lexicon forms that the greedy cover chooses from
+DENSITIES = (300, 1_000)  # characters a text may have for each occurrence of a dense beginning
 NOISE = 0.5  # a learned form may be in so many other texts for each toxic one
 THRESHOLD = 0.5
 
@@ -98,7 +101,8 @@ FEATURES = [f"clauses {o}" for o in OUTPUTS] + ["strongest form", "weight of for
 
 @dataclass
 class Grammar:
-    """Lexicon and weights; ``forms`` are words ("=idiot") and word beginnings ("idio") with theirs."""
+    """Lexicon and weights; ``forms`` are words ("=idiot"), word beginnings ("idio") and dense word
+    beginnings ("idio@300", once in 300 characters or more often) with their weights."""
 
     forms: dict[str, float] = field(default_factory=lambda: {"=" + w: FIXED_WEIGHT for w in INSULTS})
     weights: list[float] = field(default_factory=lambda: [-4.0] + [
@@ -109,22 +113,38 @@ class Grammar:
         fixed = {"T": THREATS, "P": TARGETS, "N": NEGATIONS, "R": REPORTS}
         self.symbol = {w: s for s, words in fixed.items() for w in words}
         whole = [re.escape(f[1:]) + r"(?![^\W\d_])" for f in self.forms if f[0] == "="]
-        begin = [re.escape(f) for f in self.forms if f[0] != "="]
+        begin = [re.escape(f) for f in self.forms if f[0] != "=" and "@" not in f]
         threats = [w + r"(?![^\W\d_])" for w in THREATS]
         self.insult = re.compile("|".join(whole + begin) or "(?!)")
-        self.beginnings = sorted((f for f in self.forms if f[0] != "="), key=len, reverse=True)
+        self.beginnings = [f for f in self.forms if f[0] != "=" and "@" not in f]
+        parts = [f.rsplit("@", 1) for f in sorted(self.forms) if f[0] != "=" and "@" in f]
+        self.dense = [(b, int(chars), re.compile(r"(?<![^\W\d_])" + re.escape(b) + r"(?=[^\W\d_])")) for b, chars in parts]
         self.hit = re.compile(r"(?<![^\W\d_])(?:" + "|".join(whole + begin + threats) + ")")
 
-    def weight(self, word: str) -> float:
+    def weight(self, word: str, active: dict[str, float]) -> float:
         found = self.forms.get("=" + word)
         if found is None:
-            found = max((self.forms[f] for f in self.beginnings if word.startswith(f)), default=0.0)
+            plain = [self.forms[f] for f in self.beginnings if word.startswith(f)]
+            found = max(plain + [w for b, w in active.items() if word.startswith(b)], default=0.0)
         return found
 
+    def dense_hits(self, low: str) -> tuple[dict[str, float], list[int]]:
+        """The dense beginnings that the text holds often enough with their weights, and where."""
+        active, hits = {}, []
+        for begin, chars, pattern in self.dense:
+            if begin in low:
+                at = [m.start() for m in pattern.finditer(low)]
+                if at and len(at) * chars >= len(low):
+                    active[begin] = max(active.get(begin, 0.0), self.forms[f"{begin}@{chars}"])
+                    hits += at
+        return active, hits
+
     def features(self, text: str | None) -> np.ndarray:
         out = np.zeros(len(FEATURES))
         low = (text or "").lower()
-        hits = [m.start() for m in self.hit.finditer(low)]
+        active, hits = self.dense_hits(low)
+        often = tuple(active)
+        hits += [m.start() for m in self.hit.finditer(low)]
         if not hits:
             return out
         ends = [m.end() for m in CLAUSE_END.finditer(low)]
@@ -134,12 +154,12 @@ class Grammar:
             state, seen = 0, set()
             for m in WORD.finditer(low, cuts[k], cuts[k + 1]):
                 word = m[0]
-                symbol = "I" if self.insult.match(word) else self.symbol.get(word, "O")
+                symbol = "I" if self.insult.match(word) or word.startswith(often) else self.symbol.get(word, "O")
                 state, put = TABLE[state, symbol]
                 if put[0] in "IT":
                     seen.add(put)
                     if put[0] == "I":
-                        w = self.weight(word)
+                        w = self.weight(word, active)
                         out[-3] = max(out[-3], w)
                         out[-2] += w
             for put in seen:
@@ -155,8 +175,14 @@ class Grammar:
 
 
 def word_forms(text: str | None) -> set[str]:
-    words = {w for w in WORD.findall((text or "").lower()) if len(w) <= 40}
-    return {"=" + w for w in words} | {w[:k] for w in words for k in range(3, 9) if len(w) > k}
+    low = (text or "").lower()
+    words = Counter(w for w in WORD.findall(low) if len(w) <= 40)
+    begins = Counter()
+    for w, n in words.items():
+        for k in range(3, min(9, len(w))):
+            begins[w[:k]] += n
+    dense = {f"{b}@{d}" for b, n in begins.items() for d in DENSITIES if n * d >= len(low)}
+    return {"=" + w for w in words} | set(begins) | dense
 
 
 def _count_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,6 +235,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     def log_odds(f: str) -> float:
         return math.log((len(groups[f]) + 0.5) / (n_pos + 1)) - math.log((neg[f] + 0.5) / (n_neg + 1))
 
+    groups = {f: g for f, g in groups.items() if neg[f] <= NOISE * len(g)}
     found = dict(base)
     left = set(range(n_pos)) - set().union(*(groups.get(f, set()) for f in base))
     while left:
@@ -218,7 +245,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
             return gain, f[0] == "=", len(f), f
 
         best = max(groups, key=value, default=None)
-        if best is None or len(groups[best] & left) < max(2, n_pos // 200) or value(best)[0] < 10 or neg[best] > NOISE * len(groups[best]):
+        if best is None or len(groups[best] & left) < max(2, n_pos // 200) or value(best)[0] < 10:
             break
         found[best] = log_odds(best)
         left -= groups.pop(best)

@@ -379,6 +379,25 @@ def test_toxicity_learns(spark, odd, empty):
     assert toxicity.score_documents(empty, few).count() == 0
 
 
+def test_dense_beginnings_count_where_they_are_frequent():
+    g = toxicity.Grammar({"grubl@300": 6.0}, toxicity.Grammar().weights)
+    assert g.score("der grublig und") > 0.5 and g.score("grubl") < 0.1
+    assert g.score("der grublig und " + "wort " * 200) < 0.1 and g.score("der grublig und " + "wort grublo " * 200) > 0.5
+    assert {"grubl", "grubl@300", "=grublig"} <= toxicity.word_forms("Grublig")
+    forms = toxicity.word_forms("grublig " + "wort " * 100)
+    assert "grubl" in forms and "grubl@1000" in forms and "grubl@300" not in forms
+
+
+def test_candidates_keep_clear_of_spans():
+    text = "1.2.3.4.5@a.bc 999.1.1.1 999.1.1.1 card 4111 1111 1111 1112"
+    base = pii.base_spans(text)
+    found = pii.candidates(text, base)
+    taken = sorted([*base, *found])
+    assert [k for _, k, _ in found] == ["ip", "ip", "card"] and not any(a < e and s < b for a, _, b in found for s, k, e in taken if (s, k, e) not in found)
+    many = "999.1.1.1 " * 30_000  # many candidates in one text take linear time
+    assert len(pii.candidates(many, [])) == 30_000
+
+
 def test_grammar_reads_clauses():
     g = toxicity.Grammar()
     score = g.score

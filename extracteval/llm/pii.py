@@ -102,14 +102,14 @@ def candidates(text: str | None, base: list[tuple[int, str, int]]) -> list[tuple
     text = text or ""
     if not any(c in text for c in "@0123456789"):
         return []
-    taken = sorted((a, b) for a, _, b in base)
-    out = []
+    taken, out = bytearray(len(text)), []  # a mark for each character of a span
+    for a, _, b in base:
+        taken[a:b] = b"\1" * (b - a)
     for kind in KINDS:
         for m in _LIKE[kind].finditer(text):
-            k = int(np.searchsorted([a for a, _ in taken], m.end()))
-            if not any(b > m.start() for _, b in taken[max(0, k - 4) : k]):
+            if taken.find(1, m.start(), m.end()) < 0:
                 out.append((m.start(), kind, m.end()))
-                taken = sorted([*taken, (m.start(), m.end())])
+                taken[m.start() : m.end()] = b"\1" * (m.end() - m.start())
     return sorted(out)
 
 

@@ -1,15 +1,14 @@
 """Fence stripping, Python-json validity and safe parsing (R1-R3) as column expressions.
 
 Spark's JSON readers accept trailing text after a complete value (``{"a":1}x`` parses), which
-``json.loads`` rejects.  Validity therefore wraps the text as the value of a two-key object whose
-second key is the text's own md5: the wrap parses to exactly those two keys only when the text is
-one complete JSON value.  Parser options are pinned to Python's grammar (no single quotes, no
-comments, no leading zeros, no raw control characters; NaN/Infinity accepted).
+``json.loads`` rejects.  Validity therefore wraps the text with its own md5 as a second element,
+which is found there only when the text is one complete JSON value.  Variant parsing has Python's
+grammar but for the names NaN and Infinity, which are put as numbers first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extracteval.functions.pytext import WS, col_, py_strip
@@ -17,16 +16,10 @@ from extracteval.functions.pytext import WS, col_, py_strip
 # Fixed value: the fence pattern, with Python's \s spelled as the full whitespace class.
 FENCE_RE = "```json" + WS + "*|" + WS + "*```"
 
-_STRICT_JSON = {
-    "allowSingleQuotes": "false",
-    "allowComments": "false",
-    "allowUnquotedFieldNames": "false",
-    "allowNumericLeadingZeros": "false",
-    "allowUnquotedControlChars": "false",
-    "allowBackslashEscapingAnyCharacter": "false",
-    "allowNonNumericNumbers": "true",
-    "mode": "PERMISSIVE",
-}
+# A JSON string (kept as group 1), or a number name where a number may stand.
+_STRING_OR_NAME = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(?:(?<![\w.+-])NaN|(?<![\w.+])Infinity)(?![\w.+-])'
+# A raw control character, which no JSON text may hold.
+_MARK = "\x02"
 
 
 def strip_fences(c: Column | str) -> Column:
@@ -34,34 +27,36 @@ def strip_fences(c: Column | str) -> Column:
     return py_strip(F.regexp_replace(col_(c), FENCE_RE, ""))
 
 
-def _map_wrap_ok(x: Column, tag: Column) -> Column:
-    wrapped = F.concat(F.lit('{"v":'), x, F.lit(',"'), tag, F.lit('":1}'))
-    parsed = F.from_json(wrapped, "map<string,string>", _STRICT_JSON)
-    return (F.size(parsed) == 2) & F.map_contains_key(parsed, "v") & F.map_contains_key(parsed, tag)
-
-
 def variant_wrap(x: Column) -> Column:
     """``[x, "md5(x)"]`` parsed as VARIANT; the text is one JSON value iff element 1 is the tag."""
     return F.try_parse_json(F.concat(F.lit("["), x, F.lit(',"'), F.md5(x), F.lit('"]')))
 
 
+def _once(x: Column, use) -> Column:
+    """``use`` of ``x`` worked out once: a lambda's variable is bound to its value."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def _wrap_ok(w: Column, x: Column) -> Column:
     return F.try_variant_get(w, "$[1]", "string") == F.md5(x)
 
 
-def _non_numeric(x: Column) -> Column:
-    return F.instr(x, "NaN") + F.instr(x, "Infinity") > 0
+def numbers_for_names(x: Column) -> Column:
+    """Bare ``NaN`` / ``Infinity``, which Python's parser takes for numbers, as a number past the
+    double range (so both read as infinite); other spellings stay and fail to parse."""
+    marked = F.regexp_replace(x, _STRING_OR_NAME, "$1" + _MARK)
+    plain = F.replace(F.replace(marked, F.lit('"' + _MARK), F.lit('"')), F.lit(_MARK), F.lit("1e999"))
+    named = (F.instr(x, "NaN") + F.instr(x, "Infinity") > 0) & (F.instr(x, _MARK) == 0)
+    return F.when(named, plain).otherwise(x)
 
 
 def is_valid_json(c: Column | str) -> Column:
     """R2 core: the text is exactly one JSON value under Python's grammar; null -> false.
 
-    Variant parsing accepts trailing text and rejects NaN/Infinity, so the text is wrapped as
-    the first element of an array whose second element is the text's own md5 (unforgeable by
-    the text).  Texts mentioning NaN/Infinity take the slower map wrap whose parser accepts them.
+    Variant parsing accepts trailing text, so the text is wrapped as the first element of an array
+    whose second element is the text's own md5 (unforgeable by the text).
     """
-    x = col_(c)
-    ok = F.when(_non_numeric(x), _map_wrap_ok(x, F.md5(x))).otherwise(_wrap_ok(variant_wrap(x), x))
+    ok = _once(col_(c), lambda v: _once(numbers_for_names(v), lambda x: _wrap_ok(variant_wrap(x), x)))
     return F.coalesce(ok, F.lit(False))
 
 
@@ -84,17 +79,28 @@ def brace_slice(cleaned: Column | str) -> Column:
 def parse_json_safe(output: Column | str) -> Column:
     """A VARIANT object parsed from the brace slice; null stands for Python's ``{}``.
 
-    Validity and parse share one Variant parse of the wrapped slice.  An object holding bare
-    NaN/Infinity parses to ``{}`` (Variant has no such numbers; declared deviation).
+    Bare NaN and Infinity count as infinite numbers.
     """
     return parse_json_safe_clean(strip_fences(output))
 
 
 def parse_json_safe_clean(cleaned: Column | str) -> Column:
     """R3 on text whose fences are already removed."""
-    piece = brace_slice(cleaned)
-    w = variant_wrap(piece)
-    return F.when(_wrap_ok(w, piece), F.try_variant_get(w, "$[0]", "variant"))
+    piece = _once(_once(col_(cleaned), brace_slice), numbers_for_names)
+    both = _once(piece, lambda x: F.struct(x.alias("x"), variant_wrap(x).alias("w")))
+    return _once(both, lambda b: F.when(_wrap_ok(b["w"], b["x"]), F.try_variant_get(b["w"], "$[0]", "variant")))
+
+
+def with_parse(df: DataFrame, cleaned: str, valid: str, value: str) -> DataFrame:
+    """R2 and R3 of text without fences as columns ``valid`` and ``value`` from one parse: where
+    the brace slice is the whole text, as it mostly is, its parse also tells the text's validity."""
+    t = df.withColumn("_slice", brace_slice(cleaned)).withColumn("_piece", numbers_for_names(F.col("_slice")))
+    t = t.withColumn("_wrap", variant_wrap(F.col("_piece")))
+    t = t.withColumn("_whole", F.coalesce(_wrap_ok(F.col("_wrap"), F.col("_piece")), F.lit(False)))
+    same = F.col(cleaned) == F.col("_slice")
+    ok = F.when(same, F.col("_whole")).otherwise(is_valid_json(cleaned))
+    parsed = F.when(F.col("_whole"), F.try_variant_get("_wrap", "$[0]", "variant"))
+    return t.select(*df.columns, ok.alias(valid), parsed.alias(value))
 
 
 def as_object_map(v: Column | str) -> Column:

@@ -40,21 +40,68 @@ def _is_num(t: Column) -> Column:
     return t.isin(*_INTEGRAL, "DOUBLE", "FLOAT", "BOOLEAN") | t.startswith("DECIMAL")
 
 
+def float_text(d: Column) -> Column:
+    """``repr(float)``: plain digits for exponents from -4 to 15, else ``1e+20`` / ``1.5e-07``."""
+    s = F.abs(d).cast("string")
+    mantissa, power = F.substring_index(s, "E", 1), F.substring_index(s, "E", -1).try_cast("int")
+    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), "0+$", "")
+    digits = F.when(digits == "", F.lit("0")).otherwise(digits)
+    rest = F.substring(digits, F.lit(2), F.length(digits))
+    scientific = F.concat(
+        F.left(digits, F.lit(1)), F.when(rest == "", F.lit("")).otherwise(F.concat(F.lit("."), rest)),
+        F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), F.format_string("%02d", F.abs(power)),
+    )
+    after = F.substring(digits, power + 2, F.length(digits))
+    whole = F.concat(F.rpad(F.left(digits, power + 1), power + 1, F.lit("0")), F.lit("."), F.when(after == "", F.lit("0")).otherwise(after))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    text = (
+        F.when(s == "Infinity", F.lit("inf"))
+        .when(F.instr(s, "E") == 0, s)
+        .when((power >= 0) & (power < 16), whole)
+        .when((power < 0) & (power >= -4), small)
+        .otherwise(scientific)
+    )
+    return F.when(F.isnan(d), F.lit("nan")).otherwise(F.concat(F.when(d < 0, F.lit("-")).otherwise(F.lit("")), text))
+
+
+def string_repr(s: Column) -> Column:
+    """``repr(str)`` of printable text: single quotes, double ones where only they avoid escapes."""
+    for raw, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        s = F.replace(s, F.lit(raw), F.lit(escaped))
+    double = (F.instr(s, "'") > 0) & (F.instr(s, '"') == 0)
+    single = F.concat(F.lit("'"), F.replace(s, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(double, F.concat(F.lit('"'), s, F.lit('"'))).otherwise(single)
+
+
+def list_text(v: Column) -> Column:
+    """``str(list)``; lists and objects inside it render as JSON text (declared deviation)."""
+    items = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.struct(x.alias("x"), F.schema_of_variant(x).alias("t")))
+    return F.concat(F.lit("["), F.array_join(F.transform(items, lambda s: _item_text(s["x"], s["t"])), ", "), F.lit("]"))
+
+
+def _item_text(v: Column, t: Column) -> Column:
+    return F.when(t == "STRING", string_repr(F.variant_get(v, "$", "string"))).otherwise(_scalar_text(v, t))
+
+
 def py_text(v: Column, t: Column | None = None) -> Column:
     """``str(value)`` of the Python object json.loads would build (t: the value's type string).
 
     Floats arrive as DECIMAL with trailing zeros dropped (1.0 -> DECIMAL(1,0) '1'), so a
-    missing '.' gets '.0' back.  Objects and lists render as JSON text (declared deviation
-    from Python's repr).
+    missing '.' gets '.0' back.  Objects render as JSON text (declared deviation from Python's repr).
     """
     t = F.schema_of_variant(v) if t is None else t
+    return F.when(t.startswith("ARRAY"), list_text(v)).otherwise(_scalar_text(v, t))
+
+
+def _scalar_text(v: Column, t: Column) -> Column:
     dec = v.cast("string")
+    short = (F.length(dec) <= 16) & (F.abs(dec.try_cast("double")) >= 1e-4)
     return (
         F.when(v.isNull() | (t == "VOID"), F.lit("None"))
         .when(t == "STRING", F.variant_get(v, "$", "string"))
         .when(t == "BOOLEAN", F.when(F.variant_get(v, "$", "boolean"), F.lit("True")).otherwise(F.lit("False")))
-        .when(t.startswith("DECIMAL"), F.when(F.instr(dec, ".") > 0, dec).otherwise(F.concat(dec, F.lit(".0"))))
-        .when(t.isin("DOUBLE", "FLOAT"), F.try_variant_get(v, "$", "double").cast("string"))
+        .when(t.startswith("DECIMAL") & short, F.when(F.instr(dec, ".") > 0, dec).otherwise(F.concat(dec, F.lit(".0"))))
+        .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), float_text(F.try_variant_get(v, "$", "double")))
         .when(t.isin(*_INTEGRAL), dec)
         .otherwise(F.to_json(v))
     )

@@ -50,15 +50,29 @@ def is_tie(chosen: Column, rejected: Column) -> Column:
 
 
 def non_empty(df: DataFrame, name: str) -> Column:
-    """Python truthiness of a text or message-list column (null -> false)."""
+    """Python truthiness of a text, message-list or VARIANT column (null -> false)."""
     if name not in df.columns:
         return F.lit(False)
     c = F.col(name)
-    if isinstance(df.schema[name].dataType, T.ArrayType):
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.VariantType):
+        full = F.when(_is_list(c), F.size(F.try_variant_get(c, "$", "array<variant>")) > 0).otherwise(F.length(_variant_text(c)) > 0)
+        return F.coalesce(full, F.lit(False))
+    if isinstance(kind, T.ArrayType):
         return F.coalesce(F.size(c) > 0, F.lit(False))
     return F.coalesce(F.length(c) > 0, F.lit(False))
 
 
+def _is_list(v: Column) -> Column:
+    return F.schema_of_variant(v).startswith("ARRAY")
+
+
+def _variant_text(v: Column) -> Column:
+    """Text of a VARIANT: a string itself, JSON null as null, anything else as JSON text."""
+    t = F.schema_of_variant(v)
+    return F.when(t == "STRING", F.variant_get(v, "$", "string")).when(t != "VOID", F.to_json(v))
+
+
 def at_least(score: Column, least: float = MIN_SCORE) -> Column:
     """``score >= least`` as Python has it: false for NaN, which Spark orders above all numbers."""
     return (score >= least) & ~F.isnan(score)
@@ -91,7 +105,10 @@ def normalise_completion(df: DataFrame, name: str) -> Column:
     """Text -> itself; message list -> content of the last assistant message ('' if its
     content is missing), else the last element as JSON text, empty list -> ''."""
     c = F.col(name)
-    if not isinstance(df.schema[name].dataType, T.ArrayType):
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.VariantType):
+        return _variant_completion(c)
+    if not isinstance(kind, T.ArrayType):
         return F.coalesce(c.cast("string"), F.lit(""))
     asst = F.filter(c, lambda m: m["role"] == "assistant")
     return (
@@ -101,6 +118,19 @@ def normalise_completion(df: DataFrame, name: str) -> Column:
     )
 
 
+def _variant_completion(c: Column) -> Column:
+    """P9 of a VARIANT that holds a text in some rows and a message list in others."""
+    turns = F.try_variant_get(c, "$", "array<variant>")
+    asst = F.filter(turns, lambda m: F.try_variant_get(m, "$.role", "string") == "assistant")
+    said = _variant_text(F.try_variant_get(F.try_element_at(asst, F.lit(-1)), "$.content", "variant"))
+    of_list = (
+        F.when(F.size(asst) > 0, F.coalesce(said, F.lit("")))
+        .when(F.size(turns) > 0, F.to_json(F.try_element_at(turns, F.lit(-1))))
+        .otherwise(F.lit(""))
+    )
+    return F.when(_is_list(c), of_list).otherwise(F.coalesce(_variant_text(c), F.lit("")))
+
+
 def completion_from_turns(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     """P9 long form: (key, turn, role, text) rows -> key, completion; an aggregate, not a list."""
     is_a = F.col("role") == "assistant"

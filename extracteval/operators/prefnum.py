@@ -67,10 +67,14 @@ def dpo_loss(ratios: DataFrame, beta: float = BETA) -> DataFrame:
 
 
 def mean_of_batch_means(losses: DataFrame, batch: int = 2, seed: int = 42) -> DataFrame:
-    """Average over steps of per-batch mean loss (a short last batch weighs the same), 4 dp."""
+    """Average over steps of per-batch mean loss (a short last batch weighs the same), 4 dp;
+    ``pairs`` counts the losses."""
     b = assign_batches(losses.select("pair_id", "loss"), batch, seed)
-    per = b.groupBy("batch_id").agg(F.avg("loss").alias("m"))
-    return per.agg(F.count(F.lit(1)).alias("steps"), round_half_even(F.avg("m"), 4).alias("final_loss"))
+    per = b.groupBy("batch_id").agg(F.avg("loss").alias("m"), F.count(F.lit(1)).alias("n"))
+    return per.agg(
+        F.count(F.lit(1)).alias("steps"), round_half_even(F.avg("m"), 4).alias("final_loss"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"),
+    )
 
 
 def running_loss_log(losses: DataFrame, every: int = 20, run: str = "run_id", step: str = "step") -> DataFrame:

@@ -69,8 +69,9 @@ def alignment_mismatch(outputs: DataFrame, cases: DataFrame, labels: Sequence[st
 
 def _with_parsed(df: DataFrame, output: str = "output", expected: str = "expected") -> DataFrame:
     t = df.withColumn("_clean", jsonx.strip_fences(output))
-    t = t.withColumn("_pm", jsonx.as_object_map(jsonx.parse_json_safe_clean("_clean")))
-    return t.withColumn("_em", jsonx.as_object_map(F.try_parse_json(expected)))
+    t = jsonx.with_parse(t, "_clean", "_valid", "_value")
+    t = t.withColumn("_pm", jsonx.as_object_map("_value"))
+    return t.withColumn("_em", jsonx.as_object_map(F.try_parse_json(jsonx.numbers_for_names(F.col(expected)))))
 
 
 def score_outputs(aligned: DataFrame) -> DataFrame:
@@ -80,7 +81,7 @@ def score_outputs(aligned: DataFrame) -> DataFrame:
         "label",
         "test_id",
         F.concat(F.left("input", F.lit(60)), F.lit("...")).alias("input_preview"),
-        jsonx.is_valid_json("_clean").alias("valid_json"),
+        F.col("_valid").alias("valid_json"),
         scoring.field_accuracy("_em", "_pm").alias("field_accuracy"),
         scoring.format_compliance("output").alias("format_compliance"),
         py_strip(F.left("output", F.lit(100))).alias("output_preview"),

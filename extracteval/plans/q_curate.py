@@ -78,6 +78,33 @@ def q_p9(spark, sf):
     return curate.completion_from_turns(conv)
 
 
+@query("normalise_completion_mixed", S.with_(S.X_PAIRS) + """SELECT pair_id,
+  CASE WHEN pair_id // 100 % 5 < 2 THEN chosen WHEN pair_id // 100 % 5 = 2 THEN '' WHEN pair_id // 100 % 5 = 3 THEN ''
+    ELSE CAST(to_json(struct_pack(content := prompt, role := 'user')) AS VARCHAR) END AS completion,
+  CASE WHEN pair_id // 100 % 5 = 0 THEN chosen <> '' ELSE pair_id // 100 % 5 <> 2 END AS present
+FROM x_pairs WHERE chosen IS NOT NULL AND prompt IS NOT NULL""")
+def q_p9_mixed(spark, sf):
+    """P9 on a VARIANT column: a text, a message list, an empty list, an assistant turn without
+    content, or a list without an assistant turn, by pair; ``present`` is the filters' truth value."""
+    def turn(role, text):
+        return F.struct(text.alias("content"), F.lit(role).alias("role"))
+
+    pairs = X.x_pairs(spark, sf).where("chosen IS NOT NULL AND prompt IS NOT NULL")
+    kind = F.floor(F.col("pair_id") / 100) % 5
+    user, nothing = turn("user", F.col("prompt")), turn("assistant", F.lit(None).cast("string"))
+    text = F.to_json(F.array(F.col("chosen")))
+    mixed = (
+        F.when(kind == 0, F.substring(text, F.lit(2), F.length(text) - 2))
+        .when(kind == 1, F.to_json(F.array(user, turn("assistant", F.col("chosen")))))
+        .when(kind == 2, F.lit("[]"))
+        .when(kind == 3, F.to_json(F.array(user, nothing)))
+        .otherwise(F.to_json(F.array(user)))
+    )
+    t = pairs.select("pair_id", F.parse_json(mixed).alias("completion"))
+    return t.select("pair_id", curate.normalise_completion(t, "completion").alias("completion"),
+                    curate.non_empty(t, "completion").alias("present"))
+
+
 @query("sample_pairs", S.with_(S.X_PAIRS, S.F1_CTE, S.F3_CTE, T1_CTE) + "SELECT pair_id, prompt_text, chosen, rejected FROM t1")
 def q_t1(spark, sf):
     """Seeded sample of the quality-filtered pairs."""

@@ -99,14 +99,14 @@ def q_k3(spark, sf):
     return K.flatten(K.report_dpo_change(_summary(spark, sf), TRAINING))
 
 
-DPO_CONFIG = {"pairs": 500, "epochs": 1, "beta": 0.1, "lr": 5e-5}
+DPO_CONFIG = {"epochs": 1, "beta": 0.1, "lr": 5e-5}
 
 
-@query("report_dpo_run", LOGP + """SELECT 500 AS training_config__pairs, 1 AS training_config__epochs,
+@query("report_dpo_run", LOGP + """SELECT pairs AS training_config__pairs, 1 AS training_config__epochs,
   CAST(0.1 AS DOUBLE) AS training_config__beta, CAST(5e-5 AS DOUBLE) AS training_config__lr,
   round_even(final_loss, 4) AS final_loss, CAST(0.0 AS DOUBLE) AS train_time_s, 'policy' AS model, 'local' AS hardware
-FROM (SELECT round_even(avg(m), 4) AS final_loss FROM (
-  SELECT (rn - 1) // 2 AS b, avg(loss) AS m FROM (
+FROM (SELECT round_even(avg(m), 4) AS final_loss, CAST(sum(n) AS BIGINT) AS pairs FROM (
+  SELECT (rn - 1) // 2 AS b, avg(loss) AS m, count(*) AS n FROM (
     SELECT loss, row_number() OVER (ORDER BY md5('42:' || CAST(pair_id AS VARCHAR)), pair_id) AS rn FROM loss) GROUP BY b))""")
 def q_k4(spark, sf):
     """K4: the preference run report from logged logits."""
@@ -163,7 +163,7 @@ def q_k6(spark, sf):
 
 
 def _k7_rows() -> str:
-    rows = ["SELECT 0 AS line_no, '| Metric | Base Model | Fine-Tuned (LoRA) | Improvement |' AS line",
+    rows = [f"SELECT 0 AS line_no, '{K.MARKDOWN_HEADER}' AS line",
             "SELECT 1, '|---|---|---|---|'"]
     for i, (m, title) in enumerate(K.SUMMARY_ROWS):
         imp = f"round_even(a__{m} - b__{m}, 3)"

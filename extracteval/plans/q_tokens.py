@@ -176,8 +176,8 @@ def q_l4(spark, sf):
     return prefnum.dpo_loss(prefnum.logratios(_tok(spark, sf))).select("pair_id", _r6("z"), _r6("loss"))
 
 
-@query("mean_of_batch_means", LOGP + """SELECT CAST(count(*) AS BIGINT) AS steps, round_even(avg(m), 4) AS final_loss FROM (
-  SELECT (rn - 1) // 2 AS b, avg(loss) AS m FROM (
+@query("mean_of_batch_means", LOGP + """SELECT CAST(count(*) AS BIGINT) AS steps, round_even(avg(m), 4) AS final_loss, CAST(sum(n) AS BIGINT) AS pairs FROM (
+  SELECT (rn - 1) // 2 AS b, avg(loss) AS m, count(*) AS n FROM (
     SELECT loss, row_number() OVER (ORDER BY md5('42:' || CAST(pair_id AS VARCHAR)), pair_id) AS rn FROM loss) GROUP BY b)""")
 def q_l5(spark, sf):
     """The run's final average loss over batches of 2."""

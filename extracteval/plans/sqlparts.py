@@ -33,13 +33,23 @@ def brace_slice(x: str) -> str:
             f"THEN substring({x}, {start}, {end} - {start} + 1) ELSE '' END")
 
 
-def py_text(j: str) -> str:
+def _scalar_text(j: str) -> str:
     return (f"CASE WHEN {j} IS NULL OR json_type({j}) = 'NULL' THEN 'None' "
             f"WHEN json_type({j}) = 'VARCHAR' THEN json_extract_string({j}, '$') "
             f"WHEN json_type({j}) = 'BOOLEAN' THEN CASE WHEN CAST({j} AS VARCHAR) = 'true' THEN 'True' ELSE 'False' END "
             f"ELSE CAST({j} AS VARCHAR) END")
 
 
+def py_text(j: str) -> str:
+    """Python's ``str`` of a value; a list shows its texts in quotes (single ones unless the text holds one)."""
+    t = "json_extract_string(li, '$')"
+    shown = (f"CASE WHEN json_type(li) <> 'VARCHAR' THEN {_scalar_text('li')} "
+             f"WHEN contains({t}, chr(39)) AND NOT contains({t}, chr(34)) THEN chr(34) || {t} || chr(34) "
+             f"ELSE chr(39) || replace({t}, chr(39), chr(92) || chr(39)) || chr(39) END")
+    items = f"list_transform(json_extract({j}, '$[*]'), lambda li: {shown})"
+    return f"CASE WHEN json_type({j}) = 'ARRAY' THEN '[' || coalesce(array_to_string({items}, ', '), '') || ']' ELSE {_scalar_text(j)} END"
+
+
 def as_number(j: str) -> str:
     s = strip(f"json_extract_string({j}, '$')")
     return (f"CASE WHEN json_type({j}) IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN CAST({j} AS DOUBLE) "

@@ -92,8 +92,9 @@ def report_dpo_change(summary: DataFrame, training: dict) -> DataFrame:
 
 
 def report_dpo_run(final: DataFrame, config: dict, train_time_s: float, model: str, hardware: str) -> DataFrame:
-    """K4: {training_config, final_loss (4 dp), train_time_s (1 dp), model, hardware}."""
-    cfg = F.struct(*[F.lit(v).alias(k) for k, v in config.items()])
+    """K4: {training_config, final_loss (4 dp), train_time_s (1 dp), model, hardware}; the pairs of
+    the training record are the losses that ``final`` (L5) counted."""
+    cfg = F.struct(F.col("pairs"), *[F.lit(v).alias(k) for k, v in config.items()])
     return final.select(
         cfg.alias("training_config"),
         round_half_even(F.col("final_loss"), 4).alias("final_loss"),
@@ -105,26 +106,27 @@ def report_dpo_run(final: DataFrame, config: dict, train_time_s: float, model: s
 
 def report_preference(per_case: DataFrame, quality: DataFrame) -> DataFrame:
     """K5: win statistics, length / diversity of both checkpoints and the five-value summary."""
-    w = win_rate(per_case)
-    wins = F.struct(*[w.select(c).scalar().alias(c) for c in ("win_rate", "wins", "ties", "losses")])
-    q = quality_pivot(quality)
+    stats = ("win_rate", "wins", "ties", "losses")
+    wins = win_rate(per_case).select(F.struct(*stats)).scalar()
+    q = quality_pivot(quality).withColumn("wins", wins)  # one subquery over the scored set
     cols = ("avg_length_tokens", "avg_diversity_2g", "min_length", "max_length")
     side = lambda tag, lab: F.struct(F.lit(lab).alias("label"), *[F.col(f"{tag}_{c}").alias(c) for c in cols])
     summary = F.struct(
-        w.select("win_rate").scalar().alias("dpo_win_rate"),
+        F.col("wins.win_rate").alias("dpo_win_rate"),
         F.col("dpo_avg_length_tokens").alias("dpo_avg_length"),
         F.col("sft_avg_length_tokens").alias("sft_avg_length"),
         F.col("dpo_avg_diversity_2g").alias("dpo_diversity"),
         F.col("sft_avg_diversity_2g").alias("sft_diversity"),
     )
     return q.select(
-        wins.alias("win_rate_vs_sft"),
+        F.col("wins").alias("win_rate_vs_sft"),
         F.struct(side("sft", "sft_model").alias("sft"), side("dpo", "dpo_model").alias("dpo")).alias("output_quality"),
         summary.alias("summary"),
     )
 
 
-# Row titles of the console summary and the README table, in order.
+# Header of the README table, and row titles of the console summary and the README table, in order.
+MARKDOWN_HEADER = "| Metric | Base Model | Fine-Tuned (LoRA) | Improvement |"
 SUMMARY_ROWS = (("valid_json_rate", "Valid JSON Rate"), ("field_accuracy", "Field Accuracy"),
                 ("format_compliance", "Format Compliance"), ("overall_score", "Overall Score"))
 
@@ -150,7 +152,7 @@ def summary_table(summary: DataFrame) -> DataFrame:
 def markdown_table(summary: DataFrame, before: str = "base_model", after: str = "sft_model") -> DataFrame:
     """K7: the README table (always a '+' before the improvement, as the reference prints)."""
     wide = summary.agg(*_wide_summaries(summary, {"b": before, "a": after}))
-    lines = [F.struct(F.lit(0).alias("line_no"), F.lit("| Metric | Base Model | Fine-Tuned (LoRA) | Improvement |").alias("line")),
+    lines = [F.struct(F.lit(0).alias("line_no"), F.lit(MARKDOWN_HEADER).alias("line")),
              F.struct(F.lit(1).alias("line_no"), F.lit("|---|---|---|---|").alias("line"))]
     for i, (m, title) in enumerate(SUMMARY_ROWS):
         b, a = F.col(f"b__{m}"), F.col(f"a__{m}")

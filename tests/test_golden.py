@@ -71,6 +71,17 @@ VALIDITY = [
     ("null", True, []),
     ("NaN", True, []),
     ("Infinity", True, []),
+    ("[+Infinity]", False, []),
+    ("[NaN,+INF]", False, []),
+    ("[INF]", False, []),
+    ("[-Infinity, NaN]", True, []),
+    ("[-NaN]", False, []),
+    ("[1Infinity]", False, []),
+    ("[NaN1]", False, []),
+    ('{"a":NaN,"b":1}', True, ["a", "b"]),
+    ('{"a NaN \\"x":"Infinity, NaN","b":-Infinity}', True, ['a NaN "x', "b"]),
+    ('{"a":NaN}\x02', False, ["a"]),
+    ('{"a":"NaN\x02"}', False, []),
     ('[{"a":1}]', True, ["a"]),
     ('[{"a":1},{"b":2}]', True, []),
     ('{"a":1}{"b":2}', False, []),
@@ -96,6 +107,16 @@ def test_validity_and_parse(spark):
         assert list(r.k) == keys, text
 
 
+TEXTS = ["1e20", "1e-07", "1.5e300", "-2.5e-5", "1e10", "123456.75e3", "0.0001", "0.00001", "1e15", "1e16", "12345678901234567890.5",
+         "1.0", "-0.5", "0.0", "[1, 2]", '["a", "it\'s", "q\\"\'", "x\\\\y"]', "[1.0, true, null, 1e20]", "[]", "Infinity", "-Infinity", "7", "true", "null"]
+
+
+def test_texts_are_pythons(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+    got = df.select(scoring.py_text(F.parse_json(jsonx.numbers_for_names(F.col("t"))))).collect()
+    assert [g[0] for g in got] == [str(json.loads(t)) for t in TEXTS]
+
+
 def test_duplicate_keys_keep_last(spark):
     df = spark.createDataFrame([('{"a":1,"a":2}',)], "output string")
     v = df.select(F.to_json(jsonx.parse_json_safe("output"))).first()[0]

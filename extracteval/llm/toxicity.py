@@ -206,7 +206,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
     """text, y of at most ``rows`` labelled documents outside the held-out fifth, stored."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("y"))
     chosen = known.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    both = docs.select("doc_id", "text").join(chosen, "doc_id")
+    # at most ``rows`` ids and labels are sent out, so the texts need no shuffle
+    both = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     return stored(both.select("text", "y"), "labelled")
 
 

@@ -202,7 +202,7 @@ def _counted(counts: Counter) -> pa.RecordBatch:
 def confident_mentions(rows: DataFrame, docs: DataFrame, min_seeds: int = MIN_SEEDS, confident: float = CONFIDENT, rounds: int = ROUNDS) -> DataFrame:
     """(kind, instance, pattern) of candidates whose confidence reaches ``confident``."""
     mention = rows.select(F.explode("mentions").alias("m")).select("m.kind", "m.seed", "m.instance", F.explode("m.patterns").alias("pattern"))
-    edges = stored(mention.groupBy("kind", "pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")), "pii-edges")
+    edges = stored(mention.groupBy("kind", "pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"), F.count_if(~F.col("seed")).alias("unseen")), "pii-edges")
     induced = stored(edges.where("seed").groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= min_seeds), "pii-patterns")
     total = stored(count_occurrences(docs, induced.select("pattern").distinct()), "pii-totals")
     graph = stored(edges.join(induced.select("kind", "pattern"), ["kind", "pattern"]).join(total.withColumnRenamed("n", "total"), "pattern"), "pii-graph")
@@ -219,7 +219,8 @@ def confident_mentions(rows: DataFrame, docs: DataFrame, min_seeds: int = MIN_SE
         )
     sure = score.where(F.col("score") >= confident)
     good = pattern.where(F.col("trust") >= confident)
-    return graph.where(~F.col("seed")).join(sure, ["kind", "instance"]).join(good, ["kind", "pattern"]).select("kind", "instance", "pattern")
+    # a refused form of a known identifier shares its edge with the seed, so edges are kept by their refused mentions
+    return graph.where("unseen > 0").join(sure, ["kind", "instance"]).join(good, ["kind", "pattern"]).select("kind", "instance", "pattern")
 
 
 def extract(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -356,6 +356,13 @@ def test_patterns_find_unseen_identifiers(spark):
     assert got[101].n_added == 0 and got[102].n_added == 0
 
 
+def test_refused_forms_of_known_identifiers_are_found(spark):
+    rows = [(i, f"some words then call us at +1 (212) 555-{1000 + i} today") for i in range(30)]
+    rows += [(100, "please call us at 1 (212) 555-1003 soon"), (101, "order 1 (212) 555-1003 chairs")]
+    got = {r.doc_id: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[100].spans == "phone:18:34" and got[100].n_phone == 0 and got[101].n_added == 0 and got[3].n_added == 0
+
+
 def test_quality_learns(spark, odd, empty):
     labels = read(spark, "/root/testdata/sf0.01", "labels")
     rows = quality.score_documents(read(spark, "/root/testdata/sf0.01", "documents"), labels).collect()

@@ -4,11 +4,12 @@ Base spans (email, ip, card, phone by their rules) are the seeds.  The words bef
 lexical patterns (the last word, the last two).  A pattern's confidence is the weighted share of
 its occurrences in the corpus, before any word at all, that stand before known identifiers of one
 kind; an instance's confidence is the chance that not all of its patterns are wrong.  The two are
-scored in turns over the pattern-instance graph.  Tokens that look like an identifier but fail the
-base rules become spans when patterns of that kind are confident enough.
+scored in turns over the pattern-instance graph until they settle.  Then confident instances count
+as seeds that induce more patterns, until no pattern is added.  Tokens that look like an identifier
+but fail the base rules become spans when patterns of that kind are confident enough.
 
 Texts are read twice: for seeds, candidates and their contexts (stored), then to count how often
-the induced patterns occur; the second reading tests words against a Bloom filter of fixed size and
+the patterns that can be induced occur; the second reading tests words against a Bloom filter of fixed size and
 the exact counts come from a join.
 
 Defined results: null and empty texts have no span; null ids and repeated rows are kept; an empty
@@ -35,7 +36,8 @@ from extracteval.llm.common import prepare, stored
 KINDS = ["email", "ip", "card", "phone"]
 MIN_SEEDS = 3  # distinct seed instances that a pattern must stand before
 CONFIDENT = 0.8
-ROUNDS = 4
+TOLERANCE = 1e-6  # scores have settled when a round moves no pattern by more
+LEAPS = 60  # rounds in which every second one may leap ahead
 BLOOM_BITS = 1 << 23
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -199,28 +201,64 @@ def _counted(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pattern", "n"])
 
 
-def confident_mentions(rows: DataFrame, docs: DataFrame, min_seeds: int = MIN_SEEDS, confident: float = CONFIDENT, rounds: int = ROUNDS) -> DataFrame:
+def _settled_trust(edges: DataFrame, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """(kind, pattern, trust; kind, instance, score of unknown instances) at the fixed point.
+
+    Every pattern of ``edges`` is linked to known instances, and both scores grow with each other
+    along a concave function, so the fixed point is single and is reached from any start.  Plain
+    rounds may near it slowly; every second early round leaps ahead by the ratio of the last moves.
+    """
+    weight = edges.groupBy("kind", "pattern").agg(
+        F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("base"), (F.greatest(F.max("total"), F.sum("n")) + 1).alias("size")
+    )
+    unknown = stored(edges.where(~F.col("known")).select("kind", "pattern", "instance", "n"), "pii-unknown")
+    state = stored(weight.withColumns({"trust": F.col("base") / F.col("size"), "before": F.lit(0.0), "move": F.lit(1.0)}), "pii-trust")
+
+    def scores(trust: DataFrame) -> DataFrame:
+        wrong = F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9)))
+        return unknown.join(trust.select("kind", "pattern", "trust"), ["kind", "pattern"]).groupBy("kind", "instance").agg((1 - F.exp(F.sum(wrong))).alias("score"))
+
+    rounds, plain = 0, F.col("fresh")
+    while True:
+        gained = unknown.join(scores(state), ["kind", "instance"]).groupBy("kind", "pattern").agg(F.sum(F.col("n") * F.col("score")).alias("gained"))
+        fresh = (F.col("base") + F.coalesce("gained", F.lit(0.0))) / F.col("size")
+        after = state.join(gained, ["kind", "pattern"], "left").withColumn("fresh", fresh).withColumn("now", F.col("fresh") - F.col("trust"))
+        ratio = F.col("now") / F.col("before")
+        leap = F.when((F.abs("now") >= tolerance) & (F.col("before") != 0) & (ratio > 0) & (ratio < 0.9999), F.least(plain + F.col("now") * ratio / (1 - ratio), F.lit(1.0))).otherwise(plain)
+        state = stored(
+            after.select("kind", "pattern", "base", "size", (leap if rounds % 2 and rounds < LEAPS else plain).alias("trust"), (F.lit(0.0) if rounds % 2 else F.col("now")).alias("before"), F.abs("now").alias("move")),
+            "pii-trust",
+        )
+        rounds += 1
+        if (state.agg(F.max("move")).first()[0] or 0.0) < tolerance:
+            return state.select("kind", "pattern", "trust"), stored(scores(state), "pii-scores")
+
+
+def confident_mentions(rows: DataFrame, docs: DataFrame, min_seeds: int = MIN_SEEDS, confident: float = CONFIDENT, tolerance: float = TOLERANCE) -> DataFrame:
     """(kind, instance, pattern) of candidates whose confidence reaches ``confident``."""
     mention = rows.select(F.explode("mentions").alias("m")).select("m.kind", "m.seed", "m.instance", F.explode("m.patterns").alias("pattern"))
-    edges = stored(mention.groupBy("kind", "pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"), F.count_if(~F.col("seed")).alias("unseen")), "pii-edges")
-    induced = stored(edges.where("seed").groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= min_seeds), "pii-patterns")
-    total = stored(count_occurrences(docs, induced.select("pattern").distinct()), "pii-totals")
-    graph = stored(edges.join(induced.select("kind", "pattern"), ["kind", "pattern"]).join(total.withColumnRenamed("n", "total"), "pattern"), "pii-graph")
-    score = graph.groupBy("kind", "instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    for _ in range(rounds):
-        pattern = graph.join(score, ["kind", "instance"]).groupBy("kind", "pattern").agg(
-            (F.sum(F.col("n") * F.col("score")) / (F.greatest(F.max("total"), F.sum("n")) + 1)).alias("trust")
-        )
-        score = stored(
-            graph.join(pattern, ["kind", "pattern"]).groupBy("kind", "instance").agg(
-                F.greatest(F.max(F.col("seed").cast("double")), 1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9)))))).alias("score")
-            ),
-            "pii-scores",
-        )
-    sure = score.where(F.col("score") >= confident)
-    good = pattern.where(F.col("trust") >= confident)
+    merged = stored(mention.groupBy("kind", "pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"), F.count_if(~F.col("seed")).alias("unseen")), "pii-edges")
+    # no other pattern can ever be induced, so one more reading of the texts counts for all turns
+    possible = stored(merged.groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("instances")).where(F.col("instances") >= min_seeds).select("kind", "pattern"), "pii-patterns")
+    total = stored(count_occurrences(docs, possible.select("pattern").distinct()), "pii-totals")
+    seeds = merged.where("seed").select("kind", "instance").distinct().withColumn("known", F.lit(True))
+    graph = merged.join(possible, ["kind", "pattern"]).join(total.withColumnRenamed("n", "total"), "pattern").join(seeds, ["kind", "instance"], "left")
+    graph = stored(graph.withColumn("known", F.coalesce("known", F.lit(False))), "pii-graph")
+    sure = graph.where("known").select("kind", "instance").distinct()
+    trust, induced = None, 0
+    while True:
+        patterns = stored(graph.join(sure, ["kind", "instance"], "left_semi").groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= min_seeds), "pii-induced")
+        n = patterns.count()
+        if trust is not None and n == induced:
+            break
+        induced = n
+        live = stored(graph.join(patterns.select("kind", "pattern"), ["kind", "pattern"]), "pii-live")
+        trust, score = _settled_trust(live, tolerance)
+        # scores and patterns only grow from turn to turn
+        sure = stored(graph.where("known").select("kind", "instance").unionByName(score.where(F.col("score") >= confident).select("kind", "instance")).distinct(), "pii-sure")
+    good = trust.where(F.col("trust") >= confident)
     # a refused form of a known identifier shares its edge with the seed, so edges are kept by their refused mentions
-    return graph.where("unseen > 0").join(sure, ["kind", "instance"]).join(good, ["kind", "pattern"]).select("kind", "instance", "pattern")
+    return live.where("unseen > 0").join(sure, ["kind", "instance"]).join(good, ["kind", "pattern"]).select("kind", "instance", "pattern")
 
 
 def extract(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -363,6 +363,14 @@ def test_refused_forms_of_known_identifiers_are_found(spark):
     assert got[100].spans == "phone:18:34" and got[100].n_phone == 0 and got[101].n_added == 0 and got[3].n_added == 0
 
 
+def test_few_known_identifiers_lead_to_many_unseen_and_to_new_contexts(spark):
+    rows = [(i, f"dial +1 (212) 555-{1000 + i}") for i in range(10)] + [(100 + i, f"dial 212-555-{2000 + i}") for i in range(100)]
+    rows += [(300 + i, f"fax 212-555-{2000 + i}") for i in range(20)] + [(400, "fax 212-555-3000"), (401, "order 212-555-3001")]
+    got = {r.doc_id: r.n_added for r in pii.personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(got[100 + i] == 1 for i in range(100))  # trust 10/11 by hand
+    assert all(got[300 + i] == 1 for i in range(20)) and got[400] == 1 and got[401] == 0
+
+
 def test_quality_learns(spark, odd, empty):
     labels = read(spark, "/root/testdata/sf0.01", "labels")
     rows = quality.score_documents(read(spark, "/root/testdata/sf0.01", "documents"), labels).collect()

@@ -39,6 +39,7 @@ CONFIDENT = 0.8
 TOLERANCE = 1e-6  # scores have settled when a round moves no pattern by more
 LEAPS = 60  # rounds in which every second one may leap ahead
 BLOOM_BITS = 1 << 23
+LONG = 64  # characters of a word or instance that is kept as it is
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -54,6 +55,8 @@ _LIKE = {
     "phone": re.compile(r"(?<![\w+.-])\(?[0-9](?:[ ().-]{0,2}[0-9]){6,14}(?![\w-])"),
 }
 _EDGE = " \t\n\"'([{<>)]},;|"
+_WORD = re.compile(r"\S+")
+_QUOTE = "\"'([{<|"
 
 
 def luhn(digits: str) -> bool:
@@ -115,11 +118,43 @@ def candidates(text: str | None, base: list[tuple[int, str, int]]) -> list[tuple
     return sorted(out)
 
 
-def left_words(text: str, start: int) -> list[str]:
-    """Patterns of a position: the last word before it, and the last two, in lower case."""
-    before = text[max(0, start - 80) : start].lower().split()
-    before = [w.strip("\"'([{<|") for w in before[-2:]]
-    return ([before[-1]] if before and before[-1] else []) + ([" ".join(before)] if len(before) == 2 and all(before) else [])
+def short(word: str) -> str:
+    """Words and instances longer than ``LONG`` stand under a hash of the whole."""
+    return word if len(word) <= LONG else "#" + hashlib.sha256(word.encode()).hexdigest()
+
+
+def left_words(text: str, starts: list[int]) -> dict[int, list[str]]:
+    """Patterns of each position: the last word before it, and the last two, in lower case.
+
+    Positions ascend; a word is read once however many positions follow it or stand inside it.
+    """
+    words, out = _WORD.finditer(text), {}
+    word, before = next(words, None), []  # the word that ends after the position; [match, key] of the last two before
+    begin = None  # of the word that the position stands inside
+    for at in starts:
+        while word and word.end() <= at:
+            before = [*before[-1:], [word, None]]
+            word, begin = next(words, None), None
+        for pair in before:
+            if pair[1] is None:
+                pair[1] = short(pair[0][0].lower().strip(_QUOTE))
+        keys = [key for _, key in before]
+        if word and word.start() < at:  # the position stands inside a word, whose beginning counts
+            if begin is None:
+                begin = fed = word.end() - len(word[0].lstrip(_QUOTE))
+                hashed = hashlib.sha256()
+            end = at
+            while end > begin and text[end - 1] in _QUOTE:
+                end -= 1
+            if end - begin < 2 * LONG:
+                keys.append(short(text[begin:end].lower()))
+            else:
+                hashed.update(text[fed:end].lower().encode())
+                fed = end
+                keys.append("#" + hashed.hexdigest())
+        keys = keys[-2:]
+        out[at] = ([keys[-1]] if keys and keys[-1] else []) + ([" ".join(keys)] if len(keys) == 2 and all(keys) else [])
+    return out
 
 
 def instance(kind: str, surface: str) -> str:
@@ -129,11 +164,9 @@ def instance(kind: str, surface: str) -> str:
 
 def find_mentions(text: str | None) -> tuple[list, list]:
     base = base_spans(text)
-    rows = [
-        (a, kind, b, seed, instance(kind, text[a:b])[:64], left_words(text, a))
-        for spans, seed in ((base, True), (candidates(text, base), False))
-        for a, kind, b in spans
-    ]
+    more = candidates(text, base)
+    left = left_words(text or "", sorted({a for a, _, _ in base + more}))
+    rows = [(a, kind, b, seed, short(instance(kind, text[a:b])), left[a]) for spans, seed in ((base, True), (more, False)) for a, kind, b in spans]
     return base, rows
 
 
@@ -183,7 +216,9 @@ def count_occurrences(docs: DataFrame, induced: DataFrame) -> DataFrame:
         counts: Counter = Counter()
         for b in batches:
             for text in b.column(0).to_pylist():
-                words = [w.strip("\"'([{<|") for w in (text or "").lower().split()]
+                words = [w.strip(_QUOTE) for w in (text or "").lower().split()]
+                if max(map(len, words), default=0) > LONG:
+                    words = list(map(short, words))
                 for grams in (words[:-1], [f"{x} {y}" for x, y in zip(words, words[1:-1], strict=False) if x and y]):
                     if grams:
                         slots = np.fromiter((zlib.crc32(g.encode()) for g in grams), np.int64, len(grams)) % BLOOM_BITS

@@ -371,6 +371,18 @@ def test_few_known_identifiers_lead_to_many_unseen_and_to_new_contexts(spark):
     assert all(got[300 + i] == 1 for i in range(20)) and got[400] == 1 and got[401] == 0
 
 
+def test_contexts_are_whole_words_of_any_length(spark):
+    word, gap = "w" * 200, " " * 100
+    rows = [(i, f"{word} +1 (212) 555-{1000 + i}") for i in range(20)] + [(100, f"{word} 212-555-7788"), (101, f"{'w' * 199} 212-555-7799")]
+    got = {r.doc_id: r.n_added for r in pii.personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[100] == 1 and got[101] == 0
+    assert pii.left_words(f"meet{gap}us{gap}1", [206]) == {206: ["us", "meet us"]}
+    ends = [pii.find_mentions("a" * 70 + f"{i}@example.org")[1][0][4] for i in range(2)]
+    assert ends[0] != ends[1] and max(map(len, ends)) < 70
+    glued = "1.2.3.4," * 20_000  # many mentions inside one word take linear time
+    assert len(pii.find_mentions(glued)[1]) == 20_000
+
+
 def test_quality_learns(spark, odd, empty):
     labels = read(spark, "/root/testdata/sf0.01", "labels")
     rows = quality.score_documents(read(spark, "/root/testdata/sf0.01", "documents"), labels).collect()

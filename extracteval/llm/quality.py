@@ -39,6 +39,7 @@ PAIR_ROUNDS = 40
 RATE = 0.1
 RIDGE = 1.0
 THRESHOLD = 0.3
+PIECE = 1 << 16  # bytes that are packed at once
 
 FEATURES = (
     "log chars,log words,mean word,longest word,upper,digit,space,punctuation,symbol,non-ascii,lines,mean line,"
@@ -53,6 +54,13 @@ _KIND = bytes(
 ) + bytes([6]) * 128
 
 
+def packed_share(raw: bytes) -> float:
+    """Length of the whole text's compressed form by its own length, packed piece by piece."""
+    packer, view = zlib.compressobj(1), memoryview(raw)
+    size = sum(len(packer.compress(view[k : k + PIECE])) for k in range(0, len(raw), PIECE)) + len(packer.flush())
+    return size / len(raw) if raw else 1.0
+
+
 def text_features(text: str | None) -> list[float]:
     text = text or ""
     raw = text.encode()
@@ -69,14 +77,13 @@ def text_features(text: str | None) -> list[float]:
     pairs = len(set(zip(words, words[1:], strict=False)))
     letters = np.bincount(np.frombuffer(raw.lower(), np.uint8), minlength=256)
     p = letters[letters > 0] / n
-    packed = len(zlib.compress(raw[: 1 << 16], 1)) / min(n, 1 << 16) if raw else 1.0
     symbols = sum(not x[-1].isalnum() and x[-1] not in ".,;:!?'\")" for x in words)
     return [
         math.log1p(len(text)), math.log1p(len(words)), float(size.mean()), math.log1p(float(size.max())), *kinds[1:6].tolist(), float(kinds[6]),
         math.log1p(len(lines)), math.log1p(len(text) / len(lines)), sum(len(x) < 20 for x in full) / max(1, len(full)), 1 - len(set(full)) / max(1, len(full)),
         len(counts) / w, max(counts.values(), default=0) / w, 1 - pairs / max(1, w - 1) if w > 1 else 0.0,
         sum(x.isupper() and len(x) > 1 for x in words) / w, sum(any(map(str.isdigit, x)) for x in words) / w, symbols / w,
-        sum(x[-1] in ".!?" for x in words) / w, text.count("|") / w, float(-(p * np.log2(p)).sum()), packed,
+        sum(x[-1] in ".!?" for x in words) / w, text.count("|") / w, float(-(p * np.log2(p)).sum()), packed_share(raw),
         sum(x[0].isupper() for x in words) / w, float((size == 1).mean()), text.count("!") / w, math.log1p(max((m.end() - m.start() for m in _RUN.finditer(text)), default=0)),
     ]
 

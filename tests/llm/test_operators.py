@@ -383,6 +383,16 @@ def test_contexts_are_whole_words_of_any_length(spark):
     assert len(pii.find_mentions(glued)[1]) == 20_000
 
 
+def test_compression_reads_the_whole_text():
+    rnd = random.Random(8)
+    noise = "".join(rnd.choice("abcdefghijklmnop") for _ in range(140_000))
+    mixed = noise[:70_000] + "a" * 70_000
+    at = quality.FEATURES.index("compression")
+    assert quality.text_features(noise)[at] - quality.text_features(mixed)[at] > 0.2
+    assert abs(quality.text_features(mixed)[at] - len(zlib.compress(mixed.encode(), 1)) / 140_000) < 0.01
+    assert quality.text_features("abc " * 99)[at] == len(zlib.compress(b"abc " * 99, 1)) / 396 and quality.text_features("")[at] == 1
+
+
 def test_quality_learns(spark, odd, empty):
     labels = read(spark, "/root/testdata/sf0.01", "labels")
     rows = quality.score_documents(read(spark, "/root/testdata/sf0.01", "documents"), labels).collect()

@@ -7,8 +7,9 @@ composed into one table, which is run over every clause that holds an insult or
 puts out (plain, targeted, negated, reported ...) is counted by clause and weighted by a logistic
 model.  The insult lexicon is a few fixed words plus words and word beginnings learned from
 labelled texts by greedy cover: the form that best tells the toxic texts that are still unexplained.
-A word beginning may ask for a density: it then counts only in texts where it stands at least once
-in so many characters, as a beginning that is rare in clean texts and frequent in toxic ones does.
+A word beginning may ask for a density: it then counts only in clauses where it stands at least
+once in so many characters, or, in a longer clause, ``DENSE_HITS`` times within ``DENSE_HITS`` times
+as many.  What a clause puts out does not depend on the text around it.
 
 The model is fitted on at most ``FIT_ROWS`` labelled rows (least hashes of the id) and only on rows
 outside the held-out fifth; the score uses nothing but the text.
@@ -23,8 +24,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -38,7 +40,8 @@ from extracteval.llm.common import held_out, prepare, stored
 FIT_ROWS = 20_000
 FIXED_WEIGHT = 6.0  # of the grammar's own insults where no label tells more
 TOP_FORMS = 5_000  # candidate lexicon forms that the greedy cover chooses from
-DENSITIES = (300, 1_000)  # characters a text may have for each occurrence of a dense beginning
+DENSITIES = (300, 1_000)  # characters a clause may have for each occurrence of a dense beginning
+DENSE_HITS = 4  # occurrences that make a part of a longer clause dense
 NOISE = 0.5  # a learned form may be in so many other texts for each toxic one
 THRESHOLD = 0.5
 
@@ -54,6 +57,17 @@ CLAUSE_END = re.compile(r"[.!?;:\n]+")
 NEGATION_SCOPE, TARGET_SCOPE = 3, 4
 
 
+def clause_cuts(low: str) -> list[int]:
+    """Where clauses begin, and the end of the text."""
+    ends = [m.end() for m in CLAUSE_END.finditer(low)]
+    return [0, *ends, len(low)] if not ends or ends[-1] < len(low) else [0, *ends]
+
+
+def dense_enough(starts: list[int], length: int, chars: int) -> bool:
+    """Whether ascending ``starts`` in a clause of ``length`` are dense in it or in a part of it."""
+    return len(starts) * chars >= length or any(b - a < DENSE_HITS * chars for a, b in zip(starts, starts[DENSE_HITS - 1 :], strict=False))
+
+
 def negation(state: int, symbol: str) -> tuple[int, str]:
     if symbol == "N":
         return NEGATION_SCOPE, symbol
@@ -96,18 +110,18 @@ def compose(*machines, alphabet: str = "OITPNR") -> tuple[dict, list[str]]:
 
 
 TABLE, OUTPUTS = compose(negation, reported, targeted)
-FEATURES = [f"clauses {o}" for o in OUTPUTS] + ["strongest form", "weight of forms", "weight by length"]
+FEATURES = [f"clauses {o}" for o in OUTPUTS] + ["strongest form", "weight of forms"]
 
 
 @dataclass
 class Grammar:
     """Lexicon and weights; ``forms`` are words ("=idiot"), word beginnings ("idio") and dense word
-    beginnings ("idio@300", once in 300 characters or more often) with their weights."""
+    beginnings ("idio@300", once in 300 characters of a clause or more often) with their weights."""
 
     forms: dict[str, float] = field(default_factory=lambda: {"=" + w: FIXED_WEIGHT for w in INSULTS})
     weights: list[float] = field(default_factory=lambda: [-4.0] + [
         (6.0 if o[0] == "I" else 3.0) - (6.0 if "n" in o else 0) - (4.0 if "r" in o else 0) + ("p" in o) for o in OUTPUTS
-    ] + [0.2, 0.2, 0.2])
+    ] + [0.3, 0.3])
 
     def __post_init__(self) -> None:
         fixed = {"T": THREATS, "P": TARGETS, "N": NEGATIONS, "R": REPORTS}
@@ -128,30 +142,33 @@ class Grammar:
             found = max(plain + [w for b, w in active.items() if word.startswith(b)], default=0.0)
         return found
 
-    def dense_hits(self, low: str) -> tuple[dict[str, float], list[int]]:
-        """The dense beginnings that the text holds often enough with their weights, and where."""
-        active, hits = {}, []
+    def dense_hits(self, low: str, cuts: list[int]) -> dict[int, dict[str, float]]:
+        """By clause, the dense beginnings that it holds often enough, with their weights."""
+        active: dict[int, dict[str, float]] = {}
         for begin, chars, pattern in self.dense:
             if begin in low:
-                at = [m.start() for m in pattern.finditer(low)]
-                if at and len(at) * chars >= len(low):
-                    active[begin] = max(active.get(begin, 0.0), self.forms[f"{begin}@{chars}"])
-                    hits += at
-        return active, hits
+                at: dict[int, list[int]] = {}
+                for m in pattern.finditer(low):
+                    at.setdefault(bisect_right(cuts, m.start()) - 1, []).append(m.start())
+                for k, starts in at.items():
+                    if dense_enough(starts, cuts[k + 1] - cuts[k], chars):
+                        here = active.setdefault(k, {})
+                        here[begin] = max(here.get(begin, 0.0), self.forms[f"{begin}@{chars}"])
+        return active
 
     def features(self, text: str | None) -> np.ndarray:
         out = np.zeros(len(FEATURES))
         low = (text or "").lower()
-        active, hits = self.dense_hits(low)
-        often = tuple(active)
-        hits += [m.start() for m in self.hit.finditer(low)]
-        if not hits:
+        hits = [m.start() for m in self.hit.finditer(low)]
+        if not hits and not any(begin in low for begin, _, _ in self.dense):
             return out
-        ends = [m.end() for m in CLAUSE_END.finditer(low)]
-        cuts = [0, *ends, len(low) + 1]
-        clauses = sorted(set((np.searchsorted(cuts, hits, side="right") - 1).tolist()))
+        cuts = clause_cuts(low)
+        dense = self.dense_hits(low, cuts)
+        clauses = sorted({bisect_right(cuts, at) - 1 for at in hits} | set(dense))
         for k in clauses:
             state, seen = 0, set()
+            active = dense.get(k, {})
+            often = tuple(active)
             for m in WORD.finditer(low, cuts[k], cuts[k + 1]):
                 word = m[0]
                 symbol = "I" if self.insult.match(word) or word.startswith(often) else self.symbol.get(word, "O")
@@ -160,12 +177,10 @@ class Grammar:
                     seen.add(put)
                     if put[0] == "I":
                         w = self.weight(word, active)
-                        out[-3] = max(out[-3], w)
-                        out[-2] += w
+                        out[-2] = max(out[-2], w)
+                        out[-1] += w
             for put in seen:
                 out[OUTPUTS.index(put)] += 1
-        # weight for each hundred words or so, in logarithms like the other counts
-        out[-1] = 600 * out[-2] / (600 + len(low))
         out[:] = np.log1p(out)
         return out
 
@@ -174,15 +189,31 @@ class Grammar:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+def _beginnings(words: Iterable[str]) -> set[str]:
+    return {w[:k] for w in words for k in range(3, min(9, len(w)))}
+
+
 def word_forms(text: str | None) -> set[str]:
     low = (text or "").lower()
-    words = Counter(w for w in WORD.findall(low) if len(w) <= 40)
-    begins = Counter()
-    for w, n in words.items():
-        for k in range(3, min(9, len(w))):
-            begins[w[:k]] += n
-    dense = {f"{b}@{d}" for b, n in begins.items() for d in DENSITIES if n * d >= len(low)}
-    return {"=" + w for w in words} | set(begins) | dense
+    every, dense = set(), set()
+    near = {d: set() for d in DENSITIES}  # words of clauses that are dense with one occurrence
+    cuts = clause_cuts(low)
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        words = [(m.start(), m[0]) for m in WORD.finditer(low, a, b) if m.end() - m.start() <= 40]
+        here = {w for _, w in words}
+        every |= here
+        at: dict[str, list[int]] = {}
+        for d in DENSITIES:
+            if b - a <= d:
+                near[d] |= here
+                continue
+            if not at:
+                for start, w in words:
+                    for k in range(3, min(9, len(w))):
+                        at.setdefault(w[:k], []).append(start)
+            dense |= {f"{x}@{d}" for x, starts in at.items() if dense_enough(starts, b - a, d)}
+    dense |= {f"{x}@{d}" for d, words in near.items() for x in _beginnings(words)}
+    return {"=" + w for w in every} | _beginnings(every) | dense
 
 
 def _count_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -425,6 +425,14 @@ def test_dense_beginnings_count_where_they_are_frequent():
     assert "grubl" in forms and "grubl@1000" in forms and "grubl@300" not in forms
 
 
+def test_dense_passages_score_alike_in_long_texts():
+    g = toxicity.Grammar({"grubl@300": 6.0}, toxicity.Grammar().weights)
+    alone = g.score("der grublig und.")
+    assert alone > 0.5 and g.score("wort. " * 3000 + "der grublig und. " + "wort. " * 3000) == alone
+    assert g.score("wort " * 3000 + "grublig grublo grubler grubles " + "wort " * 3000) > 0.5
+    assert "grubl@300" in toxicity.word_forms("grublig. " + "wort " * 400) and "grubl@300" in toxicity.word_forms("wort " * 3000 + "grublig grublo " * 2)
+
+
 def test_candidates_keep_clear_of_spans():
     text = "1.2.3.4.5@a.bc 999.1.1.1 999.1.1.1 card 4111 1111 1111 1112"
     base = pii.base_spans(text)

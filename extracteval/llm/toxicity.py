@@ -4,8 +4,8 @@ Words of a clause are read as symbols (insult, threat, target, negation, reporte
 Three small transducers rewrite them: negation marks what follows within a few words, reported
 speech marks the rest of the clause, target marks insults and threats near a person.  They are
 composed into one table, which is run over every clause that holds an insult or threat; what it
-puts out (plain, targeted, negated, reported ...) is counted by clause and weighted by a logistic
-model.  The insult lexicon is a few fixed words plus words and word beginnings learned from
+puts out (plain, targeted, negated, reported ...) is counted by clause, the weights of insults are
+added up by output, and a logistic model weights both.  The insult lexicon is a few fixed words plus words and word beginnings learned from
 labelled texts by greedy cover: the form that best tells the toxic texts that are still unexplained.
 A word beginning may ask for a density: it then counts only in clauses where it stands at least
 once in so many characters, or, in a longer clause, ``DENSE_HITS`` times within ``DENSE_HITS`` times
@@ -39,7 +39,7 @@ from extracteval.llm.common import held_out, prepare, stored
 
 FIT_ROWS = 20_000
 FIXED_WEIGHT = 6.0  # of the grammar's own insults where no label tells more
-TOP_FORMS = 5_000  # candidate lexicon forms that the greedy cover chooses from
+LEAST_GAIN = 10  # of a form that the greedy cover chooses
 DENSITIES = (300, 1_000)  # characters a clause may have for each occurrence of a dense beginning
 DENSE_HITS = 4  # occurrences that make a part of a longer clause dense
 NOISE = 0.5  # a learned form may be in so many other texts for each toxic one
@@ -110,7 +110,8 @@ def compose(*machines, alphabet: str = "OITPNR") -> tuple[dict, list[str]]:
 
 
 TABLE, OUTPUTS = compose(negation, reported, targeted)
-FEATURES = [f"clauses {o}" for o in OUTPUTS] + ["strongest form", "weight of forms"]
+INSULTED = [o for o in OUTPUTS if o[0] == "I"]
+FEATURES = [f"clauses {o}" for o in OUTPUTS] + [f"weight {o}" for o in INSULTED]
 
 
 @dataclass
@@ -121,7 +122,7 @@ class Grammar:
     forms: dict[str, float] = field(default_factory=lambda: {"=" + w: FIXED_WEIGHT for w in INSULTS})
     weights: list[float] = field(default_factory=lambda: [-4.0] + [
         (6.0 if o[0] == "I" else 3.0) - (6.0 if "n" in o else 0) - (4.0 if "r" in o else 0) + ("p" in o) for o in OUTPUTS
-    ] + [0.3, 0.3])
+    ] + [0.0 if "n" in o or "r" in o else 0.6 for o in INSULTED])
 
     def __post_init__(self) -> None:
         fixed = {"T": THREATS, "P": TARGETS, "N": NEGATIONS, "R": REPORTS}
@@ -176,9 +177,7 @@ class Grammar:
                 if put[0] in "IT":
                     seen.add(put)
                     if put[0] == "I":
-                        w = self.weight(word, active)
-                        out[-2] = max(out[-2], w)
-                        out[-1] += w
+                        out[len(OUTPUTS) + INSULTED.index(put)] += self.weight(word, active)
             for put in seen:
                 out[OUTPUTS.index(put)] += 1
         out[:] = np.log1p(out)
@@ -251,8 +250,10 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
         return base
     counted = sample.mapInArrow(_count_forms, "form string, pos bigint, neg bigint").groupBy("form").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     lift = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
-    likely = counted.where((F.col("pos") >= 2) & (lift > 1.5)).select("form", "pos", "neg", (F.col("pos") * lift).alias("gain"))
-    table = likely.orderBy(F.desc("gain"), F.desc(F.length("form")), "form").limit(TOP_FORMS).collect()
+    # a form's gain is greatest before any text is explained, so no other form can ever be chosen
+    gain = F.col("pos") * lift - F.col("neg")
+    chosen = (gain >= LEAST_GAIN - 1e-6) | F.col("form").isin(list(base))
+    table = counted.where((F.col("pos") >= 2) & (lift > 1.5) & chosen).select("form", "neg").collect()
     neg = {r.form: r.neg for r in table}
     wanted = set(neg)
 
@@ -277,7 +278,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
             return gain, f[0] == "=", len(f), f
 
         best = max(groups, key=value, default=None)
-        if best is None or len(groups[best] & left) < max(2, n_pos // 200) or value(best)[0] < 10:
+        if best is None or len(groups[best] & left) < max(2, n_pos // 200) or value(best)[0] < LEAST_GAIN:
             break
         found[best] = log_odds(best)
         left -= groups.pop(best)

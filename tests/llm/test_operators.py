@@ -433,6 +433,21 @@ def test_dense_passages_score_alike_in_long_texts():
     assert "grubl@300" in toxicity.word_forms("grublig. " + "wort " * 400) and "grubl@300" in toxicity.word_forms("wort " * 3000 + "grublig grublo " * 2)
 
 
+def test_weights_follow_the_transducers():
+    of = lambda text: dict(zip(toxicity.FEATURES, toxicity.Grammar().features(text), strict=True))
+    weights = lambda text: {k for k, v in of(text).items() if v and k.startswith("weight")}
+    assert weights("an idiot") == {"weight I"} and weights("not an idiot") == {"weight In"} and weights("she said an idiot") == {"weight Irp"}
+    assert len(toxicity.FEATURES) == len(toxicity.OUTPUTS) + 8 == len(toxicity.Grammar().weights) - 1
+
+
+def test_lexicon_chooses_from_all_forms(spark):
+    rnd = random.Random(9)
+    many = " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(10)) for _ in range(500))
+    rows = [(many, 1)] * 40 + [("zzgrublig", 1)] * 10 + [("clean words only", 0)] * 200
+    found = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, y int"))
+    assert any(f.lstrip("=").startswith("zzg") for f in found)
+
+
 def test_candidates_keep_clear_of_spans():
     text = "1.2.3.4.5@a.bc 999.1.1.1 999.1.1.1 card 4111 1111 1111 1112"
     base = pii.base_spans(text)

@@ -80,12 +80,13 @@ def mean_of_batch_means(losses: DataFrame, batch: int = 2, seed: int = 42) -> Da
 def running_loss_log(losses: DataFrame, every: int = 20, run: str = "run_id", step: str = "step") -> DataFrame:
     """V1: running mean loss to date per run, reported every ``every`` steps (4 dp)."""
     loss = F.col("loss").cast("double")
-    finite = loss.isNotNull() & ~F.isnan(loss) & (F.abs(loss) < float("inf"))
+    fits = loss.isNotNull() & ~F.isnan(loss) & (F.abs(loss) < 1e12)
     parts = losses.select(
         run, step,
-        # exact sums do not depend on the order of addition; 18 decimals keep any loss worth logging
-        F.when(finite, loss.try_cast("decimal(30,18)")).otherwise(F.lit(0).cast("decimal(30,18)")).alias("_u"),
-        F.when(finite, F.lit(0.0)).otherwise(loss).alias("_odd"),
+        # exact sums do not depend on the order of addition; 18 decimals keep any loss worth logging,
+        # losses of 1e12 or more are added as doubles beside NaN and infinities
+        F.when(fits, loss.try_cast("decimal(30,18)")).otherwise(F.lit(0).cast("decimal(30,18)")).alias("_u"),
+        F.when(fits, F.lit(0.0)).otherwise(loss).alias("_odd"),
     )
     r = ordinal_within(parts, [run], step, "_n", running=["_u", "_odd"])
     mean = round_half_even((F.col("_u_cum").cast("double") + F.col("_odd_cum")) / F.col("_n"), 4)

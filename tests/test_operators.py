@@ -137,3 +137,10 @@ def test_running_loss_survives_nan_and_keeps_small_losses(spark):
     df = spark.createDataFrame([("r", s, 4e-4) for s in range(1, 41)] + [("d", s, float("nan") if s == 3 else 1.0) for s in range(1, 41)], "run_id string, step bigint, loss double")
     got = {(r.run_id, r.step): r.running_loss for r in running_loss_log(df).collect()}
     assert got["r", 20] == got["r", 40] == 0.0004 and math.isnan(got["d", 20])
+
+
+def test_running_loss_counts_diverged_losses(spark):
+    from extracteval.operators.prefnum import running_loss_log
+
+    df = spark.createDataFrame([("r", s, 2e12 if s == 3 else 1.0) for s in range(1, 21)], "run_id string, step bigint, loss double")
+    assert abs(running_loss_log(df).first().running_loss - (2e12 + 19) / 20) < 0.01

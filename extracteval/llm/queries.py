@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from extracteval.llm import chat, quality
+from extracteval.llm import chat, phrases, quality
 from extracteval.llm.block_search import nearest
 from extracteval.llm.common import read
 from extracteval.llm.decontamination import find_leaks
@@ -64,6 +64,10 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op11_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_trie_frontier_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read(spark, sf_dir, "documents"))
 
@@ -73,7 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_label_propagation_shards, op2_contextual_personal_data, op3_vbyte_token_files, op4_additive_quality,
         op5_event_sourced_chat, op6_best_fit_packing, op7_block_matrix_search, op8_toxic_clause_grammar,
-        op9_qgram_decontamination, op10_covering_simhash, op13_trie_frontier_spelling,
+        op9_qgram_decontamination, op10_covering_simhash, op11_son_phrases, op13_trie_frontier_spelling,
     )
 }
-ORACLE: dict[str, str] = {"op5_event_sourced_chat": chat.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op5_event_sourced_chat": chat.ORACLE_SQL, "op11_son_phrases": phrases.ORACLE_SQL}

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from extracteval.llm.common import prepare, stored, text_or_empty
+from extracteval.llm.prints import LEFT_OUT, Polynomial, counted, flagged, pack48, range_bounds, starts, unpack48
 
 SUPPORT = 10
 LONGEST = 3
@@ -52,46 +53,11 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[list(_SPACES)] = 1
 _KIND[list(_BREAKS)] = 2
-_BITS = np.uint64(16)  # left out of a 64-bit hash to get a fingerprint
-
-
-class _Family:
-    """A polynomial hash of byte strings modulo 2**64, over random odd values of bytes."""
-
-    def __init__(self, seed: int):
-        rnd = np.random.default_rng(seed)
-        self.table = rnd.integers(0, 1 << 63, 256, dtype=np.uint64) * 2 + 1
-        self.base, self.join, self.last = (int(x) * 2 + 1 for x in rnd.integers(1 << 40, 1 << 63, 3, dtype=np.uint64))
-        self.inverse = pow(self.base, -1, 1 << 64)
-        self.size = 0
-
-    def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > self.size:
-            self.size = n
-            with np.errstate(over="ignore"):
-                self.up, self.down = (
-                    np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x % (1 << 64), np.uint64)]), dtype=np.uint64)
-                    for x in (self.base, self.inverse)
-                )
-        return self.up, self.down
-
-    def mix(self, h: np.ndarray) -> np.ndarray:
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(self.last % (1 << 64))
-        return h ^ (h >> np.uint64(29))
-
-    def words(self, raw: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
-        up, down = self.powers(len(raw))
-        total = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.cumsum(self.table[raw] * up[: len(raw)], out=total[1:])
-        return self.mix((total[end] - total[begin]) * down[begin] ^ np.uint64(seed))
-
-    def longer(self, h: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return self.mix(h * np.uint64(self.join % (1 << 64)) ^ word)
 
 
 @lru_cache(maxsize=2)
-def _family(number: int) -> _Family:
-    return _Family(number)
+def _family(number: int) -> Polynomial:
+    return Polynomial(number)
 
 
 def language_seed(lang: str) -> int:
@@ -118,7 +84,7 @@ def phrases(raw: bytes, seed: int, longest: int, families: int = 1) -> Iterator[
         edges = np.flatnonzero(word[1:] != word[:-1])
         begin, end = edges[::2], edges[1::2]
         piece = np.cumsum(kind == 2)
-        hashes = [_family(f).words(step, begin, end, seed) for f in range(families)]
+        hashes = [f.mix(f.parts(f.sums(step), begin, end) ^ np.uint64(seed)) for f in map(_family, range(families))]
         new = [begin + at, end + at, (piece[begin] + pieces), *hashes]
         pieces, at = pieces + int(piece[-1]), stop
         old = len(carry[0]) if carry else 0
@@ -134,34 +100,13 @@ def phrases(raw: bytes, seed: int, longest: int, families: int = 1) -> Iterator[
         yield found
 
 
-def _counted(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    prints = np.sort(prints)
-    first = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]])) if len(prints) else np.zeros(0, np.int64)
-    return prints[first], np.diff(np.append(first, len(prints)))
-
-
 def chunk_prints(raw: bytes, lang: str, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct fingerprints met once, those met more often, and how often."""
-    parts = [h[0] >> _BITS for found in phrases(raw, language_seed(lang), longest) for h, _, _ in found]
-    prints, n = _counted(np.concatenate(parts) if parts else np.zeros(0, np.uint64))
+    parts = [h[0] >> LEFT_OUT for found in phrases(raw, language_seed(lang), longest) for h, _, _ in found]
+    prints, n = counted(np.concatenate(parts) if parts else np.zeros(0, np.uint64))
     return prints[n == 1], prints[n > 1], n[n > 1].astype("<u4")
 
 
-def pack48(prints: np.ndarray) -> bytes:
-    return prints.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def unpack48(blob: bytes) -> np.ndarray:
-    wide = np.zeros((len(blob) // 6, 8), dtype=np.uint8)
-    wide[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
-    return wide.view("<u8").ravel().astype(np.uint64)
-
-
-def range_bounds(ranges: int) -> np.ndarray:
-    """First fingerprint of each range, and the end of the last."""
-    return np.array([-(-(r << 48) // ranges) for r in range(ranges + 1)], dtype=np.uint64)
-
-
 def text_chunks(docs: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
     """(chunk, lang, bytes, body): texts of one language by about ``size`` bytes, lower-cased; stored."""
 
@@ -230,7 +175,7 @@ def frequent_bits(sent: DataFrame, support: int, shards: int) -> DataFrame:
         shard = np.repeat(np.repeat(np.array(chunk) % shards, 2), sizes)
         order = np.argsort(prints, kind="stable")
         ranked = prints[order]
-        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        first = starts(ranked)
         total, frequent = np.zeros(len(first), np.int64), np.zeros(len(first), bool)
         for s in range(shards):
             mined = np.add.reduceat(np.where(shard[order] == s, n[order], 0), first)
@@ -250,7 +195,7 @@ def chunk_candidates(raw: bytes, lang: str, longest: int, candidates: np.ndarray
     for found in phrases(raw, language_seed(lang), longest, families=2):
         total += len(found[0][1])
         for k, ((h, check), begin, end) in enumerate(found, 1):
-            prints = h >> _BITS
+            prints = h >> LEFT_OUT
             at = np.minimum(np.searchsorted(candidates, prints), max(0, len(candidates) - 1))
             kept = np.flatnonzero(candidates[at] == prints) if len(candidates) else np.zeros(0, np.int64)
             for held, x in ((hashes, h), (checks, check), (begins, begin), (ends, end)):
@@ -278,13 +223,12 @@ def count_candidates(chunks: DataFrame, bits: DataFrame, longest: int, ranges: i
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         (lang,), (raw,) = left.column("lang").to_pylist(), left.column("body").to_pylist()
         once, more, _ = chunk_prints(raw, lang, longest)
-        bounds, kept = range_bounds(ranges), []
-        a, c = np.searchsorted(once, bounds), np.searchsorted(more, bounds)
-        for r, *flags in zip(*(right.column(x).to_pylist() for x in ("range", "once", "more")), strict=True):
-            for prints, at, blob in ((once, a, flags[0]), (more, c, flags[1])):
-                some = prints[at[r] : at[r + 1]]
-                kept.append(some[np.unpackbits(np.frombuffer(blob, np.uint8), count=len(some)).astype(bool)])
-        total, rows = chunk_candidates(raw, lang, longest, np.sort(np.concatenate(kept)) if kept else np.zeros(0, np.uint64))
+        bounds, part = range_bounds(ranges), right.column("range").to_pylist()
+        kept = [
+            flagged(prints, np.searchsorted(prints, bounds), list(zip(part, right.column(name).to_pylist(), strict=True)))
+            for name, prints in (("once", once), ("more", more))
+        ]
+        total, rows = chunk_candidates(raw, lang, longest, np.sort(np.concatenate(kept)))
         rows.append((None, 0, total))
         texts, words, n = zip(*rows, strict=True)
         return pa.table({"lang": pa.array([lang] * len(rows), pa.string()), "phrase": pa.array(texts, pa.string()), "words": pa.array(words, pa.int32()), "n": pa.array(n, pa.int64())})

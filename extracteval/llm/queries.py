@@ -15,6 +15,7 @@ from extracteval.llm.pii import personal_data
 from extracteval.llm.sharding import shard_documents
 from extracteval.llm.simhash import simhash_components
 from extracteval.llm.spelling import spelling_variants
+from extracteval.llm.suffix_dedup import remove_repeats, repeat_digests
 from extracteval.llm.token_files import token_files_query
 from extracteval.llm.tokens import public_path
 from extracteval.llm.toxicity import score_documents
@@ -68,6 +69,10 @@ def op11_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents"))
 
 
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(remove_repeats(read(spark, sf_dir, "documents")))
+
+
 def op13_trie_frontier_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read(spark, sf_dir, "documents"))
 
@@ -77,7 +82,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_label_propagation_shards, op2_contextual_personal_data, op3_vbyte_token_files, op4_additive_quality,
         op5_event_sourced_chat, op6_best_fit_packing, op7_block_matrix_search, op8_toxic_clause_grammar,
-        op9_qgram_decontamination, op10_covering_simhash, op11_son_phrases, op13_trie_frontier_spelling,
+        op9_qgram_decontamination, op10_covering_simhash, op11_son_phrases,
+        op12_suffix_array_dedup, op13_trie_frontier_spelling,
     )
 }
 ORACLE: dict[str, str] = {"op5_event_sourced_chat": chat.ORACLE_SQL, "op11_son_phrases": phrases.ORACLE_SQL}

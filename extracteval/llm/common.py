@@ -16,7 +16,7 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Whole texts travel to Python in small batches so a run of very long texts stays bounded.
 ARROW_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 

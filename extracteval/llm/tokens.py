@@ -14,6 +14,7 @@ import re
 from array import array
 from collections.abc import Iterable
 from functools import lru_cache
+from sys import getsizeof
 
 import numpy as np
 
@@ -26,7 +27,8 @@ _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 # Byte-level vocabularies write a byte as itself where it prints, else as the next sign from U+0100.
 _PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_SIGNS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTS)}
-CACHE_ENTRIES = 1_000_000  # memory bound of a worker's cache; a full cache starts anew
+CACHE_BYTES = 128 << 20  # memory bound of a worker's cache
+_ENTRY_BYTES = 64  # of a dictionary slot
 
 
 class _Unsafe(Exception):
@@ -34,21 +36,31 @@ class _Unsafe(Exception):
 
 
 class _Pieces(dict):
-    """Piece -> id bytes, filled on demand; ``lead`` is put before a piece that is looked up."""
+    """Piece -> id bytes, filled on demand; ``lead`` is put before a piece that is looked up.
 
-    def __init__(self, owner: TextEncoder, lead: str, cut: bool):
+    Entries that fill their share of the bytes become the older half, which is still asked; an older
+    half is dropped when the next one is full.  Pieces that are met again stay.
+    """
+
+    def __init__(self, owner: TextEncoder, lead: str, cut: bool, limit: int):
         super().__init__()
         self.owner, self.lead, self.cut = owner, lead, cut
+        self.limit, self.used, self.older = limit // 2, 0, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if self.lead and (not piece or piece[-1].isspace()):
-            raise _Unsafe
-        parts = self.owner.findall(self.lead + piece) if self.cut else ()
-        ids = b"".join(map(self.owner.part, parts)) if len(parts) > 1 else self.owner.word(self.lead + piece)
-        if len(piece) <= 48 and len(parts) <= 2:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[piece] = ids
+        ids = self.older.get(piece)
+        if ids is None:
+            if self.lead and (not piece or piece[-1].isspace()):
+                raise _Unsafe
+            parts = self.owner.findall(self.lead + piece) if self.cut else ()
+            ids = b"".join(map(self.owner.part, parts)) if len(parts) > 1 else self.owner.word(self.lead + piece)
+            if len(piece) > 48 or len(parts) > 2:
+                return ids
+        if self.used >= self.limit:
+            self.older, self.used = dict(self), 0
+            self.clear()
+        self[piece] = ids
+        self.used += _ENTRY_BYTES + getsizeof(piece) + getsizeof(ids)
         return ids
 
 
@@ -70,8 +82,8 @@ class TextEncoder:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.spaces = spaces
         self.findall = _WITH_SPACE if spaces else _NO_SPACE
-        self.after_space = _Pieces(self, " " if spaces else "", cut=True)
-        self.bare = _Pieces(self, "", cut=False)
+        self.after_space = _Pieces(self, " " if spaces else "", cut=True, limit=CACHE_BYTES * 3 // 4)
+        self.bare = _Pieces(self, "", cut=False, limit=CACHE_BYTES // 4)
         self.model = self.tokenizer.model
 
     def whole(self, text: str) -> bytes:
@@ -121,7 +133,7 @@ class TextEncoder:
             yield np.frombuffer(blob, dtype=self.dtype)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str, spaces: bool) -> TextEncoder:
     """The worker's encoder; kept between tasks of the same worker."""
     return TextEncoder(path, spaces)

@@ -44,6 +44,7 @@ DENSITIES = (300, 1_000)  # characters a clause may have for each occurrence of
 DENSE_HITS = 4  # occurrences that make a part of a longer clause dense
 NOISE = 0.5  # a learned form may be in so many other texts for each toxic one
 THRESHOLD = 0.5
+FORMS_HELD = 50_000  # forms that a counting worker holds before it hands them on
 
 # The grammar's own words.
 INSULTS = "idiot moron stupid loser scum trash clown pathetic worthless disgusting imbecile".split()
@@ -220,7 +221,7 @@ def _count_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             counts[toxic].update(word_forms(text))
-        if sum(map(len, counts)) > 500_000:  # sums are added up by form later
+        if sum(map(len, counts)) > FORMS_HELD:  # sums are added up by form later
             yield _form_rows(counts)
             counts = (Counter(), Counter())
     yield _form_rows(counts)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from extracteval.functions.pytext import WS, col_, py_strip
+from extracteval.functions.pytext import WS, col_, float_text, py_strip
 
 # Fixed value: the fence pattern, with Python's \s spelled as the full whitespace class.
 FENCE_RE = "```json" + WS + "*|" + WS + "*```"
@@ -106,3 +106,59 @@ def with_parse(df: DataFrame, cleaned: str, valid: str, value: str) -> DataFrame
 def as_object_map(v: Column | str) -> Column:
     """VARIANT object -> MAP<STRING, VARIANT> (null for non-objects)."""
     return F.try_variant_get(col_(v), "$", "map<string,variant>")
+
+
+# The short escapes of JSON by code point.
+_SHORT = {8: "\\b", 9: "\\t", 10: "\\n", 12: "\\f", 13: "\\r", 34: '\\"', 92: "\\\\"}
+# Stand-ins for an escaped backslash and an escaped quote: control characters, which JSON text never holds.
+_BACKSLASH, _QUOTED = "\x01", "\x02"
+
+
+def _utf16_escapes(c: Column) -> Column:
+    """``\\uXXXX`` for each UTF-16 unit of one character."""
+    units = F.lower(F.hex(F.encode(c, "UTF-16BE")))
+    return F.regexp_replace(units, "(.{4})", r"\\u$1")
+
+
+def _unit_text(u: Column) -> Column:
+    """One character or escape of a string, as Python's encoder writes it (ASCII only)."""
+    code = F.when(u.startswith("\\u"), F.conv(F.substring(u, 3, 4), 16, 10).cast("int"))
+    text = F.when(u == _BACKSLASH, F.lit("\\\\")).when(u == _QUOTED, F.lit('\\"')).when(u == "\\/", F.lit("/"))
+    for point, short in _SHORT.items():
+        text = text.when(code == point, F.lit(short))
+    text = text.when((code >= 32) & (code <= 126), F.char(code)).when(code.isNotNull(), F.lower(u))
+    return text.when(u.startswith("\\") | u.rlike(r"^[ -~]\z"), u).otherwise(_utf16_escapes(u))
+
+
+def _string_body(x: Column) -> Column:
+    units = F.regexp_extract_all(x, F.lit(r"(?s)\\u[0-9a-fA-F]{4}|\\.|."), F.lit(0))
+    return F.when(x.rlike(r"^[ -\[\]-~]*+\z"), x).otherwise(F.array_join(F.transform(units, _unit_text), ""))
+
+
+def _number_text(t: Column) -> Column:
+    """A float as Python prints it; other tokens as they are (``-0`` is the integer 0)."""
+    value = F.abs(t.try_cast("double"))
+    shown = F.when(value == float("inf"), F.lit("Infinity")).otherwise(float_text(value))
+    signed = F.concat(F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit("")), shown)
+    return F.when(t == "-0", F.lit("0")).when(t.rlike(r"^-?[0-9]+(\.|[eE])"), signed).otherwise(t)
+
+
+def _structure(x: Column) -> Column:
+    """What stands between two strings: white space dropped, ``", "`` and ``": "``, numbers as Python's."""
+    tokens = F.regexp_extract_all(x, F.lit(r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|[^-0-9]+|-"), F.lit(0))
+    numbers = F.when(x.rlike("[0-9]"), F.array_join(F.transform(tokens, _number_text), "")).otherwise(x)
+    bare = F.regexp_replace(numbers, r"[ \t\r\n]+", "")
+    return F.replace(F.replace(bare, F.lit(","), F.lit(", ")), F.lit(":"), F.lit(": "))
+
+
+def json_dumps(c: Column | str) -> Column:
+    """``json.dumps(json.loads(text))`` of one valid JSON text: separators, escapes, floats; keys stay in order.
+
+    Escaped backslashes and quotes are marked, so every quote that is left bounds a string and the text's parts
+    are structure and string in turn.  Separators do not depend on depth, so each part is written on
+    its own.  A key that an object holds twice is kept twice (Python keeps the last value), and a number past the
+    double range that Spark's reader has put as text stays text.
+    """
+    marked = F.replace(F.replace(col_(c), F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTED))
+    parts = F.transform(F.split(marked, '"'), lambda x, i: F.when(i % 2 == 0, _structure(x)).otherwise(_string_body(x)))
+    return F.array_join(parts, '"')

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from extracteval.functions.pytext import col_, py_float, py_strip, round_half_even
+from extracteval.functions.pytext import col_, float_text, py_float, py_strip, round_half_even
 
 _INTEGRAL = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 
@@ -40,30 +40,6 @@ def _is_num(t: Column) -> Column:
     return t.isin(*_INTEGRAL, "DOUBLE", "FLOAT", "BOOLEAN") | t.startswith("DECIMAL")
 
 
-def float_text(d: Column) -> Column:
-    """``repr(float)``: plain digits for exponents from -4 to 15, else ``1e+20`` / ``1.5e-07``."""
-    s = F.abs(d).cast("string")
-    mantissa, power = F.substring_index(s, "E", 1), F.substring_index(s, "E", -1).try_cast("int")
-    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), "0+$", "")
-    digits = F.when(digits == "", F.lit("0")).otherwise(digits)
-    rest = F.substring(digits, F.lit(2), F.length(digits))
-    scientific = F.concat(
-        F.left(digits, F.lit(1)), F.when(rest == "", F.lit("")).otherwise(F.concat(F.lit("."), rest)),
-        F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), F.format_string("%02d", F.abs(power)),
-    )
-    after = F.substring(digits, power + 2, F.length(digits))
-    whole = F.concat(F.rpad(F.left(digits, power + 1), power + 1, F.lit("0")), F.lit("."), F.when(after == "", F.lit("0")).otherwise(after))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    text = (
-        F.when(s == "Infinity", F.lit("inf"))
-        .when(F.instr(s, "E") == 0, s)
-        .when((power >= 0) & (power < 16), whole)
-        .when((power < 0) & (power >= -4), small)
-        .otherwise(scientific)
-    )
-    return F.when(F.isnan(d), F.lit("nan")).otherwise(F.concat(F.when(d < 0, F.lit("-")).otherwise(F.lit("")), text))
-
-
 def string_repr(s: Column) -> Column:
     """``repr(str)`` of printable text: single quotes, double ones where only they avoid escapes."""
     for raw, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):

@@ -1,20 +1,20 @@
 """Preference-pair curation: field coalescing, filters, completion normalisation, sampling,
 batching and epochs (F1-F6, P9, T1-T6).
 
-Sampling orders by ``md5(seed:id)``: the same rows are picked whatever the partitioning, and a
-top-n becomes ``TakeOrderedAndProject`` (no global sort).  Batch numbering is an exact global
-ordinal computed with ``scan.ordinal_within`` over digest-prefix levels.
+Sampling takes the least ``md5(seed:id)``: the same rows are picked whatever the partitioning, and
+histograms of the digests find the cut (no global sort, no task with n rows).  Batch numbering is an
+exact global ordinal computed with ``scan.ordinal_within`` over digest-prefix levels.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from extracteval.operators.scan import hex_levels, ordinal_within
+from extracteval.operators.scan import hex_levels, least_by_digest, ordinal_within
 
 # Alternative field names, tried in this order.
 CHOSEN_SCORE_NAMES = ("chosen_rating", "rating_chosen", "chosen_score")
@@ -176,8 +176,11 @@ def shuffle_key(seed: int, id_col: str = "pair_id", epoch: Column | None = None)
 
 
 def sample_pairs(df: DataFrame, n: int = 500, seed: int = 42, id_col: str = "pair_id") -> DataFrame:
-    """min(n, count) rows without replacement in seeded shuffled order (top-n by digest)."""
-    return df.withColumn("_key", shuffle_key(seed, id_col)).orderBy("_key", id_col).limit(n).drop("_key")
+    """min(n, count) rows without replacement, the first in seeded shuffled order.
+
+    The rows are found by radix selection of their digests, so ``n`` may be of any size.
+    """
+    return least_by_digest(df.withColumn("_key", shuffle_key(seed, id_col)), n, "_key", id_col).drop("_key")
 
 
 def assign_batches(df: DataFrame, batch: int = 2, seed: int = 42, id_col: str = "pair_id") -> DataFrame:
@@ -199,6 +202,24 @@ def collate_batches(batched: DataFrame, cols: Sequence[str], id_col: str = "pair
     )
 
 
+def stack_batches(batched: DataFrame, cols: Sequence[str], id_col: str = "pair_id") -> DataFrame:
+    """T3 as matrices: one row per batch with each array column of its members stacked in shuffled order.
+
+    ``rows`` and ``columns`` give the shape; a column holds the values row by row.  Members whose
+    arrays differ in length cannot be stacked, which raises.
+    """
+    g = batched.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("position", id_col, *cols))).alias("_rows"))
+    size = F.size("_rows")
+    widths = F.array_distinct(F.flatten(F.transform("_rows", lambda r: F.array(*[F.size(r[c]) for c in cols]))))
+    ragged = F.raise_error(F.concat(F.lit("arrays of different lengths in batch "), F.col("batch_id").cast("string")))
+    width = F.when(F.size(widths) == 1, widths[0]).otherwise(ragged.cast("int"))
+    shaped = g.select("batch_id", size.alias("rows"), width.alias("columns"), "_rows")
+    return shaped.select(
+        "batch_id", "rows", "columns", F.transform("_rows", _field(id_col)).alias(id_col),
+        *[F.flatten(F.transform("_rows", _field(c))).alias(c) for c in cols],
+    )
+
+
 def _field(name: str):
     return lambda r: r[name]
 
@@ -211,6 +232,20 @@ def repeat_epochs(df: DataFrame, epochs: int, batch: int = 2, seed: int = 42, id
     return r.withColumn("batch_id", ((F.col("position") - 1) / F.lit(batch)).cast("bigint")).drop("_key")
 
 
+def write_curated(raw: DataFrame, path: str, n: int = 500) -> dict[str, int]:
+    """F1-F3, P9 and F5 to a new Parquet folder, and F6's counts, observed by the job that writes.
+
+    ``n_sampled`` is what T1 would take of the formatted rows.
+    """
+    seen = {stage: Observation(f"curated_{stage}") for stage in ("raw", "filtered", "formatted")}
+    count = lambda df, stage: df.observe(seen[stage], F.count(F.lit(1)).alias("n"))
+    c = count(coalesce_fields(raw), "raw")
+    formatted = count(format_pairs(count(c.where(quality_keep(c)), "filtered")), "formatted")
+    formatted.write.parquet(path)
+    found = {f"n_{stage}": o.get["n"] for stage, o in seen.items()}
+    return found | {"n_sampled": min(n, found["n_formatted"])}
+
+
 def head_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """T5: first n rows by order."""
     return df.orderBy(*order).limit(n)

@@ -2,8 +2,8 @@
 
 Tokens are whitespace words (the reference's own length approximation) with ids from a
 vocabulary table; a pre-tokenised ``ARRAY<INT>`` column works with N3/N5/N6 unchanged.
-The vocabulary holds every token unless the caller caps it; the join with it is left to AQE, which
-broadcasts a small one and shuffles a large one.
+The vocabulary holds every token unless the caller caps it.  Texts meet it by a head/tail join: a
+bounded number of frequent tokens is broadcast, the others are shuffled once a text.
 """
 
 from __future__ import annotations
@@ -13,41 +13,112 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from extracteval.functions.pytext import col_, py_split
-from extracteval.operators.scan import hex_levels, ordinal_within
+from extracteval.functions.pytext import col_, py_split, py_strip
+from extracteval.operators.prompts import pair_text
+from extracteval.operators.scan import ordinal_within
 
 PAD_ID = 0
 UNK_ID = 1
 FIRST_ID = 2
 MAX_LEN = 384
+HEAD = 65_536  # most frequent tokens that are broadcast
+HEAD_LENGTH = 64  # code points of a token that is broadcast
 
 
-def build_vocab(texts: DataFrame, text_col: str = "text", size: int | None = None) -> DataFrame:
+def build_vocab(texts: DataFrame, text_col: str = "text", size: int | None = None, copies: str | None = None) -> DataFrame:
     """Token -> token_id by rank of (count desc, digest, token); ids start after pad and unk.
 
-    Ranks come from a levelled scan: by count, then by the digest's leading digits, so the many
-    tokens that occur once are spread over all tasks.  ``size`` keeps the first so many ids.
+    Ranks come from a levelled scan: by count, then by the digest's five leading digits (at most 1,048,576
+    a count), so the many tokens that occur once are spread over all tasks.  ``size`` keeps the first so many ids;
+    ``copies`` names a column that says how often a row counts.
     """
-    toks = texts.select(F.explode(py_split(text_col)).alias("token"))
-    counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    toks = texts.select(F.explode(py_split(text_col)).alias("token"), F.col(copies) if copies else F.lit(1).alias("_one"))
+    counts = toks.groupBy("token").agg(F.sum(copies or "_one").alias("n"))
     keyed = counts.select("token", "n", (-F.col("n")).alias("_less"), F.md5("token").alias("_key"))
-    ranked = ordinal_within(keyed, [], ["_less", "_key", "token"], "_rank", levels=[F.col("_less"), *hex_levels("_key")])
+    ranked = ordinal_within(keyed, [], ["_less", "_key", "token"], "_rank", levels=[F.col("_less"), F.left("_key", F.lit(5))])
     vocab = ranked.select("token", (F.col("_rank") + FIRST_ID - 1).alias("token_id"), F.col("n").cast("bigint").alias("n"))
     return vocab if size is None else vocab.where(F.col("token_id") < size + FIRST_ID)
 
 
-def tokenize_ids(df: DataFrame, keys: Sequence[str], text_col: str, vocab: DataFrame, out: str = "ids") -> DataFrame:
-    """Keys + ``out`` ARRAY<BIGINT> of token ids in text order; unknown tokens -> UNK_ID."""
-    keys = list(keys)
-    spread = df.select(*keys, text_col).repartition(*keys)
-    toks = spread.select(*keys, F.posexplode_outer(py_split(text_col)).alias("pos", "token"))
-    v = vocab.select("token", "token_id")
-    j = toks.join(v, "token", "left")
-    g = j.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("id")))).alias("_t")
-    )
-    ids = F.transform(F.filter("_t", lambda t: t["pos"].isNotNull()), lambda t: t["id"])
-    return g.select(*keys, ids.alias(out))
+def save_vocab(vocab: DataFrame, path: str) -> DataFrame:
+    """Write a vocabulary to a new folder and read it back, as a tokenizer is built once and then loaded."""
+    vocab.write.parquet(path)
+    return vocab.sparkSession.read.schema(vocab.schema).parquet(path)
+
+
+def _row_keys(columns: Sequence[str]) -> list[Column]:
+    """128 bits that tell different rows apart, the same in every run."""
+    return [F.xxhash64(*columns).alias("_ra"), F.xxhash64(F.lit("row"), *reversed(columns)).alias("_rb")]
+
+
+def spread_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``columns`` of ``df`` dealt out evenly by their content, equal rows as one with their number ``_copies``.
+
+    What is worked out for each row afterwards (``_ra``, ``_rb``) can be gathered without another exchange.
+    """
+    columns = list(columns)
+    keyed = df.select(*columns, *_row_keys(columns))
+    same = [F.any_value(c).alias(c) for c in columns]
+    return keyed.groupBy("_ra", "_rb").agg(*same, F.count(F.lit(1)).alias("_copies"))
+
+
+def tokenize_ids(
+    df: DataFrame, keys: Sequence[str], text_col: str, vocab: DataFrame, out: str = "ids", limit: int | None = None, head: int = HEAD
+) -> DataFrame:
+    """Keys + ``out`` ARRAY<BIGINT> of token ids in text order, one row for each row of ``df``.
+
+    Unknown tokens get UNK_ID; ``limit`` keeps a text's first tokens and looks up no other.  The ``head``
+    most frequent tokens (no longer than ``HEAD_LENGTH``, so a few megabytes at most) are broadcast
+    and looked up where the text is; only other tokens are shuffled, each once a text with its places.
+    """
+    keys, row = list(keys), ["_ra", "_rb"]
+    words = py_split(text_col)
+    words = words if limit is None else F.slice(words, 1, limit)
+    texts = df if set(row) <= set(df.columns) else spread_rows(df, [*keys, text_col])
+    tokens = texts.select(*row, *keys, "_copies", F.posexplode_outer(words).alias("pos", "token"))
+    often = (F.col("token_id") < head + FIRST_ID) & (F.length("token") <= HEAD_LENGTH)
+    ids = vocab.select("token", "token_id")
+    met = tokens.join(F.broadcast(ids.where(often)), "token", "left")
+    place = lambda: F.collect_list(F.struct("pos", F.col("token_id").alias("id")))
+    known = F.when(F.col("token_id").isNotNull(), F.struct("pos", F.col("token_id").alias("id")))
+    near = met.groupBy(*row).agg(*[F.any_value(c).alias(c) for c in [*keys, "_copies"]], F.collect_list(known).alias("_near"))
+    others = met.where("token IS NOT NULL AND token_id IS NULL").groupBy(*row, "token").agg(F.collect_list("pos").alias("places"))
+    found = others.join(ids.where(~often), "token", "left").select(*row, F.explode("places").alias("pos"), F.coalesce("token_id", F.lit(UNK_ID)).alias("token_id"))
+    far = found.groupBy(*row).agg(place().alias("_far"))
+    none = F.array().cast("array<struct<pos:int,id:bigint>>")
+    both = F.array_sort(F.concat("_near", F.coalesce("_far", none)))
+    done = near.join(far, row, "left").select(*keys, "_copies", F.transform(both, lambda t: t["id"]).alias(out))
+    return done.select(*keys, out, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*keys, out)
+
+
+def decode_ids(df: DataFrame, keys: Sequence[str], ids_col: str, vocab: DataFrame, out: str = "text", head: int = HEAD) -> DataFrame:
+    """Ids back to text (tokens joined by a space), special ids (below FIRST_ID) and unknown ones skipped.
+
+    The same table the other way round: frequent ids by broadcast, the rest by a shuffle of each
+    row's different ids.
+    """
+    keys, row = list(keys), ["_ra", "_rb"]
+    texts = spread_rows(df, [*keys, ids_col])
+    places = texts.select(*row, *keys, "_copies", F.posexplode_outer(ids_col).alias("pos", "token_id"))
+    often = (F.col("token_id") < head + FIRST_ID) & (F.length("token") <= HEAD_LENGTH)
+    tokens = vocab.select("token_id", "token")
+    met = places.join(F.broadcast(tokens.where(often)), "token_id", "left")
+    known = F.when(F.col("token").isNotNull(), F.struct("pos", "token"))
+    near = met.groupBy(*row).agg(*[F.any_value(c).alias(c) for c in [*keys, "_copies"]], F.collect_list(known).alias("_near"))
+    others = met.where(f"token IS NULL AND token_id >= {FIRST_ID}").groupBy(*row, "token_id").agg(F.collect_list("pos").alias("places"))
+    found = others.join(tokens.where(~often), "token_id").select(*row, F.explode("places").alias("pos"), "token")
+    far = found.groupBy(*row).agg(F.collect_list(F.struct("pos", "token")).alias("_far"))
+    none = F.array().cast("array<struct<pos:int,token:string>>")
+    both = F.array_sort(F.concat("_near", F.coalesce("_far", none)))
+    done = near.join(far, row, "left").select(*keys, "_copies", F.array_join(F.transform(both, lambda t: t["token"]), " ").alias(out))
+    return done.select(*keys, out, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*keys, out)
+
+
+def decode_new_ids(df: DataFrame, keys: Sequence[str], n_prompt: str, vocab: DataFrame, ids_col: str = "ids", out: str = "text") -> DataFrame:
+    """P6 on ids: the ids after the first ``n_prompt``, decoded (special ids skipped) and stripped."""
+    new = F.slice(ids_col, F.col(n_prompt) + 1, F.greatest(F.size(ids_col) - F.col(n_prompt), F.lit(0)))
+    text = decode_ids(df.select(*keys, new.alias("_new")), keys, "_new", vocab, out)
+    return text.withColumn(out, py_strip(out))
 
 
 def truncate_pad(ids: Column | str, length: int = MAX_LEN, pad: int = PAD_ID) -> tuple[Column, Column]:
@@ -61,19 +132,21 @@ def truncate_pad(ids: Column | str, length: int = MAX_LEN, pad: int = PAD_ID) ->
 
 def encode_pairs(pairs: DataFrame, vocab: DataFrame, prompt: str = "input", length: int = MAX_LEN) -> DataFrame:
     """P7 + N2 + N3 for both sides -> chosen_ids, chosen_mask, rejected_ids, rejected_mask."""
-    sides = F.array(
-        F.struct(F.lit("chosen").alias("side"), F.concat(F.col(prompt), F.lit(" "), F.col("chosen")).alias("text")),
-        F.struct(F.lit("rejected").alias("side"), F.concat(F.col(prompt), F.lit(" "), F.col("rejected")).alias("text")),
-    )
-    long = pairs.select("pair_id", F.explode(sides).alias("s")).select("pair_id", "s.side", "s.text")
-    ids = tokenize_ids(long, ["pair_id", "side"], "text", vocab)
+    text = lambda side: pair_text(prompt, side)
+    # pairs that share an id stay apart: equal ones are interchangeable, others differ in a text
+    whole = pairs.select(F.struct(F.xxhash64("pair_id", text("chosen"), text("rejected")), F.xxhash64(text("rejected"), text("chosen"), "pair_id")).alias("pair"), "pair_id", F.array(text("chosen"), text("rejected")).alias("texts"))
+    unique = whole.groupBy("pair").agg(F.any_value("pair_id").alias("pair_id"), F.any_value("texts").alias("texts"), F.count(F.lit(1)).alias("copies"))
+    long = unique.select("pair", "pair_id", "copies", F.posexplode("texts").alias("side", "text"))
+    ids = tokenize_ids(long, ["pair", "pair_id", "copies", "side"], "text", vocab, limit=length)
     padded, mask = truncate_pad("ids", length)
-    enc = ids.select("pair_id", "side", padded.alias("ids"), mask.alias("mask"))
+    enc = ids.select("pair", "pair_id", "copies", "side", padded.alias("ids"), mask.alias("mask"))
     pick = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
-    return enc.groupBy("pair_id").agg(
-        pick("chosen", "ids").alias("chosen_ids"), pick("chosen", "mask").alias("chosen_mask"),
-        pick("rejected", "ids").alias("rejected_ids"), pick("rejected", "mask").alias("rejected_mask"),
+    both = enc.groupBy("pair", "pair_id", "copies").agg(
+        pick(0, "ids").alias("chosen_ids"), pick(0, "mask").alias("chosen_mask"),
+        pick(1, "ids").alias("rejected_ids"), pick(1, "mask").alias("rejected_mask"),
     )
+    columns = ["pair_id", "chosen_ids", "chosen_mask", "rejected_ids", "rejected_mask"]
+    return both.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(*columns)
 
 
 def length_budget(prompt_ids: Column, completion_ids: Column, max_prompt: int = 256, max_total: int = 512) -> tuple[Column, Column]:
@@ -85,25 +158,52 @@ def length_budget(prompt_ids: Column, completion_ids: Column, max_prompt: int =
     return p, c
 
 
-def pack_sequences(df: DataFrame, id_col: str, n_col: str, block: int = 1024) -> DataFrame:
-    """Lay examples end to end in id order and cut the stream into blocks of ``block`` tokens.
-
-    The running offset is an exact global prefix sum (bucketed scan), so no window holds the
-    whole stream.  Output: block_id, n_tokens, n_pieces, first_id, last_id.
-    """
-    t = df.select(id_col, F.col(n_col).cast("bigint").alias("_n")).where(F.col("_n") > 0)
+def _block_pieces(df: DataFrame, id_col: str, n: Column, block: int, *keep: str) -> DataFrame:
+    """One row for each part of an example in a block: id, start, end, block_id, lo and hi (stream offsets)."""
+    t = df.select(id_col, *keep, n.cast("bigint").alias("_n")).where(F.col("_n") > 0)
     r = ordinal_within(t, [], id_col, "_ord", running=["_n"])
     end = F.col("_n_cum")
     start = end - F.col("_n")
     pieces = r.select(
-        id_col, start.alias("_s"), end.alias("_e"),
+        id_col, *keep, start.alias("_s"), end.alias("_e"),
         F.explode(F.sequence(F.floor(start / block), F.floor((end - 1) / block))).alias("block_id"),
     )
     lo = F.greatest(F.col("_s"), F.col("block_id") * block)
     hi = F.least(F.col("_e"), (F.col("block_id") + 1) * block)
-    return pieces.groupBy("block_id").agg(
-        F.sum(hi - lo).cast("bigint").alias("n_tokens"),
+    return pieces.select("*", lo.alias("_lo"), hi.alias("_hi"))
+
+
+def pack_sequences(df: DataFrame, id_col: str, n_col: str, block: int = 1024) -> DataFrame:
+    """Lay examples end to end in id order and cut the stream into blocks of ``block`` tokens.
+
+    The running offset is an exact global prefix sum (bucketed scan), so no window holds the
+    whole stream.  Output: block_id, n_tokens, n_pieces, first_id, last_id.
+    """
+    return _block_pieces(df, id_col, F.col(n_col), block).groupBy("block_id").agg(
+        F.sum(F.col("_hi") - F.col("_lo")).cast("bigint").alias("n_tokens"),
         F.count(F.lit(1)).alias("n_pieces"),
         F.min(id_col).alias("first_id"),
         F.max(id_col).alias("last_id"),
     )
+
+
+def packed_blocks(df: DataFrame, id_col: str, ids_col: str, block: int = 1024, end_id: int | None = None) -> DataFrame:
+    """N6 with its tokens: block_id, ids (``block`` of them; the last block may be shorter), pieces.
+
+    ``end_id`` is put after every example.  Offsets are summed over lengths alone; an example's ids are
+    cut where they are, and a block gathers no more than its own tokens.  ``pieces`` lists what the block
+    holds in order: id, first token in the example and number of tokens.  Examples without tokens are left out
+    (with ``end_id`` they hold that).
+    """
+    ids = F.col(ids_col) if end_id is None else F.concat(F.col(ids_col), F.array(F.lit(end_id).cast("bigint")))
+    whole = df.select(id_col, ids.alias("_ids"))
+    parts = _block_pieces(whole, id_col, F.size("_ids"), block, "_ids")
+    begin, size = F.col("_lo") - F.col("_s"), F.col("_hi") - F.col("_lo")
+    cut = parts.select("block_id", F.struct(
+        F.col("_lo").alias("at"), F.col(id_col).alias("id"), begin.alias("start"), size.alias("n"), F.slice("_ids", (begin + 1).cast("int"), size.cast("int")).alias("ids")
+    ).alias("p"))
+    blocks = cut.groupBy("block_id").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    return blocks.select(
+        "block_id", F.flatten(F.transform("p", lambda p: p["ids"])).alias("ids"),
+        F.transform("p", lambda p: F.struct(p["id"].alias("id"), p["start"].alias("start"), p["n"].alias("n"))).alias("pieces"),
+    )

@@ -1,8 +1,9 @@
 """Preference numerics over logged logits and losses.
 
-Logits arrive long: one row per (pair_id, side, model, pos) with a logits array.  The shift by
-one position is a ``lag`` over a window keyed by sequence (bounded by sequence length); all
-later steps are keyed aggregations.  The loss uses the overflow-free form
+Logits arrive long: one row per (pair_id, side, model, pos) with the logits that predict the next
+token, and that token as the row's ``label_id`` with its ``label_mask``, as a trainer holds both.
+Log-softmax is then worked out where a row is read and no logits array is ever shuffled; all later
+steps are keyed aggregations of one number a row.  ``with_labels`` shifts the tokens of a log without labels.  The loss uses the overflow-free form
 ``log1p(exp(-|z|)) - min(z, 0)`` of ``-log(sigmoid(z))``.
 """
 
@@ -19,16 +20,27 @@ SEQ = ["pair_id", "side", "model"]
 BETA = 0.1
 
 
-def token_logprobs(logits: DataFrame) -> DataFrame:
-    """L1: log-softmax of the previous position's logits at this position's token (pos >= 1)."""
+def with_labels(tokens: DataFrame) -> DataFrame:
+    """(pair_id, side, model, pos, label_id, label_mask): each position with the next one's token.
+
+    For logs that name only their own token: shift the narrow token rows with this (a window over a
+    sequence, which is bounded by its length) and log or join the labels beside the logits; a join of
+    two tables bucketed by the sequence leaves the logits where they are.
+    """
     w = Window.partitionBy(*SEQ).orderBy("pos")
-    t = logits.select(*SEQ, "pos", "token_id", "mask", F.lag("logits").over(w).alias("prev")).where(
-        F.col("prev").isNotNull()
-    )
-    t = t.withColumn("_m", F.array_max("prev"))
-    lse = F.col("_m") + F.log(F.aggregate("prev", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("_m"))))
-    lp = F.try_element_at("prev", F.col("token_id") + 1) - lse
-    return t.select(*SEQ, "pos", "mask", lp.alias("token_logprob"))
+    shifted = tokens.select(*SEQ, "pos", F.lead("token_id").over(w).alias("label_id"), F.lead("mask").over(w).alias("label_mask"))
+    return shifted.where("label_id IS NOT NULL")
+
+
+def token_logprobs(logits: DataFrame) -> DataFrame:
+    """L1: log-softmax of each row's logits at its label; ``pos`` and ``mask`` are the label's (pos >= 1).
+
+    Rows without a label (a sequence's last) predict nothing and are left out.
+    """
+    t = logits.where("label_id IS NOT NULL").withColumn("_m", F.array_max("logits"))
+    lse = F.col("_m") + F.log(F.aggregate("logits", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("_m"))))
+    lp = F.try_element_at("logits", F.col("label_id") + 1) - lse
+    return t.select(*SEQ, (F.col("pos") + 1).alias("pos"), F.col("label_mask").alias("mask"), lp.alias("token_logprob"))
 
 
 def sequence_logprob(tok: DataFrame) -> DataFrame:

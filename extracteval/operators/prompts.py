@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from extracteval.functions.jsonx import json_dumps
 from extracteval.functions.pytext import col_, py_split, py_strip
 from extracteval.operators.scan import ordinal_within
 
@@ -34,10 +35,15 @@ def sft_messages(inp: Column | str, output: Column | str, instruction: str = INS
     )
 
 
-def normalise_sft_output(output: Column | str) -> Column:
-    """A VARIANT output -> its text when it is a string, else JSON text (compact, sorted keys)."""
-    v = col_(output)
-    return F.when(F.schema_of_variant(v) == "STRING", F.variant_get(v, "$", "string")).otherwise(F.to_json(v))
+def normalise_sft_output(line: Column | str, field: str = "output") -> Column:
+    """``field`` of an SFT record's JSON text: its text when it is a string, else Python's JSON text of it.
+
+    Key order, ``", "`` and ``": "``, ASCII escapes and floats are Python's; a missing field or JSON null is null.
+    """
+    record = col_(line)
+    value = F.try_variant_get(F.try_parse_json(record), f"$.{field}", "variant")
+    kind = F.schema_of_variant(value)
+    return F.when(kind == "STRING", F.variant_get(value, "$", "string")).when(kind.isNotNull(), json_dumps(F.get_json_object(record, f"$.{field}")))
 
 
 def strip_new_tokens(prompt_tokens: Column, all_tokens: Column) -> Column:

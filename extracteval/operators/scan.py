@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def radix_levels(order_col: str) -> list[Column]:
@@ -30,11 +31,20 @@ def hex_levels(digest_col: str) -> list[Column]:
     return [F.substring(F.col(digest_col), 1, 4), F.substring(F.col(digest_col), 1, 8)]
 
 
-def _join(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Inner null-safe equi-join on ``cols``, kept once."""
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], levels: Sequence[str]) -> DataFrame:
+    """Inner equi-join on ``keys`` (null-safe) and ``levels`` (never null), kept once.
+
+    Plain equality lets the side that is partitioned and sorted for its window stay where it is.
+    """
+    cols = [*keys, *levels]
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
-    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols])
-    return left.join(renamed, on).drop(*[f"_r_{c}" for c in cols])
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys] + [F.col(c) == F.col(f"_r_{c}") for c in levels]
+    return left.join(renamed, reduce(lambda a, b: a & b, same)).drop(*[f"_r_{c}" for c in cols])
+
+
+def _never_null(level: Column, kind: T.DataType) -> Column:
+    """The level with null as a value of its own before all others."""
+    return F.coalesce(level, F.lit("") if isinstance(kind, T.StringType) else F.lit(-(1 << 62)).cast("bigint"))
 
 
 def ordinal_within(
@@ -54,7 +64,8 @@ def ordinal_within(
     order = [order] if isinstance(order, str) else list(order)
     keys, levels = list(keys), list(levels if levels is not None else radix_levels(order[0]))
     names = [f"_lvl{k}" for k in range(len(levels))]
-    t = df.withColumns(dict(zip(names, levels)))
+    raw = df.withColumns(dict(zip(names, levels)))
+    t = raw.withColumns({c: _never_null(F.col(c), raw.schema[c].dataType) for c in names})
     part = keys + names
     inner = Window.partitionBy(*part).orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("_pos", F.count(F.lit(1)).over(inner))
@@ -71,11 +82,31 @@ def ordinal_within(
         before = Window.partitionBy(*parent).orderBy(names[k - 1]).rowsBetween(Window.unboundedPreceding, -1)
         here = table.select(*parent, names[k - 1], *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"{s}_b") for s in sums])
         if offs is not None:
-            here = _join(here, offs.withColumnsRenamed({f"{s}_b": f"{s}_up" for s in sums}), parent) if parent else here
+            here = _join(here, offs.withColumnsRenamed({f"{s}_b": f"{s}_up" for s in sums}), keys, names[: k - 1])
             here = here.select(*parent, names[k - 1], *[(F.col(f"{s}_b") + F.col(f"{s}_up")).alias(f"{s}_b") for s in sums])
         offs = here
-    j = _join(t, offs, part)
+    j = _join(t, offs, keys, names)
     j = j.withColumn(out, (F.col("_n_b") + F.col("_pos")).cast("bigint"))
     for r in running:
         j = j.withColumn(f"{r}_cum", F.col(f"_{r}_tot_b") + F.col(f"_{r}_in"))
     return j.drop(*names, "_pos", *[f"{s}_b" for s in sums], *[f"_{r}_in" for r in running])
+
+
+def least_by_digest(df: DataFrame, n: int, digest: str, tie: str) -> DataFrame:
+    """The ``n`` rows with the least lower-case hex ``digest`` (ties: least ``tie``), by radix selection.
+
+    A histogram over the digest's four leading digits, at most 65,536 counts, finds the digits of the
+    n-th row.  All rows below are kept by a filter where they are, and only the rows that share those digits (a
+    65,536th of all) are ranked, by the levelled scan.  No task takes n rows.
+    """
+    keyed = df.withColumn("_lead", F.left(digest, F.lit(4)))
+    counts = keyed.groupBy("_lead").agg(F.count(F.lit(1)).alias("k"))
+    upto = F.sum("k").over(Window.orderBy("_lead").rowsBetween(Window.unboundedPreceding, 0))
+    runs = counts.select("_lead", (upto - F.col("k")).alias("before")).where(F.col("before") < n)
+    cut = runs.agg(F.max(F.struct("_lead", "before")).alias("cut")).scalar()
+    edge = keyed.where(F.col("_lead") == cut["_lead"]).withColumn("_row", F.monotonically_increasing_id())
+    # repeated ties are dealt out by where they were read, so that no window holds them all
+    levels = [F.left(digest, F.lit(8)), F.col(digest), F.shiftright("_row", 33), F.shiftright("_row", 16)]
+    ranked = ordinal_within(edge, [], [digest, tie, "_row"], "_ord", levels=levels)
+    last = ranked.where(F.col("_ord") + cut["before"] <= n).drop("_row", "_ord")
+    return keyed.where(F.col("_lead") < cut["_lead"]).unionByName(last).drop("_lead")

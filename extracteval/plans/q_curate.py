@@ -188,11 +188,34 @@ def q_p3(spark, sf):
     )
 
 
-@query("normalise_sft_output")
+def _escaped(x: str) -> str:
+    """Python's ASCII-only JSON text of a string, code point by code point."""
+    high = "55296 + (unicode(c) - 65536) // 1024"
+    low = "56320 + (unicode(c) - 65536) % 1024"
+    unit = (f"CASE WHEN c = chr(34) THEN chr(92) || chr(34) WHEN c = chr(92) THEN chr(92) || chr(92) "
+            f"WHEN c = chr(8) THEN chr(92) || 'b' WHEN c = chr(9) THEN chr(92) || 't' WHEN c = chr(10) THEN chr(92) || 'n' "
+            f"WHEN c = chr(12) THEN chr(92) || 'f' WHEN c = chr(13) THEN chr(92) || 'r' "
+            f"WHEN unicode(c) BETWEEN 32 AND 126 THEN c WHEN unicode(c) < 65536 THEN printf('%su%04x', chr(92), unicode(c)) "
+            f"ELSE printf('%su%04x%su%04x', chr(92), {high}, chr(92), {low}) END")
+    return f"'\"' || array_to_string(list_transform(regexp_extract_all({x}, '(?s).'), lambda c: {unit}), '') || '\"'"
+
+
+@query("normalise_sft_output", f"""SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN text ELSE '{{"title": ' || {_escaped("text")} || ', "lang": ' || {_escaped("lang")}
+  || ', "n_chars": ' || n_chars || ', "ratio": ' || CAST(n_chars AS DOUBLE) / 8 || ', "tags": [' || {_escaped("source")} || ', null, true, []], "a": {{}}}}' END AS output
+FROM documents WHERE text IS NOT NULL""")
 def q_p4(spark, sf):
-    """Outputs that arrive as objects become JSON text; text outputs stay as they are."""
-    c = X.x_cases(spark, sf)
-    return c.select("test_id", prompts.normalise_sft_output(F.try_parse_json("expected")).alias("output"))
+    """SFT records whose output is an object of a whole document become Python's JSON text, keys in
+    order; text outputs (every fifth) stay as they are."""
+    d = table(spark, sf, "documents").where("text IS NOT NULL")
+    # the records' lines, with a key order that is not the alphabet's, no spaces, and raw letters
+    value = F.struct(F.col("text").alias("title"), "lang", "n_chars", (F.col("n_chars").cast("double") / 8).alias("ratio"))
+    parts = d.select("doc_id", "text", F.to_json(value).alias("head"), F.to_json(F.array("source")).alias("source"))
+    tags = F.concat(F.substring("source", F.lit(1), F.length("source") - 1), F.lit(",null,true,[]]"))
+    body = F.concat(F.substring("head", F.lit(1), F.length("head") - 1), F.lit(',"tags":'), tags, F.lit(',"a":{}}'))
+    text = F.to_json(F.array("text"))
+    output = F.when(F.col("doc_id") % 5 == 0, F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(body)
+    lines = parts.select("doc_id", F.concat(F.lit('{"instruction":"x","output":'), output, F.lit("}")).alias("line"))
+    return lines.select("doc_id", prompts.normalise_sft_output("line").alias("output"))
 
 
 @query("strip_new_tokens", S.with_(S.X_CASES, S.X_OUTPUTS, S.ALIGNED) + f"""SELECT label, test_id,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from extracteval.operators import compare, curate, prefnum, prompts, score, udf
@@ -9,12 +11,19 @@ from extracteval.operators.compare import IMPROVEMENT_KEYS, METRICS, STAGE_PAIRS
 from extracteval.plans import sqlparts as S
 from extracteval.plans.q_scoring import QUALITY_CTE, W2_CTE, WIN_CTE, _outputs, _scored, _summary
 from extracteval.plans.q_tokens import LOGP
+from extracteval.plans.q_curate import PROMPT, PROMPT_END
 from extracteval.plans.registry import query
+from extracteval.session import shared_dir
+from extracteval.sinks import publish
 from extracteval.sinks import reports as K
 from extracteval.sources import fixtures as X
 from extracteval.sources import readers as R
 
 
+def _new_folder(spark, name):
+    return shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+
+
 def _sft_lines(spark, sf):
     c = X.x_cases(spark, sf)
     return c.select(F.to_json(F.struct(F.lit(prompts.INSTRUCTION).alias("instruction"), "input",
@@ -51,6 +60,74 @@ def q_s4(spark, sf):
     return R.json_records(cases.select(F.to_json(F.struct("*")).alias("value")), R.CASE_SCHEMA)
 
 
+@query("scan_cases_by_position", S.with_(S.X_CASES) + """SELECT CAST(row_number() OVER (ORDER BY test_id) AS BIGINT) AS test_id, input, expected FROM x_cases""")
+def q_s4_position(spark, sf):
+    """Cases written as JSON lines without ids, read back with their position as identity."""
+    cases = X.x_cases(spark, sf).orderBy("test_id")
+    path = _new_folder(spark, "cases")
+    cases.select(F.to_json(F.struct("input", "expected")).alias("value")).write.text(path)
+    return R.scan_positioned_cases(spark, path)
+
+
+@query("align_by_position", S.with_(S.X_CASES, S.X_OUTPUTS) + """SELECT 'sft_model' AS label, CAST(row_number() OVER (ORDER BY c.test_id) AS BIGINT) AS test_id, c.input, o.output
+FROM x_cases c JOIN x_outputs o ON o.test_id = c.test_id AND o.label = 'sft_model'""")
+def q_j1_position(spark, sf):
+    """J1 by position: two files without ids, one with cases and one with outputs, each with a blank line
+    after every record, are paired line by line."""
+    cases = X.x_cases(spark, sf)
+    outputs = X.x_outputs(spark, sf, cases).where("label = 'sft_model'")
+    folders = []
+    for name, rows, columns in (("cases", cases, ["input", "expected"]), ("outputs", outputs, ["output"])):
+        folders.append(_new_folder(spark, name))
+        line = F.concat(F.to_json(F.struct(*columns)), F.lit("\n"))
+        rows.orderBy("test_id").select(line.alias("value")).write.text(folders[-1])
+    paired = score.align_outputs_cases(R.scan_positioned_outputs(spark, folders[1], "sft_model"), R.scan_positioned_cases(spark, folders[0]))
+    return paired.select("label", "test_id", "input", "output")
+
+
+@query("scan_preference_mixed", S.with_(S.X_PAIRS, S.F1_CTE, S.F3_CTE) + """SELECT CAST(pair_id AS VARCHAR) AS pair_id, prompt_text AS prompt, chosen, rejected FROM f3""")
+def q_s3_mixed(spark, sf):
+    """S3 with F3, P9 and F5: preference lines whose completions are text in some rows and message
+    lists in others."""
+    pairs = X.x_pairs(spark, sf)
+    said = lambda c: F.to_json(F.array(F.struct(F.lit("assistant").alias("role"), F.col(c).alias("content"))))
+    rest = F.to_json(F.struct(*[c for c in pairs.columns if c not in ("chosen", "rejected")]))
+    quoted = lambda c: F.regexp_replace(F.to_json(F.array(F.col(c))), r"^\[|\]\z", "")
+    listed = F.col("pair_id") % 2 == 0
+    sides = [F.concat(F.lit(f',"{c}":'), F.when(listed & (F.length(c) > 0), said(c)).otherwise(quoted(c))) for c in ("chosen", "rejected")]
+    line = F.concat(F.left(rest, F.length(rest) - 1), *[F.when(F.col(c).isNotNull(), x).otherwise("") for c, x in zip(("chosen", "rejected"), sides)], F.lit("}"))
+    return curate.format_pairs(curate.filter_pairs_quality(R.preference_records(pairs.select(line.alias("value")))))
+
+
+@query("published_per_test", S.with_(*S.SCORED_CTES) + """SELECT label, test_id, input_preview, valid_json, field_accuracy,
+  format_compliance, output_preview FROM scored WHERE label IN ('sft_model', 'dpo_model')""")
+def q_k2_tables(spark, sf):
+    """The three-stage report published with its per-test rows, two stages read back."""
+    scored = _scored(spark, sf).drop("empty_expected_list")
+    path = _new_folder(spark, "three-stage")
+    publish.publish_three_stage(score.evaluate_outputs(scored), scored, path, TRAINING, HARDWARE)
+    return R.scan_metrics_report(spark, path)
+
+
+@query("published_prompts", S.with_(S.X_CASES) + f"""SELECT CAST(row_number() OVER (ORDER BY test_id) AS BIGINT) AS position, test_id,
+  {PROMPT} || input || {PROMPT_END} AS prompt FROM x_cases""")
+def q_k1_tables(spark, sf):
+    """K1: the before/after report published with its per-test rows and prompts; the prompts read back."""
+    cases, scored = X.x_cases(spark, sf), _scored(spark, sf).drop("empty_expected_list")
+    path = _new_folder(spark, "before-after")
+    publish.publish_before_after(score.evaluate_outputs(scored), scored, cases, path, "base_model", "sft_model")
+    return publish.read_report(spark, path)["test_prompts"]
+
+
+@query("published_per_case", S.with_(*S.SCORED_CTES, WIN_CTE) + "SELECT test_id, sft_acc, dpo_acc, result FROM w1")
+def q_k5_tables(spark, sf):
+    """K5: the preference report published with the row of every case; those read back."""
+    per_case = compare.win_tie_loss(_scored(spark, sf))
+    path = _new_folder(spark, "preference")
+    publish.publish_preference(per_case, compare.output_quality(_outputs(spark, sf)), path)
+    return publish.read_report(spark, path)["per_case"].select("test_id", "sft_acc", "dpo_acc", "result")
+
+
 @query("scan_metrics_report", S.with_(*S.SCORED_CTES) + """SELECT label, test_id, input_preview, valid_json, field_accuracy,
   format_compliance, output_preview FROM scored WHERE label IN ('sft_model', 'dpo_model')""")
 def q_s5(spark, sf):

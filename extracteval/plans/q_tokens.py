@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from extracteval.functions.pytext import py_split, round_half_even
 from extracteval.functions.textstats import response_length, with_text_stats
-from extracteval.operators import curate, encode, prefnum
+from extracteval.operators import curate, encode, prefnum, prompts
 from extracteval.plans import sqlparts as S
 from extracteval.plans.registry import query
+from extracteval.session import shared_dir
 from extracteval.sources import fixtures as X
 from extracteval.sources.tables import table
 
@@ -73,19 +76,24 @@ def q_n1(spark, sf):
        "SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, array_to_string(ids, ',') AS ids FROM ids")
 def q_n2(spark, sf):
     """Token ids of every whole document."""
-    docs = _docs(spark, sf)
-    ids = encode.tokenize_ids(docs, ["doc_id"], "text", encode.build_vocab(docs))
+    docs = encode.spread_rows(_docs(spark, sf), ["doc_id", "text"])
+    ids = encode.tokenize_ids(docs, ["doc_id"], "text", _saved_vocab(spark, docs, copies="_copies"))
     return ids.select("doc_id", F.size("ids").alias("n_tokens"), _join_ids(F.col("ids")).alias("ids"))
 
 
+def _saved_vocab(spark, docs, **options):
+    """The corpus vocabulary, built once in the shared folder."""
+    return encode.save_vocab(encode.build_vocab(docs, **options), shared_dir(spark, f"vocabulary-{uuid.uuid4().hex}"))
+
+
 _P, _M = _pad("ids")
 
 
 @query("truncate_pad_mask", S.with_(VOCAB_CTE, _ids_cte("documents", "doc_id", "text")) + f"SELECT doc_id, {_P} AS ids, {_M} AS mask FROM ids")
 def q_n3(spark, sf):
     """Ids cut / padded to 384 with the attention mask."""
-    docs = _docs(spark, sf)
-    ids = encode.tokenize_ids(docs, ["doc_id"], "text", encode.build_vocab(docs))
+    docs = encode.spread_rows(_docs(spark, sf), ["doc_id", "text"])
+    ids = encode.tokenize_ids(docs, ["doc_id"], "text", _saved_vocab(spark, docs, copies="_copies"), limit=encode.MAX_LEN)
     p, m = encode.truncate_pad("ids")
     return ids.select("doc_id", _join_ids(p).alias("ids"), _join_ids(m).alias("mask"))
 
@@ -102,7 +110,7 @@ FROM ids GROUP BY pair_id"""
 def q_n4(spark, sf):
     """All simple-filtered pairs encoded to four fixed-length arrays."""
     pairs = curate.filter_pairs_simple(X.x_pairs(spark, sf))
-    enc = encode.encode_pairs(pairs, encode.build_vocab(_docs(spark, sf)))
+    enc = encode.encode_pairs(pairs, _saved_vocab(spark, _docs(spark, sf)))
     return enc.select("pair_id", *[_join_ids(F.col(c)).alias(c) for c in ("chosen_ids", "chosen_mask", "rejected_ids", "rejected_mask")])
 
 
@@ -132,6 +140,48 @@ def q_n6(spark, sf):
     return encode.pack_sequences(d, "doc_id", "n", 1024)
 
 
+@query("packed_blocks", S.with_(VOCAB_CTE, _ids_cte("documents", "doc_id", "text"),
+    "stream AS (SELECT doc_id, pos, id, row_number() OVER (ORDER BY doc_id, pos) - 1 AS place FROM (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM ids))") + """
+SELECT CAST(place // 1024 AS BIGINT) AS block_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY place) AS ids, CAST(count(DISTINCT doc_id) AS INTEGER) AS n_pieces,
+  arg_min(doc_id, place) AS first_id, CAST(min(pos) FILTER (WHERE place % 1024 = 0) - 1 AS BIGINT) AS first_start FROM stream GROUP BY 1""")
+def q_n6_ids(spark, sf):
+    """The token ids of every block of 1024, with the place where its first document goes on."""
+    docs = encode.spread_rows(_docs(spark, sf), ["doc_id", "text"])
+    ids = encode.tokenize_ids(docs, ["doc_id"], "text", _saved_vocab(spark, docs, copies="_copies"))
+    b = encode.packed_blocks(ids, "doc_id", "ids", 1024)
+    first = F.col("pieces")[0]
+    return b.select("block_id", _join_ids(F.col("ids")).alias("ids"), F.size("pieces").alias("n_pieces"),
+                    first["id"].alias("first_id"), first["start"].alias("first_start"))
+
+
+_SIDES = ("chosen_ids", "chosen_mask", "rejected_ids", "rejected_mask")
+
+
+@query("stack_batches", f"""WITH enc AS ({N4_SQL}), placed AS (
+  SELECT *, row_number() OVER (ORDER BY md5('42:' || CAST(pair_id AS VARCHAR)), pair_id) AS position FROM enc)
+SELECT CAST((position - 1) // 2 AS BIGINT) AS batch_id, CAST(count(*) AS INTEGER) AS rows, {encode.MAX_LEN} AS columns,
+  string_agg(CAST(pair_id AS VARCHAR), ',' ORDER BY position) AS pair_ids,
+  {", ".join(f"string_agg({c}, ',' ORDER BY position) AS {c}" for c in _SIDES)} FROM placed GROUP BY 1""")
+def q_t3_stack(spark, sf):
+    """Shuffled batches of 2 encoded pairs, each of the four columns stacked to a matrix row by row."""
+    pairs = curate.filter_pairs_simple(X.x_pairs(spark, sf))
+    enc = encode.encode_pairs(pairs, _saved_vocab(spark, _docs(spark, sf)))
+    m = curate.stack_batches(curate.assign_batches(enc, 2), _SIDES)
+    return m.select("batch_id", "rows", "columns", _join_ids(F.col("pair_id")).alias("pair_ids"), *[_join_ids(F.col(c)).alias(c) for c in _SIDES])
+
+
+@query("decode_new_tokens", S.with_(S.X_CASES, S.X_OUTPUTS) + f"SELECT label, test_id, {S.strip("array_to_string(" + S.split("output") + ", chr(32))")} AS text FROM x_outputs")
+def q_p6_ids(spark, sf):
+    """P6 on token ids: each generated sequence encoded, cut after its prompt's length and decoded."""
+    cases = X.x_cases(spark, sf)
+    al = X.x_outputs(spark, sf, cases).select("label", "test_id", "output").join(cases.select("test_id", "input"), "test_id")
+    prompt = prompts.inference_prompt("input")
+    whole = al.select("label", "test_id", F.size(py_split(prompt)).alias("n_prompt"), F.concat(prompt, F.col("output")).alias("text"))
+    vocab = _saved_vocab(spark, whole)
+    ids = encode.tokenize_ids(whole, ["label", "test_id", "n_prompt"], "text", vocab)
+    return encode.decode_new_ids(ids, ["label", "test_id"], "n_prompt", vocab)
+
+
 LOGP = S.with_(S.X_LOGITS,
     "lg AS (SELECT *, lag(logits) OVER (PARTITION BY pair_id, side, model ORDER BY pos) AS prev FROM x_logits)",
     "lm AS (SELECT pair_id, side, model, pos, token_id, mask, prev, list_max(prev) AS m FROM lg WHERE prev IS NOT NULL)",

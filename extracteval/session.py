@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings every operator assumes.  Set on an existing session by ``configure``.
@@ -39,9 +37,14 @@ def get_spark(master: str | None = None, app: str = "extracteval", **conf: str)
 
 
 def shared_dir(spark: SparkSession, sub: str) -> str:
-    """A folder under the cluster's shared checkpoint directory (``spark.checkpoint.dir``), or
-    under the session's warehouse where that is unset."""
+    """A folder that all machines of the cluster reach: ``sub`` under ``spark.checkpoint.dir``.
+
+    Where that is unset, a local session (tests, laptops) uses its warehouse, and a cluster raises: its
+    warehouse may be a folder of the driver's machine alone.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_shared")
-    return os.path.join(base.rstrip("/"), sub)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    return f"{base.rstrip('/')}/{sub}"

@@ -1,8 +1,8 @@
 """Reports (K1-K7) as one-row DataFrames of nested structs, plus their writers.
 
 Every report is built from bounded inputs (per-checkpoint summaries, win counts) so a report row
-is small whatever the data size.  Per-test detail is written as its own partitioned table next to
-the report instead of as one giant list inside it.
+is small whatever the data size.  Per-test, per-case and prompt rows are tables of their own beside
+the report (``publish``) instead of giant lists inside it.
 """
 
 from __future__ import annotations
@@ -17,10 +17,7 @@ from extracteval.functions.pytext import fixed, percent, round_half_even, signed
 from extracteval.operators.compare import IMPROVEMENT_KEYS, METRICS, STAGE_PAIRS, quality_pivot, win_rate
 
 SUMMARY_FIELDS = ("label", "num_tests", *METRICS)
-
-
-def _summary_struct(summary: DataFrame, label: str) -> list[Column]:
-    return [F.max(F.when(F.col("label") == label, F.col(c))).alias(c) for c in SUMMARY_FIELDS]
+STAGES = ("base_model", "sft_model", "dpo_model")
 
 
 def _nest(row: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
@@ -69,7 +66,7 @@ def _deltas(row_prefixes: Sequence[tuple[str, str, str]]) -> list[Column]:
 
 def report_three_stage(summary: DataFrame, training: dict, hardware: dict) -> DataFrame:
     """K2: three summaries, three delta records, the training log and hardware (pass-through)."""
-    labels = {"base_model": "base_model", "sft_model": "sft_model", "dpo_model": "dpo_model"}
+    labels = {stage: stage for stage in STAGES}
     row = summary.agg(*_wide_summaries(summary, labels))
     row = row.select("*", *_deltas(STAGE_PAIRS))
     extra = [F.lit(v).alias(f"training_config__{k}") for k, v in training.items()]
@@ -167,17 +164,6 @@ def markdown_table(summary: DataFrame, before: str = "base_model", after: str =
     return wide.select(F.explode(F.array(*lines)).alias("r")).select("r.*")
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """A one-row report as one JSON document (the row is bounded by construction)."""
-    report.coalesce(1).write.mode("overwrite").json(path)
-
-
-def write_report_with_tests(report: DataFrame, per_test: DataFrame, path: str) -> None:
-    """Report JSON under ``path/report`` and per-test rows as JSON lines partitioned by label."""
-    write_report(report, f"{path.rstrip('/')}/report")
-    per_test.write.mode("overwrite").partitionBy("label").json(f"{path.rstrip('/')}/per_test")
-
-
 def write_lines(lines: DataFrame, path: str) -> None:
     """K7 sink: the table as a text file in line order (a handful of rows)."""
     lines.orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(path)

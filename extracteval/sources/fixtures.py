@@ -113,11 +113,17 @@ def x_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pair_id, side, model, pos, token_id, mask, logits ARRAY<DOUBLE>."""
+    """pair_id, side, model, pos, token_id, mask, label_id, label_mask, logits ARRAY<DOUBLE>.
+
+    Vectors are numbered without gaps, eight to a sequence; a sequence's last row has no label.
+    """
     e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     models = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(s).alias("scale")) for m, s in LOGIT_MODELS])
     vid = F.col("vec_id")
     seq = F.floor(vid / 8)
+    last = table(spark, sf_dir, "embeddings").agg(F.max("vec_id")).scalar()
+    labelled = (vid % 8 < 7) & (vid < last)
+    mask = lambda pos: F.when(pos < F.lit(3) + seq % 6, F.lit(1)).otherwise(F.lit(0))
     y = e.select("vec_id", "embedding", F.explode(models).alias("m"))
     return y.select(
         F.floor(vid / 16).cast("bigint").alias("pair_id"),
@@ -125,7 +131,9 @@ def x_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("m.model").alias("model"),
         (vid % 8).cast("int").alias("pos"),
         ((vid * 7) % 64).cast("int").alias("token_id"),
-        F.when(vid % 8 < F.lit(3) + seq % 6, F.lit(1)).otherwise(F.lit(0)).alias("mask"),
+        mask(vid % 8).alias("mask"),
+        F.when(labelled, (((vid + 1) * 7) % 64).cast("int")).alias("label_id"),
+        F.when(labelled, mask(vid % 8 + 1)).alias("label_mask"),
         F.transform("embedding", lambda x: x.cast("double") * F.col("m.scale")).alias("logits"),
     )
 

@@ -36,8 +36,7 @@ from extracteval.llm.common import prepare, stored
 KINDS = ["email", "ip", "card", "phone"]
 MIN_SEEDS = 3  # distinct seed instances that a pattern must stand before
 CONFIDENT = 0.8
-TOLERANCE = 1e-6  # scores have settled when a round moves no pattern by more
-LEAPS = 60  # rounds in which every second one may leap ahead
+TOLERANCE = 1e-6  # scores have settled when no pattern is further from its fixed point
 BLOOM_BITS = 1 << 23
 LONG = 64  # characters of a word or instance that is kept as it is
 
@@ -236,37 +235,64 @@ def _counted(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pattern", "n"])
 
 
-def _settled_trust(edges: DataFrame, tolerance: float) -> tuple[DataFrame, DataFrame]:
-    """(kind, pattern, trust; kind, instance, score of unknown instances) at the fixed point.
-
-    Every pattern of ``edges`` is linked to known instances, and both scores grow with each other
-    along a concave function, so the fixed point is single and is reached from any start.  Plain
-    rounds may near it slowly; every second early round leaps ahead by the ratio of the last moves.
+def link_groups(unknown: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(kind, group, pattern, n, weight) and (kind, instance, group): instances that stand after the same
+    patterns equally often have equal scores, so they are one group that counts ``weight`` times."""
+    signs = [F.sum(F.xxhash64(*c).cast("decimal(38,0)")) for c in (("pattern", "n"), ("n", "pattern"))]
+    found = unknown.groupBy("kind", "instance").agg(F.md5(F.concat_ws(",", *signs, F.count(F.lit(1)))).alias("group"))
+    members = stored(found, "pii-members")
+    weights = members.groupBy("kind", "group").agg(F.count(F.lit(1)).alias("weight"), F.min("instance").alias("instance"))
+    # one instance speaks for its group
+    links = unknown.join(weights, ["kind", "instance"]).select("kind", "group", "pattern", "n", "weight")
+    return stored(links, "pii-links"), members
+
+
+def settle(links: DataFrame, patterns: DataFrame, tolerance: float) -> tuple[DataFrame, DataFrame, int]:
+    """(kind, pattern, trust; kind, group, score; rounds) at the fixed point.
+
+    ``patterns`` has kind, pattern, base (known mentions) and size (occurrences + 1); ``links`` has kind, group,
+    pattern, n and weight of the unknown instances.  A pattern's trust is (base + sum of n * weight * score)
+    / size, an instance's score 1 - product of (1 - trust) over its patterns.  Both grow with each other along a
+    concave function, so the fixed point is single.  Score is linear in one pattern's own
+    trust, with the chance that its other patterns are all wrong as the slope, so a round solves each pattern's
+    equation for its own trust exactly: what a pattern gains through itself, which may
+    take any number of plain rounds, takes one.  Rounds end when what is left of the geometric
+    series of moves, as the last two show it, is below ``tolerance``.
     """
-    weight = edges.groupBy("kind", "pattern").agg(
-        F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("base"), (F.greatest(F.max("total"), F.sum("n")) + 1).alias("size")
-    )
-    unknown = stored(edges.where(~F.col("known")).select("kind", "pattern", "instance", "n"), "pii-unknown")
-    state = stored(weight.withColumns({"trust": F.col("base") / F.col("size"), "before": F.lit(0.0), "move": F.lit(1.0)}), "pii-trust")
+    state = stored(patterns.select("kind", "pattern", "base", "size", (F.col("base") / F.col("size")).alias("trust"), F.lit(1.0).alias("move")), "pii-trust")
+    known = ["kind", "pattern"]
 
-    def scores(trust: DataFrame) -> DataFrame:
-        wrong = F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9)))
-        return unknown.join(trust.select("kind", "pattern", "trust"), ["kind", "pattern"]).groupBy("kind", "instance").agg((1 - F.exp(F.sum(wrong))).alias("score"))
+    def doubts(trust: DataFrame) -> DataFrame:
+        return links.join(trust.select(*known, F.log(F.greatest(1 - F.col("trust"), F.lit(1e-300))).alias("doubt")), known)
 
-    rounds, plain = 0, F.col("fresh")
+    rounds, last = 0, 1.0
     while True:
-        gained = unknown.join(scores(state), ["kind", "instance"]).groupBy("kind", "pattern").agg(F.sum(F.col("n") * F.col("score")).alias("gained"))
-        fresh = (F.col("base") + F.coalesce("gained", F.lit(0.0))) / F.col("size")
-        after = state.join(gained, ["kind", "pattern"], "left").withColumn("fresh", fresh).withColumn("now", F.col("fresh") - F.col("trust"))
-        ratio = F.col("now") / F.col("before")
-        leap = F.when((F.abs("now") >= tolerance) & (F.col("before") != 0) & (ratio > 0) & (ratio < 0.9999), F.least(plain + F.col("now") * ratio / (1 - ratio), F.lit(1.0))).otherwise(plain)
-        state = stored(
-            after.select("kind", "pattern", "base", "size", (leap if rounds % 2 and rounds < LEAPS else plain).alias("trust"), (F.lit(0.0) if rounds % 2 else F.col("now")).alias("before"), F.abs("now").alias("move")),
-            "pii-trust",
-        )
+        met = doubts(state)
+        every = met.groupBy("kind", "group").agg(F.sum("doubt").alias("all"))
+        # the chance that all other patterns of the group are wrong, and that not all of them are
+        others = met.join(every, ["kind", "group"]).withColumn("rest", F.least(F.col("all") - F.col("doubt"), F.lit(0.0)))
+        n = F.col("n") * F.col("weight")
+        sums = others.groupBy(*known).agg(F.sum(n * F.exp("rest")).alias("slope"), F.sum(n * -F.expm1("rest")).alias("gained"))
+        after = state.join(sums, known, "left")
+        fresh = (F.col("base") + F.coalesce("gained", F.lit(0.0))) / (F.col("size") - F.coalesce("slope", F.lit(0.0)))
+        state = stored(after.select(*known, "base", "size", fresh.alias("trust"), F.abs(fresh - F.col("trust")).alias("move")), "pii-trust")
         rounds += 1
-        if (state.agg(F.max("move")).first()[0] or 0.0) < tolerance:
-            return state.select("kind", "pattern", "trust"), stored(scores(state), "pii-scores")
+        move = state.agg(F.max("move")).first()[0] or 0.0
+        ratio = min(move / last, 0.999) if last else 0.0
+        last = move
+        if move * max(1.0, ratio / (1 - ratio)) < tolerance:
+            scores = doubts(state).groupBy("kind", "group").agg((-F.expm1(F.sum("doubt"))).alias("score"))
+            return state.select(*known, "trust"), scores, rounds
+
+
+def _settled_trust(edges: DataFrame, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """(kind, pattern, trust; kind, instance, score of unknown instances) at the fixed point."""
+    patterns = edges.groupBy("kind", "pattern").agg(
+        F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("base"), (F.greatest(F.max("total"), F.sum("n")) + 1).alias("size")
+    )
+    links, members = link_groups(edges.where(~F.col("known")).select("kind", "pattern", "instance", "n"))
+    trust, scores, _ = settle(links, patterns, tolerance)
+    return trust, stored(members.join(scores, ["kind", "group"]).select("kind", "instance", "score"), "pii-scores")
 
 
 def confident_mentions(rows: DataFrame, docs: DataFrame, min_seeds: int = MIN_SEEDS, confident: float = CONFIDENT, tolerance: float = TOLERANCE) -> DataFrame:

@@ -42,7 +42,7 @@ CONTAINED = 50  # per cent of a phrase's occurrences inside a longer one
 SHARDS = 4
 CHUNK_BYTES = 8 << 20
 RANGE_BYTES = 8 << 20
-STEP = 1 << 20
+STEP = 1 << 16  # bytes worked on at a time; their arrays stay in a core's cache
 SALTS = 64
 
 # Bytes that separate words, and bytes that end a piece.

@@ -5,11 +5,13 @@ document or another.  A window is such a string.  Three steps, every one over al
 
 1. Candidates.  A window's anchor is its part of ``length // 4`` bytes with the least hash, so equal windows
    have equal anchors.  Chunks of documents send the fingerprints of all anchors packed by range, and get back
-   which occur more than once (see ``prints``).  Windows with an anchor that occurs once are unique.
+   those that occur more than once (see ``prints``).  Windows with an anchor that occurs once are unique.
 2. Shards.  Neighbouring candidate windows with one anchor form a segment.  Equal segments are
    counted and go on as one; the shard of a segment depends on its anchor, so equal windows meet.  A
    shard's suffix array is induced over its segments, and a window is repeated if it shares ``length`` bytes with
    a neighbour in suffix order, which the permuted common prefixes tell, or if its segment occurs twice.
+   Only an anchor whose segments are all one text stays out of the shards: its windows can equal
+   each other alone, and all are repeated.
 3. Removal.  Repeated windows go back to the chunks of all segments like theirs, which cut them.
 
 An anchor that many different segments share (a line that a third of all documents hold) is made
@@ -35,13 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from extracteval.llm.common import prepare, stored, text_or_empty
-from extracteval.llm.prints import LEFT_OUT, Polynomial, counted, flagged, pack48, range_bounds, starts, unpack48
+from extracteval.llm.prints import LEFT_OUT, Polynomial, counted, pack48, range_bounds, starts, unpack48
 from extracteval.llm.suffixes import permuted_prefixes, suffix_array
 
 LENGTH = 200
 CHUNK_BYTES = 8 << 20
 RANGE_PRINTS = 1 << 20
-STEP = 1 << 20
+STEP = 1 << 16  # windows worked on at a time; their arrays stay in a core's cache
 RUN = 512  # windows of a segment; longer runs (of one repeated letter, say) are cut
 SHARD_BYTES = 2 << 20
 HOT_BYTES = 1 << 18  # of the segments with one anchor; an eighth of a shard
@@ -183,9 +185,8 @@ def _opened(size: int, sizes: list[int], body: bytes) -> tuple[bytes, np.ndarray
     return pa.decompress(body, size, codec="zstd", asbytes=True), np.cumsum(sizes, dtype=np.int64)
 
 
-def repeated_bits(chunks: DataFrame, length: int, ranges: int) -> DataFrame:
-    """(chunk, range, once): one bit for each anchor that stands in one place of its chunk, set if it
-    stands in another chunk as well."""
+def repeated_prints(chunks: DataFrame, length: int, ranges: int) -> DataFrame:
+    """(chunk, prints): for each range, the packed fingerprints of a chunk's anchors that stand in several places."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = range_bounds(ranges)
@@ -205,30 +206,30 @@ def repeated_bits(chunks: DataFrame, length: int, ranges: int) -> DataFrame:
     def answer(table: pa.Table) -> pa.Table:
         once, more = ([unpack48(x) for x in table.column(c).to_pylist()] for c in ("once", "more"))
         # those of several places in a chunk count twice
-        prints, sizes = np.concatenate(once + more + more), [len(x) for x in once]
+        prints = np.concatenate(once + more + more)
         order = np.argsort(prints, kind="stable")
         first = starts(prints[order])
         n = np.diff(np.append(first, len(prints)))
         repeated = np.empty(len(prints), bool)
         repeated[order] = np.repeat(n > 1, n)
-        bits = [np.packbits(x).tobytes() for x in np.split(repeated[: sum(sizes)], np.cumsum(sizes)[:-1])]
-        return pa.table({"chunk": table.column("chunk"), "range": table.column("range"), "once": pa.array(bits, pa.binary())})
+        kept = np.split(repeated, np.cumsum([len(x) for x in once]))
+        blobs = [pack48(x[k]) + pack48(m) for x, k, m in zip(once, kept[:-1], more, strict=True)]
+        return pa.table({"chunk": table.column("chunk"), "prints": pa.array(blobs, pa.binary())})
 
     sent = chunks.select("chunk", "bytes", "sizes", "body").mapInArrow(send, "chunk bigint, range bigint, once binary, more binary")
-    return sent.groupBy("range").applyInArrow(answer, "chunk bigint, range bigint, once binary")
+    return sent.groupBy("range").applyInArrow(answer, "chunk bigint, prints binary")
 
 
-def candidate_segments(chunks: DataFrame, bits: DataFrame, length: int, ranges: int) -> DataFrame:
-    """(key, digest, chunk, start, text): all candidate segments; equal ones of a chunk hold the text once; stored."""
+def candidate_segments(chunks: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
+    """(key, digest, chunk, start, windows, text): all candidate segments, stored; of equal ones of a chunk one holds
+    the text."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         (chunk,) = left.column("chunk").to_pylist()
         (row,) = list(zip(*(left.column(c).to_pylist() for c in ("bytes", "sizes", "body")), strict=True))
         body, ends = _opened(*row)
-        once, more = anchor_prints(body, ends, length)
-        answers = list(zip(right.column("range").to_pylist(), right.column("once").to_pylist(), strict=True))
-        repeated = np.sort(np.concatenate([more, flagged(once, np.searchsorted(once, range_bounds(ranges)), answers)]))
-        keys_out, digests, begins, texts, known = [], [], [], [], set()
+        repeated = np.sort(unpack48(b"".join(right.column("prints").to_pylist())))
+        keys_out, digests, begins, sizes, texts, known = [], [], [], [], [], set()
         for at, raw, keys, inside in _steps(body, ends, length):
             prints = keys >> LEFT_OUT
             if not len(repeated):
@@ -243,14 +244,16 @@ def candidate_segments(chunks: DataFrame, bits: DataFrame, length: int, ranges:
                 known.add(digests[-1])
                 begins.append(b)
             keys_out.append(keys[begin])
+            sizes.append(n)
         keys = np.concatenate(keys_out).view(np.int64) if keys_out else np.zeros(0, np.int64)
         return pa.table({
             "key": pa.array(keys), "digest": pa.array(digests, pa.binary()), "chunk": pa.array([chunk] * len(begins), pa.int64()),
-            "start": pa.array(begins, pa.int64()), "text": pa.array(texts, pa.binary()),
+            "start": pa.array(begins, pa.int64()), "windows": pa.array(np.concatenate([*sizes, np.zeros(0, np.int64)]), pa.int64()),
+            "text": pa.array(texts, pa.binary()),
         })
 
     columns = chunks.select("chunk", "bytes", "sizes", "body")
-    found = columns.groupBy("chunk").cogroup(bits.groupBy("chunk")).applyInArrow(run, "key bigint, digest binary, chunk bigint, start bigint, text binary")
+    found = columns.groupBy("chunk").cogroup(repeated.groupBy("chunk")).applyInArrow(run, "key bigint, digest binary, chunk bigint, start bigint, windows bigint, text binary")
     return stored(found, "suffix-segments")
 
 
@@ -292,7 +295,7 @@ def _shard_runs(distinct: DataFrame, length: int, shards: int) -> DataFrame:
 
 
 def _split(hot: DataFrame, length: int, level: int) -> DataFrame:
-    """(digest, n, first, key, part, text): segments of ``hot`` cut by their longer anchors; stored."""
+    """(whole, offset, key, digest, n, windows, text): segments of ``hot`` cut by their longer anchors; stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -303,31 +306,40 @@ def _split(hot: DataFrame, length: int, level: int) -> DataFrame:
                 begin, size = segments(raw, keys, np.ones(len(keys), bool))
                 for k, x, m in zip(keys[begin].view(np.int64).tolist(), begin.tolist(), size.tolist(), strict=True):
                     part = text[x : x + m + length - 1]
-                    rows.append((digest, n, x, k, _digest(part), part))
-            columns = zip(*rows, strict=True) if rows else [()] * 6
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["digest", "n", "first", "key", "part", "text"])
+                    rows.append((digest, x, k, _digest(part), n, m, part))
+            columns = zip(*rows, strict=True) if rows else [()] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-    schema = "digest binary, n bigint, first bigint, key bigint, part binary, text binary"
+    names = ["whole", "offset", "key", "digest", "n", "windows", "text"]
+    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+    schema = ", ".join(f"{n} {'binary' if pa.types.is_binary(k) else 'bigint'}" for n, k in zip(names, kinds, strict=True))
     return stored(hot.select("digest", "text", "n").mapInArrow(run, schema), "suffix-split")
 
 
-def repeated_runs(distinct: DataFrame, length: int, level: int = 0, hot_bytes: int = HOT_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(digest, first, windows) for stored ``distinct`` (key, digest, text, n); hot anchors are made longer."""
-    size = F.length("text").cast("bigint")
-    hot_keys = distinct.groupBy("key").agg(F.sum(size).alias("bytes")).where(F.col("bytes") > hot_bytes).select("key")
-    split = None
-    if level < levels(length) and not hot_keys.isEmpty():
-        hot_keys = stored(hot_keys, "suffix-hot")
-        split = _split(distinct.join(hot_keys, "key", "left_semi"), length, level + 1)
-        distinct = distinct.join(hot_keys, "key", "left_anti")
-    shards = max(1, -(-(distinct.agg(F.sum(size)).first()[0] or 0) // shard_bytes))
-    runs = _shard_runs(distinct, length, shards)
-    if split is None:
+def repeated_runs(rows: DataFrame, length: int, level: int = 0, hot_bytes: int = HOT_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(digest, first, windows): the repeated windows of the segments in stored ``rows``.
+
+    ``rows`` has key, digest, windows, n (occurrences) and text, which one of equal segments holds.
+    """
+    texts = rows.groupBy("key", "digest").agg(F.sum("n").alias("n"), F.max("windows").alias("windows"))
+    size = F.col("windows") + (length - 1)
+    keys = texts.groupBy("key").agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("texts"), F.min("n").alias("least"))
+    # 0: all segments are one text; 2: too many for a shard
+    hot = F.col("bytes") > hot_bytes if level < levels(length) else F.lit(False)
+    kind = F.when((F.col("texts") == 1) & (F.col("least") > 1), 0).when(hot, 2).otherwise(1)
+    kinds = stored(keys.select("key", "bytes", kind.alias("kind")), "suffix-keys")
+    shares = {r.kind: r.bytes for r in kinds.groupBy("kind").agg(F.sum("bytes").alias("bytes")).collect()}
+    runs = texts.join(kinds.where("kind = 0").select("key"), "key").select("digest", F.lit(0).cast("bigint").alias("first"), "windows")
+    # only segments that others may overlap carry their text on
+    mixed = rows.join(kinds.where("kind > 0").select("key", "kind"), "key")
+    distinct = stored(mixed.groupBy("key", "kind", "digest").agg(F.any_value("text", True).alias("text"), F.sum("n").alias("n")), "suffix-distinct")
+    shards = max(1, -(-shares.get(1, 0) // shard_bytes))
+    runs = runs.unionByName(_shard_runs(distinct.where("kind = 1"), length, shards))
+    if 2 not in shares:
         return runs
-    parts = split.groupBy("key", F.col("part").alias("digest")).agg(F.any_value("text").alias("text"), F.sum("n").alias("n"))
-    deeper = repeated_runs(stored(parts, "suffix-parts"), length, level + 1, hot_bytes, shard_bytes)
-    places = split.select(F.col("digest").alias("whole"), F.col("part").alias("digest"), F.col("first").alias("offset"))
+    split = _split(distinct.where("kind = 2"), length, level + 1)
+    deeper = repeated_runs(split, length, level + 1, hot_bytes, shard_bytes)
+    places = split.select("whole", "digest", "offset")
     back = deeper.join(places, "digest").select(F.col("whole").alias("digest"), (F.col("offset") + F.col("first")).alias("first"), "windows")
     return runs.unionByName(back)
 
@@ -339,9 +351,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_bytes: int = HOT_B
     # about two anchors for each three quarters of a window
     size = chunks.agg(F.sum("bytes")).first()[0] or 0
     ranges = max(1, 2 * size // (length - length // 4) // RANGE_PRINTS)
-    found = candidate_segments(chunks, repeated_bits(chunks, length, ranges), length, ranges)
-    distinct = found.groupBy("key", "digest").agg(F.any_value("text", True).alias("text"), F.count(F.lit(1)).alias("n"))
-    runs = stored(repeated_runs(stored(distinct, "suffix-distinct"), length, 0, hot_bytes, shard_bytes), "suffix-runs")
+    found = candidate_segments(chunks, repeated_prints(chunks, length, ranges), length)
+    runs = stored(repeated_runs(found.withColumn("n", F.lit(1).cast("bigint")), length, 0, hot_bytes, shard_bytes), "suffix-runs")
     places = found.select("digest", "chunk", "start").join(runs, "digest").select("chunk", (F.col("start") + F.col("first")).alias("first"), "windows")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -21,13 +21,12 @@ PER_BUCKET = 512  # items a bucket from which array operations pay
 def _smaller(s: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next; the last (the sentinel) is."""
     n = len(s)
-    differs = np.flatnonzero(s[:-1] != s[1:])
     out = np.ones(n, dtype=bool)
-    if len(differs):
-        at = np.searchsorted(differs, np.arange(n - 1))
-        inside = at < len(differs)
-        first = differs[np.minimum(at, len(differs) - 1)]
-        out[:-1] = np.where(inside, s[first] < s[np.minimum(first + 1, n - 1)], False)
+    if n > 1:
+        # the next place where the symbol changes; the sentinel makes the last change
+        change = np.where(s[:-1] != s[1:], np.arange(n - 1), n)
+        first = np.minimum.accumulate(change[::-1])[::-1]
+        out[:-1] = s[first] < s[first + 1]
     return out
 
 
@@ -136,11 +135,11 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     is_lms = np.zeros(n, dtype=bool)
     is_lms[lms] = True
-    rough = _induce(s, smaller, counts, lms[np.argsort(s[lms], kind="stable")])
-    ranked = rough[is_lms[rough]]
     size = np.zeros(n, dtype=np.int64)
     size[lms[:-1]] = np.diff(lms) + 1
     size[lms[-1]] = 1
+    rough = _induce(s, smaller, counts, lms[np.argsort(s[lms], kind="stable")])
+    ranked = rough[is_lms[rough]]
     named = _names(s, ranked, size)
     if named[-1] + 1 == len(ranked):
         seeds = ranked

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from extracteval.llm import chat, phrases, quality
+from extracteval.llm import chat, phrases, quality, spelling, suffix_dedup
 from extracteval.llm.block_search import nearest
 from extracteval.llm.common import read
 from extracteval.llm.decontamination import find_leaks
@@ -14,8 +14,6 @@ from extracteval.llm.packing import pack_documents
 from extracteval.llm.pii import personal_data
 from extracteval.llm.sharding import shard_documents
 from extracteval.llm.simhash import simhash_components
-from extracteval.llm.spelling import spelling_variants
-from extracteval.llm.suffix_dedup import remove_repeats, repeat_digests
 from extracteval.llm.token_files import token_files_query
 from extracteval.llm.tokens import public_path
 from extracteval.llm.toxicity import score_documents
@@ -70,11 +68,11 @@ def op11_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeat_digests(remove_repeats(read(spark, sf_dir, "documents")))
+    return suffix_dedup.repeat_digests(suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")))
 
 
 def op13_trie_frontier_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spelling_variants(read(spark, sf_dir, "documents"))
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -86,4 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op12_suffix_array_dedup, op13_trie_frontier_spelling,
     )
 }
-ORACLE: dict[str, str] = {"op5_event_sourced_chat": chat.ORACLE_SQL, "op11_son_phrases": phrases.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op5_event_sourced_chat": chat.ORACLE_SQL, "op11_son_phrases": phrases.ORACLE_SQL,
+    "op12_suffix_array_dedup": suffix_dedup.ORACLE_SQL, "op13_trie_frontier_spelling": spelling.ORACLE_SQL,
+}

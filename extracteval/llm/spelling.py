@@ -93,7 +93,8 @@ def first_states(paths: DataFrame) -> DataFrame:
     size = F.length("walk")
     half = F.floor(size / 2).cast("int")
     bound = F.when(F.col("side") == 0, half).otherwise(size - half)
-    at = F.array_max(F.filter("inner", lambda d: d <= bound))
+    # at least two letters are left to walk, so a word without its last letter is met on the way
+    at = F.array_max(F.filter("inner", lambda d: (d <= bound) & (d <= F.greatest(size - 2, F.lit(0)))))
     placed = paths.select("side", "walk", at.alias("pos"))
     return placed.select("side", "walk", "pos", _node(F.col("pos")).alias("node"), F.lit(0).alias("edits"))
 
@@ -170,3 +171,39 @@ def spelling_variants(
     )
     roots = follow_forms(rows.where("form IS NOT NULL"))
     return rows.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+
+
+# The same from each word's texts with one letter left out; crc32 byte by byte with its table made from the rule.
+ORACLE_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT list(list_reduce([n, 0, 1, 2, 3, 4, 5, 6, 7], lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS steps
+  FROM (SELECT unnest(range(0, 256)) AS n)
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), counted AS (SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS h FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, length(run) AS size, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(0, strlen(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t.steps[(xor(c, b) % 256) + 1]))) AS hash
+  FROM counted, t
+), words AS (
+  SELECT CASE WHEN hash % 199 = 0 THEN substr(run, 1, hash % size) || substr(run, hash % size + 2) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING sum(n) >= 5 AND length(word) >= 6
+), gaps AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON w.word = g.rest
+  UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON w.word = g.rest
+), best AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best ON best.word = w.word
+), path AS (
+  SELECT word, word AS root FROM forms
+  UNION SELECT path.word, forms.form FROM path JOIN forms ON forms.word = path.root WHERE forms.form IS NOT NULL
+)
+SELECT forms.word, forms.form, path.root, forms.n, CAST(forms.n_near AS BIGINT) AS n_near, CAST(forms.form_n AS BIGINT) AS form_n
+FROM forms JOIN path ON path.word = forms.word JOIN forms last ON last.word = path.root AND last.form IS NULL
+"""

@@ -386,3 +386,26 @@ def repeat_digests(removed: DataFrame) -> DataFrame:
     return removed.select(
         "doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+# The same from a digest of every 200-byte string (two hex digits a byte).
+ORACLE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT r, h, unnest(range(0, strlen(h) // 2, 100)) AS a FROM d),
+q AS (SELECT r, a, substr(h, 2 * a + 1, 600) AS part FROM p),
+w AS (
+  SELECT r, a + j AS i, substr(part, 2 * j + 1, 2) AS byte, CASE WHEN strlen(part) >= 2 * j + 400 THEN md5(substr(part, 2 * j + 1, 400)) END AS k
+  FROM (SELECT r, a, part, unnest(range(0, least(100, strlen(part) // 2))) AS j FROM q)
+), n AS (SELECT k FROM w WHERE k IS NOT NULL GROUP BY k HAVING count(*) > 1),
+c AS (
+  SELECT r, i, byte, max(CAST(n.k IS NOT NULL AS INTEGER)) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS gone
+  FROM w LEFT JOIN n ON n.k = w.k
+), s AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY r ORDER BY i) AS before FROM c),
+g AS (
+  SELECT r, sum(gone) AS n_removed, count_if(gone = 1 AND before = 0) AS n_spans, string_agg(byte, '' ORDER BY i) FILTER (WHERE gone = 0) AS kept
+  FROM s GROUP BY r
+)
+SELECT doc_id, CAST(strlen(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN g ON g.r = d.r
+"""

@@ -160,7 +160,7 @@ def permuted_prefixes(s: np.ndarray, sa: np.ndarray, ends: np.ndarray) -> tuple[
     before[sa[1:]] = sa[:-1]
     at = np.arange(n)
     left = np.where((at > 0) & (before > 0), s[at - 1], 0)
-    fresh = (before <= 0) | (at == 0) | (left != s[before - 1]) | (left <= ends)
+    fresh = (before <= 0) | (at == 0) | (left != s[np.maximum(before - 1, 0)]) | (left <= ends)
     fresh &= before >= 0
     begin = np.flatnonzero(fresh)
     other = before[begin]

@@ -26,7 +26,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from extracteval.llm.common import prepare, shared_folder
@@ -37,6 +37,8 @@ CONTROL = ["<|", "|>", "</s>", "<s>", "[INST]", "[/INST]"]
 _ESCAPE = re.compile("|".join([r"\\", *map(re.escape, CONTROL)]))
 _UNESCAPE = re.compile(r"\\(.)", re.S)
 END = "<|end|>\n"
+LAST = (1 << 62) + (1 << 61)  # sequence numbers from here on come after all turns
+_EVENTS = "array<struct<seq:bigint,kind:string,text:string>>"
 EVENT = "conv_id bigint, msg bigint, copy bigint, seq bigint, kind string, role string, text string"
 MESSAGE = "conv_id bigint, ord bigint, formatted string, loss_start bigint, loss_end bigint"
 
@@ -131,10 +133,17 @@ def format_events(events: DataFrame) -> DataFrame:
 
 
 def conversation_events(conversations: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
-    """The log that would have streamed these rows: an ``open`` event and the text's deltas.
+    """A log that streams these rows the way a chat service records them, detours included.
+
+    By a hash of its row a message is streamed plainly, drafted and then edited, or (assistant messages)
+    answered with a draft, regenerated and streamed anew; every fourth row is preceded by a message that
+    is deleted again.  A regeneration rewinds the conversation, so later messages also have an attempt
+    that was recorded before it.  Sequence numbers rise with turns: a turn's final events come after any
+    rewind of an earlier one, and attempts come before all.  Folding the log gives the rows back.
 
     Equal rows are counted first, so however often a row is repeated it crosses the network once;
-    rows that share a turn but differ are told apart by a hash of role and text.
+    rows that share a turn but differ are told apart by a hash of role and text.  Turns past 2**39
+    either way, and null ones, are streamed without detours.
     """
     rows = conversations.select(
         F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("msg"),
@@ -142,15 +151,41 @@ def conversation_events(conversations: DataFrame, delta_chars: int = DELTA_CHARS
     )
     rows = rows.groupBy("conv_id", "msg", "role", "text").agg(F.count(F.lit(1)).alias("n"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("nth"))
-    copy = F.when((F.col("n") == 1), F.xxhash64("role", "text")).otherwise(F.xxhash64("role", "text") - F.pmod(F.xxhash64("role", "text"), F.lit(1 << 32)) + F.col("nth"))
-    deltas = F.transform(
-        F.regexp_extract_all("text", F.lit(rf"((?s).{{1,{delta_chars}}})"), F.lit(1)),
-        lambda t, i: F.struct((i + 1).cast("bigint").alias("seq"), F.lit("delta").alias("kind"), t.alias("text")),
-    )
-    opening = F.array(F.struct(F.lit(0).cast("bigint").alias("seq"), F.lit("open").alias("kind"), F.lit("").alias("text")))
-    return rows.select("conv_id", "msg", copy.alias("copy"), "role", F.explode(F.concat(opening, deltas)).alias("e")).select(
-        "conv_id", "msg", "copy", "e.seq", "e.kind", "role", "e.text"
+    own = F.xxhash64("role", "text")
+    # copies are even, so a message beside one's own has a number of its own
+    copy = F.when((F.col("n") == 1), own - F.pmod(own, F.lit(2))).otherwise(own - F.pmod(own, F.lit(1 << 32)) + 2 * F.col("nth"))
+    near = F.coalesce(F.col("msg").between(-(1 << 39), (1 << 39) - 1), F.lit(False))
+    way = F.when(near, F.pmod(F.xxhash64("conv_id", "msg", "text"), F.lit(4)).cast("int")).otherwise(F.lit(0))
+    # final events of a turn begin at its own number; null and far turns come after all rewinds
+    first = F.when(near, (F.col("msg") + (1 << 39)) * (1 << 22)).otherwise(F.lit(LAST))
+    rows = rows.select("conv_id", "msg", copy.alias("copy"), "role", "text", way.alias("way"), (first + 8).alias("first"))
+
+    def event(seq, kind: str, text) -> Column:
+        return F.struct(F.lit(seq).cast("bigint").alias("seq") if isinstance(seq, int) else seq.cast("bigint").alias("seq"), F.lit(kind).alias("kind"), text.alias("text"))
+
+    at, none = F.col("first"), F.lit("")
+    draft = F.concat(F.lit("draft: "), F.reverse(F.left("text", F.lit(40))))
+    parts = F.regexp_extract_all("text", F.lit(rf"((?s).{{1,{delta_chars}}})"), F.lit(1))
+    rest = lambda kept: F.transform(kept, lambda t, i: F.struct((i + 3).cast("bigint").alias("after"), t.alias("text")))
+    deltas = lambda kept: F.transform(rest(kept), lambda p: F.struct(p["after"].alias("seq"), F.lit("delta").alias("kind"), p["text"].alias("text")))
+    plain = F.concat(F.array(event(0, "open", none)), deltas(parts))
+    edited = F.concat(
+        F.array(event(0, "open", draft), event(1, "delta", draft), event(2, "edit", F.coalesce(F.get(parts, F.lit(0)), none))),
+        deltas(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))),
     )
+    again = F.concat(F.array(event(0, "open", none), event(1, "delta", draft), event(2, "regenerate", none)), deltas(parts))
+    final = F.when(F.col("way") == 1, edited).when((F.col("way") == 2) & (F.col("role") == "assistant"), again).otherwise(plain)
+    before = F.when(F.col("way") > 0, F.array(event(0, "open", none), event(1, "delta", draft))).otherwise(F.array().cast(_EVENTS))
+    told = rows.select("conv_id", "msg", "copy", "role", "way", "first", "text", before.alias("before"), final.alias("final"))
+    shown = F.concat("before", F.transform("final", lambda e: F.struct((e["seq"] + F.col("first")).alias("seq"), e["kind"].alias("kind"), e["text"].alias("text"))))
+    kept = told.select("conv_id", "msg", "copy", "role", F.explode(shown).alias("e"))
+    # a message of its own beside the row's, deleted before the conversation goes on
+    gone = F.array(event(at, "open", draft), event(at + 1, "delta", draft), event(at + 2, "delete", none))
+    ghosts = F.array(F.lit("user"), F.lit("assistant"))
+    ghost = F.element_at(ghosts, (F.pmod(F.xxhash64("copy"), F.lit(2)) + 1).cast("int"))
+    deleted = told.where("way = 3").select("conv_id", "msg", (F.col("copy") + F.lit(1)).alias("copy"), ghost.alias("role"), F.explode(gone).alias("e"))
+    both = kept.unionByName(deleted)
+    return both.select("conv_id", "msg", "copy", "e.seq", "e.kind", "role", "e.text")
 
 
 def digest_conversations(formatted: DataFrame) -> DataFrame:

@@ -6,17 +6,20 @@ least m + 1 - q (e + 1) q-grams with it, on diagonals that span at most e.  Shar
 counted in overlapping diagonal bands of 2 (e + 1), one starting every e + 1, so one band holds
 them all.  Bands that reach the bound are verified by banded alignment of the whole item.
 
-The index of the items is sent to every task in chunks of at most ``CHUNK_BYTES`` of item text, so
-its size is bounded; a larger benchmark takes more passes over the documents and misses nothing.
-
-Defined results: null and empty texts hold no item; items too short for the bound to be positive
-(under 25 bytes or so) are matched exactly at word boundaries; null and blank items are skipped;
-of items with equal normalised text each is reported; repeated rows each report; other columns are
-not read.
+The index of the items is sent to every task in chunks of about ``CHUNK_BYTES`` of item text.  Each chunk
+is a job of its own whose result is written and whose broadcast is destroyed before the next, so the
+memory of a worker and of the driver does not grow with the benchmark; a larger one takes more passes
+over the documents and misses nothing.
+
+Defined results: null and empty texts hold no item; texts of any length are searched whole; items too short
+for the bound to be positive (under 25 bytes or so) are matched exactly at word boundaries; null and blank
+items are skipped; of items with equal normalised text each is reported; of an item's occurrences in a
+text the first with the least edits is reported; repeated rows each report; other columns are not read.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from extracteval.llm.common import prepare
+from extracteval.llm.common import prepare, shared_folder, stored
 
 Q = 8
 RATE = 0.08
@@ -80,7 +83,11 @@ class ItemIndex:
         size = np.array([len(t) for t in self.texts], dtype=np.int64)
         self.budget = np.floor(RATE * size).astype(np.int64)
         self.need = size + 1 - Q * (self.budget + 1)
-        self.short = [k for k in range(len(items)) if self.need[k] < 1]
+        # short items by their first word
+        self.short: dict[bytes, list[tuple[int, bytes]]] = {}
+        for k in range(len(items)):
+            if self.need[k] < 1 and self.texts[k]:
+                self.short.setdefault(self.texts[k].split(b" ", 1)[0], []).append((k, self.texts[k]))
         long = [k for k in range(len(items)) if self.need[k] >= 1]
         grams = [qgrams(self.texts[k]) for k in long]
         code = np.concatenate([*grams, np.zeros(0, "<u8")]).astype(np.uint64)
@@ -100,11 +107,14 @@ class ItemIndex:
     def find(self, data: bytes) -> list[tuple[int, int, int, int]]:
         """(item, edits, start, end) of every item that occurs; start and end in normalised bytes."""
         found = {}
-        padded = b" " + data + b" "
-        for k in self.short:
-            at = padded.find(b" " + self.texts[k] + b" ")
-            if at >= 0:
-                found[k] = (0, at, at + len(self.texts[k]))
+        if self.short:
+            at = 0
+            for word in data.split(b" "):
+                for k, text in self.short.get(word, ()):
+                    end = at + len(text)
+                    if k not in found and data.startswith(text, at) and data[end : end + 1] in (b"", b" "):
+                        found[k] = (0, at, end)
+                at += len(word) + 1
         grams = qgrams(data)
         at = np.flatnonzero(self.seen[self.slot(grams)]) if len(grams) >= self.least else np.zeros(0, np.int64)
         if len(at) >= self.least:
@@ -150,31 +160,61 @@ def item_chunks(benchmark: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Iterato
         yield sorted({(r.item_id, t) for r in rows if (t := normalise(r.text))}, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, edits, start, end (of the normalised text, in bytes): a row for each leak."""
+def _found(share, names: list[str]):
+    """Rows of the first input column beside each item that the text in the second holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = ItemIndex(share.value)
+        for b in batches:
+            rows = [
+                (doc, index.ids[k], edits, start, end)
+                for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+                for k, edits, start, end in index.find(normalise(text))
+            ]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    return run
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, key: str, chunk_bytes: int) -> DataFrame:
+    """``key``, item_id, edits, start, end for every text and item of ``docs`` (key, text), from one stored table."""
     spark = prepare(docs.sparkSession)
-    result = spark.createDataFrame([], LEAK)
-    for items in item_chunks(benchmark):
+    fields, path = LEAK.replace("doc_id", key), shared_folder(spark, "leaks")
+    names, some = [f.split()[0] for f in fields.split(", ")], False
+    for k, items in enumerate(item_chunks(benchmark, chunk_bytes)):
         share = spark.sparkContext.broadcast(items)
+        docs.mapInArrow(_found(share, names), fields).write.parquet(f"{path}/chunk={k}")
+        share.destroy()
+        some = True
+    if not some:
+        return spark.createDataFrame([], fields)
+    return spark.read.schema(fields + ", chunk int").parquet(path).drop("chunk")
 
-        def run(batches: Iterator[pa.RecordBatch], share=share) -> Iterator[pa.RecordBatch]:
-            index = ItemIndex(share.value)
-            for b in batches:
-                rows = [
-                    (doc, index.ids[k], edits, start, end)
-                    for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
-                    for k, edits, start, end in index.find(normalise(text))
-                ]
-                columns = list(zip(*rows, strict=True)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=LEAK.replace(" bigint", "").split(", "))
 
-        result = result.unionByName(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, LEAK))
-    return result
+def find_leaks(docs: DataFrame, benchmark: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """doc_id, item_id, edits, start, end (of the normalised text, in bytes): a row for each document and item it holds."""
+    return _leaks(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), benchmark, "doc_id", chunk_bytes)
 
 
 LEAK = "doc_id bigint, item_id bigint, edits bigint, start bigint, end bigint"
 
 
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """``docs`` without the documents that hold a benchmark item.
+
+    A benchmark of one chunk is a filter where the rows are.  For a larger one the rows are numbered and
+    written once, leaks name them by number, and an anti-join takes them out.
+    """
+    spark = prepare(docs.sparkSession)
+    chunks = list(itertools.islice(item_chunks(benchmark, chunk_bytes), 2))
+    if len(chunks) < 2:
+        return docs.where(~_holds_item(spark.sparkContext.broadcast(chunks[0]))("text")) if chunks else docs
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*docs.columns).alias("row")), "leak-rows")
+    leaks = _leaks(rows.select("uid", F.col("row.text").alias("text")), benchmark, "uid", chunk_bytes)
+    return rows.join(leaks.select("uid").distinct(), "uid", "left_anti").select("row.*")
+
+
 def _holds_item(share):
     @F.pandas_udf("boolean")
     def leaks(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -183,11 +223,3 @@ def _holds_item(share):
             yield pd.Series([bool(index.find(normalise(t))) for t in texts], dtype=bool)
 
     return leaks
-
-
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; map only, whatever the chunks."""
-    spark = prepare(docs.sparkSession)
-    for items in item_chunks(benchmark):
-        docs = docs.where(~_holds_item(spark.sparkContext.broadcast(items))("text"))
-    return docs

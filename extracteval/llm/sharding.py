@@ -6,8 +6,9 @@ cell a shard for a text, however often it is repeated.  Every round joins cells
 other cells: a text prefers the shard that already holds most of its rows and still has room, and
 its smaller cells ask to move there.  Requests are granted in order of their size while the
 shard's quota lasts (sizes are cut into powers of two and spread by hash, so the running total is
-taken over a small table); a class that no longer fits whole fills what is left.  Rounds end when
-nothing moves.  Documents without links then fill each shard to its capacity, which makes the
+taken over a small table); a class that no longer fits whole fills what is left.  Every move goes from
+a cell to a larger one of its text, so the sum of the cells' squares grows with each round and
+rounds end, when nothing moves.  Documents without links then fill each shard to its capacity, which makes the
 counts differ by one at most.
 
 Rows are numbered inside hash buckets and each bucket gets the count of the buckets before it, so
@@ -20,6 +21,8 @@ gives no row; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,16 +30,14 @@ from extracteval.llm.common import stored, text_or_empty
 
 SHARDS = 24
 BUCKETS = 4096
-ROUNDS = 20
 CLASSES = 64  # hash classes that split requests of like size
 
 
-def _bucket(*cols: str) -> Column:
-    return F.pmod(F.xxhash64(*cols), F.lit(BUCKETS)).cast("int")
-
-
 def document_nodes(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 and the text's identity (k1, crc, size), read once and stored."""
+    """doc_id, size, text_crc32 and the text's identity (k1, crc, size), read once and stored.
+
+    Buckets go by where a row was read, so rows that share an id, or have none, are spread like others.
+    """
     text = F.encode(text_or_empty(), "UTF-8")
     return stored(
         docs.select(
@@ -44,7 +45,7 @@ def document_nodes(docs: DataFrame) -> DataFrame:
             (F.octet_length(text_or_empty()) + 8).cast("bigint").alias("size"),
             F.crc32(text).alias("text_crc32"),
             F.xxhash64(text_or_empty()).alias("k1"),
-        ).withColumn("bucket", _bucket("doc_id")),
+        ).withColumn("bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(BUCKETS)).cast("int")),
         "shard-nodes",
     )
 
@@ -56,10 +57,10 @@ def _before(totals: DataFrame, group: list[str], count: str = "n") -> DataFrame:
     return totals.withColumn("before", F.coalesce(F.sum(count).over(earlier), F.lit(0))).withColumn("total", F.sum(count).over(w))
 
 
-def propagate(cells: DataFrame, capacity: Column, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def propagate(cells: DataFrame, capacity: Column, shards: int = SHARDS) -> DataFrame:
     """Cells (k1, text_crc32, size, shard, rows) after the moves; ``capacity`` of ``shard``."""
     text = ["k1", "text_crc32", "size"]
-    for turn in range(rounds):
+    for turn in itertools.count():
         load = cells.groupBy("shard").agg(F.sum("rows").alias("load"))
         every = cells.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
         room = every.join(F.broadcast(load), "shard", "left").select(
@@ -102,10 +103,9 @@ def propagate(cells: DataFrame, capacity: Column, shards: int = SHARDS, rounds:
             cells.select(*text, "shard", "rows").unionByName(change).groupBy(*text, "shard").agg(F.sum("rows").alias("rows")).where("rows > 0"),
             "shard-cells",
         )
-    return cells
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard (law ``rows``)."""
     text = ["k1", "text_crc32", "size"]
     nodes = document_nodes(docs)
@@ -123,7 +123,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
         *text, F.pmod(start + F.col("j"), F.lit(shards)).cast("int").alias("shard"),
         (F.floor(F.col("total") / shards) + (F.col("j") < F.col("total") % shards).cast("int")).cast("bigint").alias("rows"),
     ), "shard-cells")
-    cells = propagate(cells, capacity, shards, rounds)
+    cells = propagate(cells, capacity, shards)
 
     # rows of a text, in the order of their numbers, fill its cells one after another
     ranges = cells.groupBy(*text).agg(F.array_sort(F.collect_list(F.struct("shard", "rows"))).alias("cells"))  # <= shards entries

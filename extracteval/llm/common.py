@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 import zipfile
@@ -11,6 +13,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from extracteval.session import shared_dir
+
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 # Whole texts travel to Python in small batches so a run of very long texts stays bounded.
@@ -29,7 +33,10 @@ def ship_package(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="extracteval-")) / "extracteval-package.zip"
+    # on the driver only: Spark's file server hands it to the workers
+    folder = tempfile.TemporaryDirectory(prefix="extracteval-")
+    atexit.register(folder.cleanup)
+    target = Path(folder.name) / "extracteval-package.zip"
     with zipfile.ZipFile(target, "w") as archive:
         for source in sorted(package.rglob("*.py")):
             archive.write(source, str(source.relative_to(package.parent)))
@@ -50,25 +57,41 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name under the cluster's shared folder.
+    """A new folder name under the folder that all machines of the cluster reach."""
+    return shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
 
-    ``spark.checkpoint.dir`` names it; where it is unset (tests, laptops) the session's warehouse
-    folder is used, which every machine of a cluster shares as well.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+_scratch: list[str] = []
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: work done once, lineage cut."""
+    """Write ``df`` once to the shared folder and read it back: work done once, lineage cut.
+
+    The folder goes when the session ends, or with ``drop_scratch``.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, name)
+    if not _scratch:
+        atexit.register(drop_scratch, spark)
+    _scratch.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_mark() -> int:
+    """Where ``drop_scratch`` can start later to delete what is stored from now on."""
+    return len(_scratch)
+
+
+def drop_scratch(spark: SparkSession, mark: int = 0) -> None:
+    """Delete what ``stored`` wrote since ``mark``; only for results that have been written themselves."""
+    with contextlib.suppress(Exception):  # the session may have ended
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        while len(_scratch) > mark:
+            place = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+            place.getFileSystem(conf).delete(place, True)
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -15,7 +15,6 @@ from extracteval.llm.pii import personal_data
 from extracteval.llm.sharding import shard_documents
 from extracteval.llm.simhash import simhash_components
 from extracteval.llm.token_files import token_files_query
-from extracteval.llm.tokens import public_path
 from extracteval.llm.toxicity import score_documents
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -31,7 +30,7 @@ def op2_contextual_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_vbyte_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files_query(read(spark, sf_dir, "documents"), public_path(BYTE_BPE))
+    return token_files_query(read(spark, sf_dir, "documents"), BYTE_BPE)
 
 
 def op4_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +43,7 @@ def op5_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(read(spark, sf_dir, "documents"), public_path(WORD_BPE))
+    return pack_documents(read(spark, sf_dir, "documents"), WORD_BPE)
 
 
 def op7_block_matrix_search(spark: SparkSession, sf_dir: str) -> DataFrame:

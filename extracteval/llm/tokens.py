@@ -74,7 +74,8 @@ class TextEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        # a public vocabulary's name is looked up where the encoder runs
+        self.tokenizer = Tokenizer.from_file(path if os.path.isfile(path) else public_path(path))
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()

@@ -14,13 +14,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from extracteval.llm.common import DOCUMENT_COLUMNS, pick, read, shared_folder
+from extracteval.llm.common import DOCUMENT_COLUMNS, drop_scratch, pick, read, scratch_mark, shared_folder
 from extracteval.llm.decontamination import keep_uncontaminated
 from extracteval.llm.packing import pack_documents
 from extracteval.llm.pii import redact
 from extracteval.llm.queries import WORD_BPE
 from extracteval.llm.simhash import keep_one_of_each
-from extracteval.llm.tokens import public_path
 from extracteval.llm.toxicity import keep_clean
 
 
@@ -46,7 +45,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: places of all remaining documents' pieces in sequences of 4096 tokens."""
-    return pack_documents(pick(docs, DOCUMENT_COLUMNS), public_path(WORD_BPE))
+    return pack_documents(pick(docs, DOCUMENT_COLUMNS), WORD_BPE)
 
 
 STAGES = [
@@ -64,8 +63,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        mark = scratch_mark()
         result = stage(spark, docs, sf_dir)
         path = shared_folder(spark, f"pipeline-{name}")
         result.write.parquet(path)
+        drop_scratch(spark, mark)  # the stage's result is written
         docs = spark.read.schema(result.schema).parquet(path)
     return docs

@@ -10,7 +10,8 @@ looked-up value for each feature and pair: vectorised additions, no trees left.
 The model is fitted on at most ``FIT_ROWS`` labelled rows (least hashes of the id) outside the
 held-out fifth; the score uses nothing but the text.
 
-Defined results: null and empty texts have the features of an empty text; null ids count as empty
+Defined results: null and empty texts have the features of an empty text; a text of any length is read whole;
+a score equal to the threshold is label 1; null ids count as empty
 text for the held-out rule; a document with several labels counts by their mean, rounded half up;
 repeated rows each get a row; without both classes the score is the smoothed share of label 1;
 other columns are not read.

@@ -9,7 +9,7 @@ writes to will do.  Decoding is a numpy table lookup from control byte to byte c
 Steps: encode every text once (map only, stored, each task with its id histogram), sum the histograms by id,
 rank them (one row for each vocabulary entry), range-partition by ``doc_id``, write blocks.
 
-Defined results: null text encodes as empty (just the end id); null doc_ids come first; repeated
+Defined results: null text encodes as empty (just the end id); a text of any length is one document of one block; null doc_ids come first; repeated
 rows are each written; an empty table writes no block and reads back as no row; other columns of
 the input are not read.
 """

@@ -7,14 +7,15 @@ composed into one table, which is run over every clause that holds an insult or
 puts out (plain, targeted, negated, reported ...) is counted by clause, the weights of insults are
 added up by output, and a logistic model weights both.  The insult lexicon is a few fixed words plus words and word beginnings learned from
 labelled texts by greedy cover: the form that best tells the toxic texts that are still unexplained.
-A word beginning may ask for a density: it then counts only in clauses where it stands at least
-once in so many characters, or, in a longer clause, ``DENSE_HITS`` times within ``DENSE_HITS`` times
-as many.  What a clause puts out does not depend on the text around it.
+A word beginning may ask for a density: it then counts only where it stands so many times within a
+window of fixed length, whichever clauses the window spans.  What a passage puts out does not
+depend on the length of the text around it.
 
 The model is fitted on at most ``FIT_ROWS`` labelled rows (least hashes of the id) and only on rows
 outside the held-out fifth; the score uses nothing but the text.
 
-Defined results: null and empty texts score as texts with no match; null ids count as empty text
+Defined results: null and empty texts score as texts with no match; a text of any length is read whole; a score
+equal to the threshold is toxic; equal candidate forms go by length and spelling; null ids count as empty text
 for the held-out rule; a document with several labels counts by their mean, rounded half up;
 repeated rows each get a row; without labels the fixed lexicon and weights serve; other columns
 are not read.
@@ -40,8 +41,7 @@ from extracteval.llm.common import held_out, prepare, stored
 FIT_ROWS = 20_000
 FIXED_WEIGHT = 6.0  # of the grammar's own insults where no label tells more
 LEAST_GAIN = 10  # of a form that the greedy cover chooses
-DENSITIES = (300, 1_000)  # characters a clause may have for each occurrence of a dense beginning
-DENSE_HITS = 4  # occurrences that make a part of a longer clause dense
+DENSITIES = ((2, 600), (3, 1_000), (4, 1_600))  # occurrences of a dense beginning within so many characters
 NOISE = 0.5  # a learned form may be in so many other texts for each toxic one
 THRESHOLD = 0.5
 FORMS_HELD = 50_000  # forms that a counting worker holds before it hands them on
@@ -64,9 +64,13 @@ def clause_cuts(low: str) -> list[int]:
     return [0, *ends, len(low)] if not ends or ends[-1] < len(low) else [0, *ends]
 
 
-def dense_enough(starts: list[int], length: int, chars: int) -> bool:
-    """Whether ascending ``starts`` in a clause of ``length`` are dense in it or in a part of it."""
-    return len(starts) * chars >= length or any(b - a < DENSE_HITS * chars for a, b in zip(starts, starts[DENSE_HITS - 1 :], strict=False))
+def dense_starts(starts: list[int], hits: int, chars: int) -> list[int]:
+    """Those of ascending ``starts`` that lie in a window of ``chars`` with at least ``hits`` of them."""
+    kept = set()
+    for i, (a, b) in enumerate(zip(starts, starts[hits - 1 :], strict=False)):
+        if b - a < chars:
+            kept.update(starts[i : i + hits])
+    return sorted(kept)
 
 
 def negation(state: int, symbol: str) -> tuple[int, str]:
@@ -118,7 +122,7 @@ FEATURES = [f"clauses {o}" for o in OUTPUTS] + [f"weight {o}" for o in INSULTED]
 @dataclass
 class Grammar:
     """Lexicon and weights; ``forms`` are words ("=idiot"), word beginnings ("idio") and dense word
-    beginnings ("idio@300", once in 300 characters of a clause or more often) with their weights."""
+    beginnings ("idio@2:600", twice within 600 characters or more often) with their weights."""
 
     forms: dict[str, float] = field(default_factory=lambda: {"=" + w: FIXED_WEIGHT for w in INSULTS})
     weights: list[float] = field(default_factory=lambda: [-4.0] + [
@@ -134,7 +138,7 @@ class Grammar:
         self.insult = re.compile("|".join(whole + begin) or "(?!)")
         self.beginnings = [f for f in self.forms if f[0] != "=" and "@" not in f]
         parts = [f.rsplit("@", 1) for f in sorted(self.forms) if f[0] != "=" and "@" in f]
-        self.dense = [(b, int(chars), re.compile(r"(?<![^\W\d_])" + re.escape(b) + r"(?=[^\W\d_])")) for b, chars in parts]
+        self.dense = [(b, density, re.compile(r"(?<![^\W\d_])" + re.escape(b) + r"(?=[^\W\d_])")) for b, density in parts]
         self.hit = re.compile(r"(?<![^\W\d_])(?:" + "|".join(whole + begin + threats) + ")")
 
     def weight(self, word: str, active: dict[str, float]) -> float:
@@ -145,17 +149,13 @@ class Grammar:
         return found
 
     def dense_hits(self, low: str, cuts: list[int]) -> dict[int, dict[str, float]]:
-        """By clause, the dense beginnings that it holds often enough, with their weights."""
+        """By clause, the dense beginnings that it holds at a dense place, with their weights."""
         active: dict[int, dict[str, float]] = {}
-        for begin, chars, pattern in self.dense:
+        for begin, density, pattern in self.dense:
             if begin in low:
-                at: dict[int, list[int]] = {}
-                for m in pattern.finditer(low):
-                    at.setdefault(bisect_right(cuts, m.start()) - 1, []).append(m.start())
-                for k, starts in at.items():
-                    if dense_enough(starts, cuts[k + 1] - cuts[k], chars):
-                        here = active.setdefault(k, {})
-                        here[begin] = max(here.get(begin, 0.0), self.forms[f"{begin}@{chars}"])
+                for start in dense_starts([m.start() for m in pattern.finditer(low)], *map(int, density.split(":"))):
+                    here = active.setdefault(bisect_right(cuts, start) - 1, {})
+                    here[begin] = max(here.get(begin, 0.0), self.forms[f"{begin}@{density}"])
         return active
 
     def features(self, text: str | None) -> np.ndarray:
@@ -189,31 +189,20 @@ class Grammar:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _beginnings(words: Iterable[str]) -> set[str]:
-    return {w[:k] for w in words for k in range(3, min(9, len(w)))}
-
-
 def word_forms(text: str | None) -> set[str]:
-    low = (text or "").lower()
-    every, dense = set(), set()
-    near = {d: set() for d in DENSITIES}  # words of clauses that are dense with one occurrence
-    cuts = clause_cuts(low)
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        words = [(m.start(), m[0]) for m in WORD.finditer(low, a, b) if m.end() - m.start() <= 40]
-        here = {w for _, w in words}
-        every |= here
-        at: dict[str, list[int]] = {}
-        for d in DENSITIES:
-            if b - a <= d:
-                near[d] |= here
-                continue
-            if not at:
-                for start, w in words:
-                    for k in range(3, min(9, len(w))):
-                        at.setdefault(w[:k], []).append(start)
-            dense |= {f"{x}@{d}" for x, starts in at.items() if dense_enough(starts, b - a, d)}
-    dense |= {f"{x}@{d}" for d, words in near.items() for x in _beginnings(words)}
-    return {"=" + w for w in every} | _beginnings(every) | dense
+    """Forms that a text holds: words, word beginnings and dense word beginnings."""
+    words = [(m.start(), m[0]) for m in WORD.finditer((text or "").lower())]
+    at: dict[str, list[int]] = {}
+    for start, w in words:
+        for k in range(3, min(9, len(w))):
+            at.setdefault(w[:k], []).append(start)
+    dense = {
+        f"{b}@{hits}:{chars}"
+        for b, starts in at.items()
+        for hits, chars in DENSITIES
+        if any(y - x < chars for x, y in zip(starts, starts[hits - 1 :], strict=False))
+    }
+    return {"=" + w for _, w in words} | at.keys() | dense
 
 
 def _count_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -417,20 +417,19 @@ def test_toxicity_learns(spark, odd, empty):
 
 
 def test_dense_beginnings_count_where_they_are_frequent():
-    g = toxicity.Grammar({"grubl@300": 6.0}, toxicity.Grammar().weights)
-    assert g.score("der grublig und") > 0.5 and g.score("grubl") < 0.1
-    assert g.score("der grublig und " + "wort " * 200) < 0.1 and g.score("der grublig und " + "wort grublo " * 200) > 0.5
-    assert {"grubl", "grubl@300", "=grublig"} <= toxicity.word_forms("Grublig")
-    forms = toxicity.word_forms("grublig " + "wort " * 100)
-    assert "grubl" in forms and "grubl@1000" in forms and "grubl@300" not in forms
+    g = toxicity.Grammar({"grubl@2:300": 6.0}, toxicity.Grammar().weights)
+    assert g.score("der grublig und grublo") > 0.5 and g.score("grubl grubl") < 0.1 and g.score("der grublig und") < 0.1
+    assert g.score("der grublig. " + "wort. " * 200 + "grublo") < 0.1 and g.score("der grublig. " + "wort. " * 20 + "grublo") > 0.5
+    assert {"grubl", "grubl@2:600", "=grublig"} <= toxicity.word_forms("Grublig, grublo")
+    forms = toxicity.word_forms("grublig " + "wort " * 130 + "grublig " * 2)
+    assert "grubl@2:600" in forms and "grubl@3:1000" in forms and "grubl@4:1600" not in forms
+    assert "grubl@2:600" not in toxicity.word_forms("grublig " + "wort " * 130 + "grublig")
 
 
 def test_dense_passages_score_alike_in_long_texts():
-    g = toxicity.Grammar({"grubl@300": 6.0}, toxicity.Grammar().weights)
-    alone = g.score("der grublig und.")
-    assert alone > 0.5 and g.score("wort. " * 3000 + "der grublig und. " + "wort. " * 3000) == alone
-    assert g.score("wort " * 3000 + "grublig grublo grubler grubles " + "wort " * 3000) > 0.5
-    assert "grubl@300" in toxicity.word_forms("grublig. " + "wort " * 400) and "grubl@300" in toxicity.word_forms("wort " * 3000 + "grublig grublo " * 2)
+    g = toxicity.Grammar({"grubl@2:300": 6.0}, toxicity.Grammar().weights)
+    alone = g.score("der grublig. und grublo.")
+    assert alone > 0.5 and g.score("wort. " * 3000 + "der grublig. und grublo. " + "wort. " * 3000) == alone
 
 
 def test_weights_follow_the_transducers():

@@ -17,7 +17,6 @@ the input are not read.
 from __future__ import annotations
 
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -217,7 +216,3 @@ def token_files_query(docs: DataFrame, tokenizer: str) -> DataFrame:
     path = shared_folder(docs.sparkSession, "token-files")
     write_token_files(docs, path, tokenizer)
     return digest(read_token_files(docs.sparkSession, path))
-
-
-def crc32_of_ids(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())

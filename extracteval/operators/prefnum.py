@@ -3,7 +3,7 @@
 Logits arrive long: one row per (pair_id, side, model, pos) with the logits that predict the next
 token, and that token as the row's ``label_id`` with its ``label_mask``, as a trainer holds both.
 Log-softmax is then worked out where a row is read and no logits array is ever shuffled; all later
-steps are keyed aggregations of one number a row.  ``with_labels`` shifts the tokens of a log without labels.  The loss uses the overflow-free form
+steps are keyed aggregations of one number a row.  A log without labels gets them from its own tokens.  The loss uses the overflow-free form
 ``log1p(exp(-|z|)) - min(z, 0)`` of ``-log(sigmoid(z))``.
 """
 
@@ -23,9 +23,8 @@ BETA = 0.1
 def with_labels(tokens: DataFrame) -> DataFrame:
     """(pair_id, side, model, pos, label_id, label_mask): each position with the next one's token.
 
-    For logs that name only their own token: shift the narrow token rows with this (a window over a
-    sequence, which is bounded by its length) and log or join the labels beside the logits; a join of
-    two tables bucketed by the sequence leaves the logits where they are.
+    For logs that name only their own token: a window over a sequence, which is bounded by its length, on
+    narrow token rows.
     """
     w = Window.partitionBy(*SEQ).orderBy("pos")
     shifted = tokens.select(*SEQ, "pos", F.lead("token_id").over(w).alias("label_id"), F.lead("mask").over(w).alias("label_mask"))
@@ -35,8 +34,13 @@ def with_labels(tokens: DataFrame) -> DataFrame:
 def token_logprobs(logits: DataFrame) -> DataFrame:
     """L1: log-softmax of each row's logits at its label; ``pos`` and ``mask`` are the label's (pos >= 1).
 
-    Rows without a label (a sequence's last) predict nothing and are left out.
+    Rows without a label (a sequence's last) predict nothing and are left out.  A log that names only its own
+    tokens (``token_id``, ``mask``) is joined with the shifted ones first, which moves its logits unless
+    it is bucketed by the sequence and position.
     """
+    if "label_id" not in logits.columns:
+        narrow = with_labels(logits.select(*SEQ, "pos", "token_id", "mask"))
+        logits = logits.join(narrow, [*SEQ, "pos"])
     t = logits.where("label_id IS NOT NULL").withColumn("_m", F.array_max("logits"))
     lse = F.col("_m") + F.log(F.aggregate("logits", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("_m"))))
     lp = F.try_element_at("logits", F.col("label_id") + 1) - lse

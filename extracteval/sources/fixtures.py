@@ -69,8 +69,10 @@ def _output_of_class(k: Column, expected: Column, test_id: Column) -> Column:
 
 
 def x_outputs(spark: SparkSession, sf_dir: str, cases: DataFrame | None = None) -> DataFrame:
-    """label, test_id, k, output — three checkpoints per case."""
+    """label, test_id, k, output — three checkpoints per case, laid out by test_id as a stored table would be."""
     cases = cases if cases is not None else x_cases(spark, sf_dir)
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cases = cases.repartition(tasks, "test_id")
     cps = F.array(*[
         F.struct(F.lit(lab).alias("label"), F.lit(salt).alias("salt"), F.lit(pick).alias("pick"))
         for lab, salt, pick in CHECKPOINTS

@@ -194,3 +194,12 @@ def test_sampling_selects_the_least_digests(spark):
     hot = spark.range(2000).select(F.when(F.col("id") < 1500, 1).otherwise(F.col("id")).alias("pair_id"))
     assert [curate.sample_pairs(hot, n).count() for n in (1, 600, 1999)] == [1, 600, 1999]
     assert curate.sample_pairs(rows.limit(0), 5).count() == 0
+
+
+def test_markdown_lines_are_written_in_order(spark, folder, scored):
+    done, _, _ = scored
+    path = folder("table")
+    table = reports.markdown_table(score.evaluate_outputs(done))
+    reports.write_lines(table.repartition(3), path)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert lines == [r.line for r in table.orderBy("line_no").collect()] and lines[0] == reports.MARKDOWN_HEADER

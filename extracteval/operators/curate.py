@@ -2,7 +2,7 @@
 batching and epochs (F1-F6, P9, T1-T6).
 
 Sampling takes the least ``md5(seed:id)``: the same rows are picked whatever the partitioning, and
-histograms of the digests find the cut (no global sort, no task with n rows).  Batch numbering is an
+a histogram of the digests finds the cut (only the sample is sorted, no task holds all of it).  Batch numbering is an
 exact global ordinal computed with ``scan.ordinal_within`` over digest-prefix levels.
 """
 
@@ -176,11 +176,12 @@ def shuffle_key(seed: int, id_col: str = "pair_id", epoch: Column | None = None)
 
 
 def sample_pairs(df: DataFrame, n: int = 500, seed: int = 42, id_col: str = "pair_id") -> DataFrame:
-    """min(n, count) rows without replacement, the first in seeded shuffled order.
+    """min(n, count) rows without replacement, the first in seeded shuffled order and in that order.
 
     The rows are found by radix selection of their digests, so ``n`` may be of any size.
     """
-    return least_by_digest(df.withColumn("_key", shuffle_key(seed, id_col)), n, "_key", id_col).drop("_key")
+    first = least_by_digest(df.withColumn("_key", shuffle_key(seed, id_col)), n, "_key", id_col)
+    return first.orderBy("_key", id_col).drop("_key")
 
 
 def assign_batches(df: DataFrame, batch: int = 2, seed: int = 42, id_col: str = "pair_id") -> DataFrame:

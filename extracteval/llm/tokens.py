@@ -27,7 +27,7 @@ _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 # Byte-level vocabularies write a byte as itself where it prints, else as the next sign from U+0100.
 _PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_SIGNS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTS)}
-CACHE_BYTES = 192 << 20  # memory bound of a worker's cache
+CACHE_BYTES = 256 << 20  # memory bound of a worker's cache
 _ENTRY_BYTES = 64  # of a dictionary slot
 
 

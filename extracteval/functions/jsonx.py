@@ -24,7 +24,8 @@ _MARK = "\x02"
 
 def strip_fences(c: Column | str) -> Column:
     """Remove every fence (```json + whitespace, or whitespace + ```), then strip."""
-    return py_strip(F.regexp_replace(col_(c), FENCE_RE, ""))
+    x = col_(c)
+    return py_strip(F.when(F.contains(x, F.lit("```")), F.regexp_replace(x, FENCE_RE, "")).otherwise(x))
 
 
 def variant_wrap(x: Column) -> Column:
@@ -50,6 +51,13 @@ def numbers_for_names(x: Column) -> Column:
     return F.when(named, plain).otherwise(x)
 
 
+def _may_be_json(x: Column) -> Column:
+    """False only for texts that no parse needs to refuse: by its first character a JSON text without white space
+    around it is a container or a string, which its last character closes, a number or a name."""
+    pairs = [x.startswith(a) & x.endswith(b) for a, b in (("{", "}"), ("[", "]"), ('"', '"'))]
+    return pairs[0] | pairs[1] | pairs[2] | F.left(x, F.lit(1)).between("-", "9") | x.isin("true", "false", "null", "NaN", "Infinity")
+
+
 def is_valid_json(c: Column | str) -> Column:
     """R2 core: the text is exactly one JSON value under Python's grammar; null -> false.
 
@@ -95,10 +103,11 @@ def with_parse(df: DataFrame, cleaned: str, valid: str, value: str) -> DataFrame
     """R2 and R3 of text without fences as columns ``valid`` and ``value`` from one parse: where
     the brace slice is the whole text, as it mostly is, its parse also tells the text's validity."""
     t = df.withColumn("_slice", brace_slice(cleaned)).withColumn("_piece", numbers_for_names(F.col("_slice")))
-    t = t.withColumn("_wrap", variant_wrap(F.col("_piece")))
+    # a text that is refused costs more than one that is parsed, so what cannot be JSON is not tried
+    t = t.withColumn("_wrap", F.when(F.col("_piece") != "", variant_wrap(F.col("_piece"))))
     t = t.withColumn("_whole", F.coalesce(_wrap_ok(F.col("_wrap"), F.col("_piece")), F.lit(False)))
     same = F.col(cleaned) == F.col("_slice")
-    ok = F.when(same, F.col("_whole")).otherwise(is_valid_json(cleaned))
+    ok = F.when(same, F.col("_whole")).when(_may_be_json(F.col(cleaned)), is_valid_json(cleaned)).otherwise(F.lit(False))
     parsed = F.when(F.col("_whole"), F.try_variant_get("_wrap", "$[0]", "variant"))
     return t.select(*df.columns, ok.alias(valid), parsed.alias(value))
 

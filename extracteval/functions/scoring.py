@@ -66,7 +66,11 @@ def py_text(v: Column, t: Column | None = None) -> Column:
     missing '.' gets '.0' back.  Objects render as JSON text (declared deviation from Python's repr).
     """
     t = F.schema_of_variant(v) if t is None else t
-    return F.when(t.startswith("ARRAY"), list_text(v)).otherwise(_scalar_text(v, t))
+    return (
+        F.when(t == "STRING", F.variant_get(v, "$", "string"))
+        .when(t.startswith("ARRAY"), list_text(v))
+        .otherwise(_scalar_text(v, t))
+    )
 
 
 def _scalar_text(v: Column, t: Column) -> Column:
@@ -103,22 +107,25 @@ def text_set(v: Column) -> Column:
     return F.array_distinct(F.transform(typed, lambda s: F.lower(py_text(s["x"], s["t"]))))
 
 
+def _once(x: Column, use) -> Column:
+    """``use`` of ``x`` worked out once: a lambda's variable is bound to its value."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def match_list(e: Column, p: Column, pt: Column) -> Column:
     """|distinct lower texts in both| / |distinct expected|; non-list prediction -> 0."""
-    es = text_set(e)
-    share = F.size(F.array_intersect(es, text_set(p))).cast("double") / F.size(es).cast("double")
-    return F.when(pt.startswith("ARRAY") & (F.size(es) > 0), share).otherwise(F.lit(0.0))
+    sets = F.struct(text_set(e).alias("e"), text_set(p).alias("p"))
+    n = lambda c: F.size(c).cast("double")
+    share = _once(sets, lambda b: F.when(F.size(b["e"]) > 0, n(F.array_intersect(b["e"], b["p"])) / n(b["e"])).otherwise(F.lit(0.0)))
+    return F.when(pt.startswith("ARRAY"), share).otherwise(F.lit(0.0))
 
 
 def match_text(e: Column, et: Column, p: Column, pt: Column) -> Column:
     """Equal after lower+strip -> 1; lower(expected) inside lower(pred) -> 0.5; else 0."""
-    el = F.lower(py_text(e, et))
-    pl = F.lower(py_text(p, pt))
-    return (
-        F.when(py_strip(pl) == py_strip(el), F.lit(1.0))
-        .when(F.instr(pl, el) > 0, F.lit(0.5))
-        .otherwise(F.lit(0.0))
-    )
+    lowered = lambda b: F.struct(F.lower(b["e"]).alias("e"), F.lower(b["p"]).alias("p"))
+    differ = lambda b: F.when(py_strip(b["p"]) == py_strip(b["e"]), F.lit(1.0)).when(F.instr(b["p"], b["e"]) > 0, F.lit(0.5)).otherwise(F.lit(0.0))
+    texts = F.struct(py_text(e, et).alias("e"), py_text(p, pt).alias("p"))
+    return _once(texts, lambda b: F.when(b["e"] == b["p"], F.lit(1.0)).otherwise(_once(lowered(b), differ)))
 
 
 def rule_from(et: Column) -> Column:
@@ -149,11 +156,11 @@ def field_pairs(exp_map: Column | str, pred_map: Column | str) -> Column:
 def pair_credit(s: Column) -> Column:
     """Credit in [0, 1] of one expected key (``s`` a field_pairs value)."""
     e, et, p, pt = s["e"], s["et"], s["p"], s["pt"]
-    rule = rule_from(et)
     return (
         F.when(p.isNull(), F.lit(0.0))
-        .when(rule == "number", match_number(e, et, p, pt))
-        .when(rule == "list", match_list(e, p, pt))
+        .when(et == "STRING", match_text(e, et, p, pt))
+        .when(_is_num(et), match_number(e, et, p, pt))
+        .when(et.startswith("ARRAY"), match_list(e, p, pt))
         .otherwise(match_text(e, et, p, pt))
     )
 

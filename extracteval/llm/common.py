@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from extracteval.session import shared_dir
+from extracteval.session import shared_dir, ship_package
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -24,26 +22,6 @@ ARROW_CONF = {
 }
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the workers once a session (``--py-files``), so tasks can import it."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parents[1]
-    # on the driver only: Spark's file server hands it to the workers
-    folder = tempfile.TemporaryDirectory(prefix="extracteval-")
-    atexit.register(folder.cleanup)
-    target = Path(folder.name) / "extracteval-package.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for source in sorted(package.rglob("*.py")):
-            archive.write(source, str(source.relative_to(package.parent)))
-    context.addPyFile(str(target))
-    _shipped.add(context.applicationId)
-
-
 def prepare(spark: SparkSession) -> SparkSession:
     ship_package(spark)
     for key, value in ARROW_CONF.items():

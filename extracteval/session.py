@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings every operator assumes.  Set on an existing session by ``configure``.
@@ -48,3 +53,23 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return f"{base.rstrip('/')}/{sub}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers once a session (``--py-files``), so tasks can import it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    # on the driver only: Spark's file server hands it to the workers
+    folder = tempfile.TemporaryDirectory(prefix="extracteval-")
+    atexit.register(folder.cleanup)
+    target = Path(folder.name) / "extracteval-package.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, str(source.relative_to(package.parent)))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)

@@ -24,6 +24,13 @@ def _new_folder(spark, name):
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+def _kept(spark, name, df):
+    """The rows of ``df``, worked out once for the tables of a report that are made from them."""
+    path = _new_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _sft_lines(spark, sf):
     c = X.x_cases(spark, sf)
     return c.select(F.to_json(F.struct(F.lit(prompts.INSTRUCTION).alias("instruction"), "input",
@@ -103,7 +110,7 @@ def q_s3_mixed(spark, sf):
   format_compliance, output_preview FROM scored WHERE label IN ('sft_model', 'dpo_model')""")
 def q_k2_tables(spark, sf):
     """The three-stage report published with its per-test rows, two stages read back."""
-    scored = _scored(spark, sf).drop("empty_expected_list")
+    scored = _kept(spark, "scored", _scored(spark, sf).drop("empty_expected_list"))
     path = _new_folder(spark, "three-stage")
     publish.publish_three_stage(score.evaluate_outputs(scored), scored, path, TRAINING, HARDWARE)
     return R.scan_metrics_report(spark, path)
@@ -113,7 +120,7 @@ def q_k2_tables(spark, sf):
   {PROMPT} || input || {PROMPT_END} AS prompt FROM x_cases""")
 def q_k1_tables(spark, sf):
     """K1: the before/after report published with its per-test rows and prompts; the prompts read back."""
-    cases, scored = X.x_cases(spark, sf), _scored(spark, sf).drop("empty_expected_list")
+    cases, scored = X.x_cases(spark, sf), _kept(spark, "scored", _scored(spark, sf).drop("empty_expected_list"))
     path = _new_folder(spark, "before-after")
     publish.publish_before_after(score.evaluate_outputs(scored), scored, cases, path, "base_model", "sft_model")
     return publish.read_report(spark, path)["test_prompts"]
@@ -122,7 +129,7 @@ def q_k1_tables(spark, sf):
 @query("published_per_case", S.with_(*S.SCORED_CTES, WIN_CTE) + "SELECT test_id, sft_acc, dpo_acc, result FROM w1")
 def q_k5_tables(spark, sf):
     """K5: the preference report published with the row of every case; those read back."""
-    per_case = compare.win_tie_loss(_scored(spark, sf))
+    per_case = _kept(spark, "per-case", compare.win_tie_loss(_scored(spark, sf)))
     path = _new_folder(spark, "preference")
     publish.publish_preference(per_case, compare.output_quality(_outputs(spark, sf)), path)
     return publish.read_report(spark, path)["per_case"].select("test_id", "sft_acc", "dpo_acc", "result")

@@ -10,12 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from extracteval.functions.pytext import col_, py_split, py_strip
 from extracteval.operators.prompts import pair_text
 from extracteval.operators.scan import ordinal_within
+from extracteval.session import ship_package
 
 PAD_ID = 0
 UNK_ID = 1
@@ -62,56 +67,108 @@ def spread_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return keyed.groupBy("_ra", "_rb").agg(*same, F.count(F.lit(1)).alias("_copies"))
 
 
+def _look_up(often: DataFrame, key: str, value: str):
+    """Functions over arrays of ``key`` for a bounded table: each element's ``value`` (null where it has none), the
+    elements without one (each once a row, with its places), and the values found elsewhere put in those places."""
+    ship_package(often.sparkSession)
+    head = often.select(key, value).toArrow().combine_chunks()  # a few megabytes at most
+    keys, values = (pa.concat_arrays(head.column(c).chunks) if head.num_rows else pa.array([], head.schema.field(c).type) for c in (key, value))
+    kinds = {"token": T.StringType(), "token_id": T.LongType()}
+    rest = T.ArrayType(T.StructType([T.StructField(key, kinds[key]), T.StructField("places", T.ArrayType(T.IntegerType()))]))
+
+    @F.arrow_udf(T.ArrayType(kinds[value]))
+    def near(rows: pa.Array) -> pa.Array:
+        flat = rows.flatten()
+        return pa.ListArray.from_arrays(_offsets(_lengths(rows)), values.take(pc.index_in(flat, value_set=keys)))
+
+    @F.arrow_udf(rest)
+    def missing(rows: pa.Array) -> pa.Array:
+        flat, sizes = rows.flatten(), _lengths(rows)
+        wanted = pc.is_valid(flat) if key == "token" else pc.fill_null(pc.greater_equal(flat, FIRST_ID), False)
+        lost = pc.and_(wanted, pc.is_null(pc.index_in(flat, value_set=keys))).to_numpy(zero_copy_only=False)
+        coded = flat.filter(pa.array(lost)).dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(sizes)), sizes)[lost]
+        place = (np.arange(len(flat)) - np.repeat(_offsets(sizes)[:-1], sizes))[lost]
+        order = np.lexsort((code, row))  # stable, so places ascend
+        row, place, code = row[order], place[order], code[order]
+        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (code[1:] != code[:-1])][: len(row)])
+        places = pa.ListArray.from_arrays(pa.array(np.r_[first, len(row)], pa.int32()), pa.array(place, pa.int32()))
+        groups = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(code[first])), places], [key, "places"])
+        return pa.ListArray.from_arrays(_offsets(np.bincount(row[first], minlength=len(sizes))), groups)
+
+    @F.arrow_udf(T.ArrayType(kinds[value]))
+    def put(rows: pa.Array, far: pa.Array) -> pa.Array:
+        flat, starts, found = rows.flatten(), _offsets(_lengths(rows)), far.flatten()
+        where, late = found.field("places"), found.field("value")
+        sizes = _lengths(where)
+        target = np.repeat(np.repeat(starts[:-1], _lengths(far)), sizes) + where.flatten().to_numpy(zero_copy_only=False)
+        source = np.arange(len(flat))
+        source[target] = len(flat) + np.repeat(np.arange(len(late)), sizes)
+        return pa.ListArray.from_arrays(starts, pa.concat_arrays([flat, late.cast(flat.type)]).take(pa.array(source)))
+
+    return near, missing, put
+
+
+def _lengths(rows: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.r_[0, np.cumsum(sizes)].astype(np.int32)
+
+
+def _translate(texts: DataFrame, keys: Sequence[str], elements: Column, vocab: DataFrame, key: str, value: str, head: int) -> DataFrame:
+    """keys, ``_copies`` and ``_found``, the ``value`` of every element of an array of ``key`` (null: none).
+
+    ``texts`` comes from ``spread_rows``.  The ``head`` most frequent tokens (no longer than ``HEAD_LENGTH``) are looked
+    up where the row is; all others are shuffled, each once a row with its places.
+    """
+    row = ["_ra", "_rb"]
+    often = (F.col("token_id") < head + FIRST_ID) & (F.length("token") <= HEAD_LENGTH)
+    near, missing, put = _look_up(vocab.where(often), key, value)
+    rows = texts.select(*row, *keys, "_copies", elements.alias("_elements"))
+    tail = rows.select(*row, F.explode(missing("_elements")).alias("m")).select(*row, F.col("m")[key].alias(key), F.col("m.places").alias("places"))
+    found = tail.join(vocab.where(~often).select(key, value), key)
+    far = found.groupBy(*row).agg(F.collect_list(F.struct("places", F.col(value).alias("value"))).alias("_far"))
+    here = rows.select(*row, *keys, "_copies", near("_elements").alias("_near"))
+    joined = here.join(far, row, "left").withColumn("_done", F.when(F.col("_far").isNotNull(), put("_near", "_far")))
+    return joined.select(*keys, "_copies", F.coalesce("_done", "_near").alias("_found"))
+
+
+def _copied(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    many = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
+    return df.select(*columns, many).select(*columns)
+
+
 def tokenize_ids(
     df: DataFrame, keys: Sequence[str], text_col: str, vocab: DataFrame, out: str = "ids", limit: int | None = None, head: int = HEAD
 ) -> DataFrame:
     """Keys + ``out`` ARRAY<BIGINT> of token ids in text order, one row for each row of ``df``.
 
     Unknown tokens get UNK_ID; ``limit`` keeps a text's first tokens and looks up no other.  The ``head``
-    most frequent tokens (no longer than ``HEAD_LENGTH``, so a few megabytes at most) are broadcast
-    and looked up where the text is; only other tokens are shuffled, each once a text with its places.
+    most frequent tokens (no longer than ``HEAD_LENGTH``, so a few megabytes at most) go to all tasks
+    and are looked up where the text is, in Arrow batches; only other tokens are shuffled, each once a text with its places.
     """
-    keys, row = list(keys), ["_ra", "_rb"]
+    keys = list(keys)
     words = py_split(text_col)
     words = words if limit is None else F.slice(words, 1, limit)
-    texts = df if set(row) <= set(df.columns) else spread_rows(df, [*keys, text_col])
-    tokens = texts.select(*row, *keys, "_copies", F.posexplode_outer(words).alias("pos", "token"))
-    often = (F.col("token_id") < head + FIRST_ID) & (F.length("token") <= HEAD_LENGTH)
-    ids = vocab.select("token", "token_id")
-    met = tokens.join(F.broadcast(ids.where(often)), "token", "left")
-    place = lambda: F.collect_list(F.struct("pos", F.col("token_id").alias("id")))
-    known = F.when(F.col("token_id").isNotNull(), F.struct("pos", F.col("token_id").alias("id")))
-    near = met.groupBy(*row).agg(*[F.any_value(c).alias(c) for c in [*keys, "_copies"]], F.collect_list(known).alias("_near"))
-    others = met.where("token IS NOT NULL AND token_id IS NULL").groupBy(*row, "token").agg(F.collect_list("pos").alias("places"))
-    found = others.join(ids.where(~often), "token", "left").select(*row, F.explode("places").alias("pos"), F.coalesce("token_id", F.lit(UNK_ID)).alias("token_id"))
-    far = found.groupBy(*row).agg(place().alias("_far"))
-    none = F.array().cast("array<struct<pos:int,id:bigint>>")
-    both = F.array_sort(F.concat("_near", F.coalesce("_far", none)))
-    done = near.join(far, row, "left").select(*keys, "_copies", F.transform(both, lambda t: t["id"]).alias(out))
-    return done.select(*keys, out, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*keys, out)
+    texts = df if {"_ra", "_rb"} <= set(df.columns) else spread_rows(df, [*keys, text_col])
+    t = _translate(texts, keys, words, vocab, "token", "token_id", head)
+    ids = F.transform("_found", lambda i: F.coalesce(i, F.lit(UNK_ID).cast("bigint")))
+    return _copied(t.select(*keys, "_copies", ids.alias(out)), [*keys, out])
 
 
 def decode_ids(df: DataFrame, keys: Sequence[str], ids_col: str, vocab: DataFrame, out: str = "text", head: int = HEAD) -> DataFrame:
     """Ids back to text (tokens joined by a space), special ids (below FIRST_ID) and unknown ones skipped.
 
-    The same table the other way round: frequent ids by broadcast, the rest by a shuffle of each
+    The same table the other way round: frequent ids where the row is, the rest by a shuffle of each
     row's different ids.
     """
-    keys, row = list(keys), ["_ra", "_rb"]
-    texts = spread_rows(df, [*keys, ids_col])
-    places = texts.select(*row, *keys, "_copies", F.posexplode_outer(ids_col).alias("pos", "token_id"))
-    often = (F.col("token_id") < head + FIRST_ID) & (F.length("token") <= HEAD_LENGTH)
-    tokens = vocab.select("token_id", "token")
-    met = places.join(F.broadcast(tokens.where(often)), "token_id", "left")
-    known = F.when(F.col("token").isNotNull(), F.struct("pos", "token"))
-    near = met.groupBy(*row).agg(*[F.any_value(c).alias(c) for c in [*keys, "_copies"]], F.collect_list(known).alias("_near"))
-    others = met.where(f"token IS NULL AND token_id >= {FIRST_ID}").groupBy(*row, "token_id").agg(F.collect_list("pos").alias("places"))
-    found = others.join(tokens.where(~often), "token_id").select(*row, F.explode("places").alias("pos"), "token")
-    far = found.groupBy(*row).agg(F.collect_list(F.struct("pos", "token")).alias("_far"))
-    none = F.array().cast("array<struct<pos:int,token:string>>")
-    both = F.array_sort(F.concat("_near", F.coalesce("_far", none)))
-    done = near.join(far, row, "left").select(*keys, "_copies", F.array_join(F.transform(both, lambda t: t["token"]), " ").alias(out))
-    return done.select(*keys, out, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*keys, out)
+    keys = list(keys)
+    ids = F.transform(ids_col, lambda i: F.when(i >= FIRST_ID, i.cast("bigint")))
+    t = _translate(spread_rows(df, [*keys, ids_col]), keys, ids, vocab, "token_id", "token", head)
+    return _copied(t.select(*keys, "_copies", F.array_join("_found", " ").alias(out)), [*keys, out])
 
 
 def decode_new_ids(df: DataFrame, keys: Sequence[str], n_prompt: str, vocab: DataFrame, ids_col: str = "ids", out: str = "text") -> DataFrame:

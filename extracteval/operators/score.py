@@ -1,7 +1,6 @@
 """Scoring checkpoint outputs against expected objects.
 
-Plain records are scored in Arrow batches, all others by VARIANT expressions of the same rules.  One ``select``
-computes every per-output metric; ``groupBy(label)`` turns them into summaries
+One ``select`` computes every per-output metric; ``groupBy(label)`` turns them into summaries
 with partial (map-side) aggregation, so a label holding most rows costs one partial row per
 task.  Means of already-rounded values are summed as DECIMAL so the result does not depend on
 partitioning.
@@ -16,9 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extracteval.functions import jsonx, scoring
-from extracteval.functions.plain import plain_rows, plain_totals
 from extracteval.functions.pytext import py_strip, round_half_even
-from extracteval.session import ship_package
 
 
 def union_checkpoints(frames: dict[str, DataFrame]) -> DataFrame:
@@ -77,27 +74,18 @@ def _with_parsed(df: DataFrame, output: str = "output", expected: str = "expecte
     return t.withColumn("_em", jsonx.as_object_map(F.try_parse_json(jsonx.numbers_for_names(F.col(expected)))))
 
 
-def _others_parsed(df: DataFrame, done: Column) -> DataFrame:
-    """The parsed columns of the records that are not plain; null or empty for those that are done."""
-    t = df.withColumn("_o", F.when(~done, F.col("output"))).withColumn("_e", F.when(~done, F.col("expected")))
-    return _with_parsed(t, "_o", "_e")
-
-
 def score_outputs(aligned: DataFrame) -> DataFrame:
     """A1: label, test_id, input_preview, valid_json, field_accuracy, format_compliance, output_preview."""
-    ship_package(aligned.sparkSession)
-    s = F.col("_s")
-    t = _others_parsed(aligned.withColumn("_s", plain_totals("output", "expected")), s["plain"])
-    mean = round_half_even(s["total"] / s["n"].cast("double"), 3)
+    t = _with_parsed(aligned)
     return t.select(
         "label",
         "test_id",
         F.concat(F.left("input", F.lit(60)), F.lit("...")).alias("input_preview"),
-        F.when(s["plain"], s["valid"]).otherwise(F.col("_valid")).alias("valid_json"),
-        F.when(s["plain"], mean).otherwise(scoring.field_accuracy("_em", "_pm")).alias("field_accuracy"),
+        F.col("_valid").alias("valid_json"),
+        scoring.field_accuracy("_em", "_pm").alias("field_accuracy"),
         scoring.format_compliance("output").alias("format_compliance"),
         py_strip(F.left("output", F.lit(100))).alias("output_preview"),
-        F.when(s["plain"], s["empty"]).otherwise(scoring.empty_list_flag("_em")).alias("empty_expected_list"),
+        scoring.empty_list_flag("_em").alias("empty_expected_list"),
     )
 
 
@@ -107,31 +95,23 @@ def _pairs_long(aligned: DataFrame) -> DataFrame:
     return e.where(F.col("kv.value.e").isNotNull()).select("label", "test_id", F.col("kv.key").alias("key"), F.col("kv.value").alias("s"))
 
 
-def _row_of(kv: Column) -> Column:
-    """One row of the breakdown from an entry of ``field_pairs``."""
-    s = kv["value"]
-    return F.struct(
-        kv["key"].alias("key"),
+def field_breakdown(aligned: DataFrame) -> DataFrame:
+    """J4 + R9 long form: one row per expected key with the predicted value and its credit."""
+    e = _pairs_long(aligned)
+    s = F.col("s")
+    present = s["p"].isNotNull()
+    return e.select(
+        "label",
+        "test_id",
+        "key",
         scoring.rule_from(s["et"]).alias("rule"),
         scoring.py_text(s["e"], s["et"]).alias("expected_value"),
-        F.when(s["p"].isNotNull(), scoring.py_text(s["p"], s["pt"])).alias("predicted_value"),
+        F.when(present, scoring.py_text(s["p"], s["pt"])).alias("predicted_value"),
+        present.alias("present"),
         scoring.pair_credit(s).alias("credit"),
     )
 
 
-def field_breakdown(aligned: DataFrame) -> DataFrame:
-    """J4 + R9 long form: one row per expected key with the predicted value and its credit."""
-    ship_package(aligned.sparkSession)
-    t = _others_parsed(aligned.withColumn("_rows", plain_rows("output", "expected")), F.col("_rows").isNotNull())
-    pairs = F.filter(F.map_entries(scoring.field_pairs("_em", "_pm")), lambda kv: kv["value"]["e"].isNotNull())
-    rows = F.when(F.col("_rows").isNotNull(), F.col("_rows")).otherwise(F.transform(pairs, _row_of))
-    r = F.col("r")
-    return t.select("label", "test_id", F.explode(rows).alias("r")).select(
-        "label", "test_id", r["key"].alias("key"), r["rule"].alias("rule"), r["expected_value"].alias("expected_value"),
-        r["predicted_value"].alias("predicted_value"), r["predicted_value"].isNotNull().alias("present"), r["credit"].alias("credit"),
-    )
-
-
 def list_overlap(aligned: DataFrame) -> DataFrame:
     """Per list-valued expected key, distinct expected / predicted texts and their overlap."""
     e = _pairs_long(aligned).where(F.col("s.et").startswith("ARRAY"))

@@ -25,7 +25,9 @@ _MARK = "\x02"
 def strip_fences(c: Column | str) -> Column:
     """Remove every fence (```json + whitespace, or whitespace + ```), then strip."""
     x = col_(c)
-    return py_strip(F.when(F.contains(x, F.lit("```")), F.regexp_replace(x, FENCE_RE, "")).otherwise(x))
+    bare = F.when(F.contains(x, F.lit("```")), F.regexp_replace(x, FENCE_RE, "")).otherwise(x)
+    # stripping reads a text several times, so one that stands between braces is left alone
+    return F.when(x.startswith("{") & x.endswith("}") & ~F.contains(x, F.lit("```")), x).otherwise(py_strip(bare))
 
 
 def variant_wrap(x: Column) -> Column:
@@ -47,7 +49,8 @@ def numbers_for_names(x: Column) -> Column:
     double range (so both read as infinite); other spellings stay and fail to parse."""
     marked = F.regexp_replace(x, _STRING_OR_NAME, "$1" + _MARK)
     plain = F.replace(F.replace(marked, F.lit('"' + _MARK), F.lit('"')), F.lit(_MARK), F.lit("1e999"))
-    named = (F.instr(x, "NaN") + F.instr(x, "Infinity") > 0) & (F.instr(x, _MARK) == 0)
+    has = lambda part: F.contains(x, F.lit(part))
+    named = (has("NaN") | has("Infinity")) & ~has(_MARK)
     return F.when(named, plain).otherwise(x)
 
 
@@ -79,9 +82,9 @@ def brace_slice(cleaned: Column | str) -> Column:
     start = F.locate("{", x)
     back = F.locate("}", F.reverse(x))
     end = F.length(x) - back + 1
-    return F.when((start > 0) & (back > 0) & (end >= start), F.substring(x, start, end - start + 1)).otherwise(
-        F.lit("")
-    )
+    found = F.when((start > 0) & (back > 0) & (end >= start), F.substring(x, start, end - start + 1))
+    # "{" is not "}", so a text between braces is its own slice
+    return F.when(x.startswith("{") & x.endswith("}"), x).otherwise(F.coalesce(found, F.lit("")))
 
 
 def parse_json_safe(output: Column | str) -> Column:

@@ -89,8 +89,12 @@ def _scalar_text(v: Column, t: Column) -> Column:
 
 def as_number(v: Column, t: Column) -> Column:
     """``float(value)``: numbers and bools convert, text by Python's float grammar, else null."""
-    return F.when(_is_num(t), F.try_variant_get(v, "$", "double")).when(
-        t == "STRING", py_float(F.variant_get(v, "$", "string"))
+    # a value read as its own type costs a fraction of one that is cast
+    return (
+        F.when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), F.try_variant_get(v, "$", "double"))
+        .when(t == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double"))
+        .when(t.isin(*_INTEGRAL), F.try_variant_get(v, "$", "bigint").cast("double"))
+        .when(t == "STRING", py_float(F.variant_get(v, "$", "string")))
     )
 
 
@@ -112,20 +116,41 @@ def _once(x: Column, use) -> Column:
     return F.get(F.transform(F.array(x), use), F.lit(0))
 
 
+def _share(e: Column, p: Column) -> Column:
+    sets = F.struct(e.alias("e"), p.alias("p"))
+    n = lambda c: F.size(c).cast("double")
+    return _once(sets, lambda b: F.when(F.size(b["e"]) > 0, n(F.array_intersect(b["e"], b["p"])) / n(b["e"])).otherwise(F.lit(0.0)))
+
+
 def match_list(e: Column, p: Column, pt: Column) -> Column:
     """|distinct lower texts in both| / |distinct expected|; non-list prediction -> 0."""
-    sets = F.struct(text_set(e).alias("e"), text_set(p).alias("p"))
-    n = lambda c: F.size(c).cast("double")
-    share = _once(sets, lambda b: F.when(F.size(b["e"]) > 0, n(F.array_intersect(b["e"], b["p"])) / n(b["e"])).otherwise(F.lit(0.0)))
-    return F.when(pt.startswith("ARRAY"), share).otherwise(F.lit(0.0))
+    return F.when(pt.startswith("ARRAY"), _share(text_set(e), text_set(p))).otherwise(F.lit(0.0))
+
+
+def match_string_lists(e: Column, p: Column) -> Column:
+    """R6 of two lists that hold strings (at least one each) and nulls only, read without their items' types."""
+    es, ps = F.try_variant_get(e, "$", "array<string>"), F.try_variant_get(p, "$", "array<string>")
+    texts = lambda c: F.array_distinct(F.transform(c, lambda x: F.lower(F.coalesce(x, F.lit("None")))))
+    return F.when(es == ps, F.lit(1.0)).otherwise(_share(texts(es), texts(ps)))
+
+
+def _texts_differ(texts: Column) -> Column:
+    """R7 of the two texts of a struct (e, p) that are not equal as they are."""
+    lowered = lambda b: F.struct(F.lower(b["e"]).alias("e"), F.lower(b["p"]).alias("p"))
+    differ = lambda b: F.when(py_strip(b["p"]) == py_strip(b["e"]), F.lit(1.0)).when(F.contains(b["p"], b["e"]), F.lit(0.5)).otherwise(F.lit(0.0))
+    return _once(lowered(texts), differ)
 
 
 def match_text(e: Column, et: Column, p: Column, pt: Column) -> Column:
     """Equal after lower+strip -> 1; lower(expected) inside lower(pred) -> 0.5; else 0."""
-    lowered = lambda b: F.struct(F.lower(b["e"]).alias("e"), F.lower(b["p"]).alias("p"))
-    differ = lambda b: F.when(py_strip(b["p"]) == py_strip(b["e"]), F.lit(1.0)).when(F.instr(b["p"], b["e"]) > 0, F.lit(0.5)).otherwise(F.lit(0.0))
     texts = F.struct(py_text(e, et).alias("e"), py_text(p, pt).alias("p"))
-    return _once(texts, lambda b: F.when(b["e"] == b["p"], F.lit(1.0)).otherwise(_once(lowered(b), differ)))
+    return _once(texts, lambda b: F.when(b["e"] == b["p"], F.lit(1.0)).otherwise(_texts_differ(b)))
+
+
+def match_strings(e: Column, p: Column) -> Column:
+    """R7 of two strings."""
+    es, ps = F.try_variant_get(e, "$", "string"), F.try_variant_get(p, "$", "string")
+    return F.when(es == ps, F.lit(1.0)).otherwise(_once(F.struct(es.alias("e"), ps.alias("p")), _texts_differ))
 
 
 def rule_from(et: Column) -> Column:
@@ -156,24 +181,29 @@ def field_pairs(exp_map: Column | str, pred_map: Column | str) -> Column:
 def pair_credit(s: Column) -> Column:
     """Credit in [0, 1] of one expected key (``s`` a field_pairs value)."""
     e, et, p, pt = s["e"], s["et"], s["p"], s["pt"]
+    strings, lists = F.lit("STRING"), F.lit("ARRAY<STRING>")
+    # values of one plain type are compared as they are; all others by the general rules
     return (
         F.when(p.isNull(), F.lit(0.0))
-        .when(et == "STRING", match_text(e, et, p, pt))
+        .when(et == strings, F.when(pt == strings, match_strings(e, p)).otherwise(match_text(e, et, p, pt)))
+        .when(et == "VOID", F.when(pt == "VOID", F.lit(1.0)).otherwise(match_text(e, et, p, pt)))
+        .when(et.startswith("ARRAY"), F.when((et == lists) & (pt == lists), match_string_lists(e, p)).otherwise(match_list(e, p, pt)))
         .when(_is_num(et), match_number(e, et, p, pt))
-        .when(et.startswith("ARRAY"), match_list(e, p, pt))
         .otherwise(match_text(e, et, p, pt))
     )
 
 
 def field_accuracy(exp_map: Column | str, pred_map: Column | str) -> Column:
     """Sum of credits / number of expected keys, 3 dp; empty expected -> 0.0."""
-    em = col_(exp_map)
-    pairs = F.map_values(field_pairs(em, pred_map))
+    em, pm = col_(exp_map), col_(pred_map)
+    pairs = F.map_values(field_pairs(em, pm))
     total = F.aggregate(
         pairs, F.lit(0.0), lambda acc, s: acc + F.when(s["e"].isNull(), F.lit(0.0)).otherwise(pair_credit(s))
     )
     n = F.size(em)
-    return F.when(em.isNull() | (n <= 0), F.lit(0.0)).otherwise(round_half_even(total / n.cast("double"), 3))
+    # a prediction without keys earns nothing, so nothing is compared
+    none = em.isNull() | (n <= 0) | pm.isNull() | (F.size(pm) <= 0)
+    return F.when(none, F.lit(0.0)).otherwise(round_half_even(total / n.cast("double"), 3))
 
 
 def empty_list_flag(exp_map: Column | str) -> Column:
@@ -187,9 +217,10 @@ def empty_list_flag(exp_map: Column | str) -> Column:
 
 def format_compliance(output: Column | str) -> Column:
     """1.0 only-braces, 0.5 both braces somewhere, else 0.0 (no validity check)."""
-    s = py_strip(output)
+    x = col_(output)
+    s = py_strip(x)
     return (
-        F.when(s.startswith("{") & s.endswith("}"), F.lit(1.0))
-        .when((F.instr(s, "{") > 0) & (F.instr(s, "}") > 0), F.lit(0.5))
+        F.when(x.startswith("{") & x.endswith("}"), F.lit(1.0))
+        .when(F.contains(x, F.lit("{")) & F.contains(x, F.lit("}")), F.when(s.startswith("{") & s.endswith("}"), F.lit(1.0)).otherwise(F.lit(0.5)))
         .otherwise(F.lit(0.0))
     )

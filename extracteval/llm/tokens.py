@@ -27,6 +27,7 @@ _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 # Byte-level vocabularies write a byte as itself where it prints, else as the next sign from U+0100.
 _PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_SIGNS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTS)}
+_SPACE_SIGN = chr(_BYTE_SIGNS[32])
 CACHE_BYTES = 256 << 20  # memory bound of a worker's cache
 _ENTRY_BYTES = 64  # of a dictionary slot
 
@@ -49,6 +50,11 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
+        if ids is None and piece.isalpha() and piece.isascii():
+            # one token of the pre-split
+            ids = self.owner.letters(self.lead + piece)
+            if len(piece) > 48:
+                return ids
         if ids is None:
             if self.lead and (not piece or piece[-1].isspace()):
                 raise _Unsafe
@@ -95,11 +101,17 @@ class TextEncoder:
         """One piece; plain Latin letters are one pre-split token, so the model alone decides."""
         bare = piece[1:] if piece[:1] == " " else piece
         if _LETTERS(bare):
-            letters = piece if self.spaces else bare.lower()
-            signs = letters.encode().decode("latin-1").translate(_BYTE_SIGNS)
-            return array(self.code, [t.id for t in self.model.tokenize(signs)]).tobytes()
+            return self.letters(piece)
         return self.whole(piece)
 
+    def letters(self, piece: str) -> bytes:
+        """Latin letters, perhaps after one space."""
+        if not self.spaces:
+            piece = piece.lstrip(" ").lower()
+        # ASCII letters are their own signs
+        signs = piece.replace(" ", _SPACE_SIGN) if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_SIGNS)
+        return array(self.code, [t.id for t in self.model.tokenize(signs)]).tobytes()
+
     def part(self, piece: str) -> bytes:
         """A piece of a longer one, looked up where the cache holds its kind."""
         if self.spaces and piece[:1] == " " and len(piece) > 1 and not piece[1].isspace():

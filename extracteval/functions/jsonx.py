@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from extracteval.functions.pytext import WS, col_, float_text, py_strip
+from extracteval.functions.pytext import WS, col_, float_text, needs_strip, py_strip
 
 # Fixed value: the fence pattern, with Python's \s spelled as the full whitespace class.
 FENCE_RE = "```json" + WS + "*|" + WS + "*```"
@@ -25,9 +25,11 @@ _MARK = "\x02"
 def strip_fences(c: Column | str) -> Column:
     """Remove every fence (```json + whitespace, or whitespace + ```), then strip."""
     x = col_(c)
-    bare = F.when(F.contains(x, F.lit("```")), F.regexp_replace(x, FENCE_RE, "")).otherwise(x)
-    # stripping reads a text several times, so one that stands between braces is left alone
-    return F.when(x.startswith("{") & x.endswith("}") & ~F.contains(x, F.lit("```")), x).otherwise(py_strip(bare))
+    return (
+        F.when(F.contains(x, F.lit("```")), py_strip(F.regexp_replace(x, FENCE_RE, "")))
+        .when(needs_strip(x), py_strip(x))
+        .otherwise(x)
+    )
 
 
 def variant_wrap(x: Column) -> Column:
@@ -102,9 +104,10 @@ def parse_json_safe_clean(cleaned: Column | str) -> Column:
     return _once(both, lambda b: F.when(_wrap_ok(b["w"], b["x"]), F.try_variant_get(b["w"], "$[0]", "variant")))
 
 
-def with_parse(df: DataFrame, cleaned: str, valid: str, value: str) -> DataFrame:
+def with_parse(df: DataFrame, cleaned: str, valid: str, value: str, piece: str | None = None) -> DataFrame:
     """R2 and R3 of text without fences as columns ``valid`` and ``value`` from one parse: where
-    the brace slice is the whole text, as it mostly is, its parse also tells the text's validity."""
+    the brace slice is the whole text, as it mostly is, its parse also tells the text's validity.
+    ``piece`` names a further column for the brace slice."""
     t = df.withColumn("_slice", brace_slice(cleaned)).withColumn("_piece", numbers_for_names(F.col("_slice")))
     # a text that is refused costs more than one that is parsed, so what cannot be JSON is not tried
     t = t.withColumn("_wrap", F.when(F.col("_piece") != "", variant_wrap(F.col("_piece"))))
@@ -112,7 +115,8 @@ def with_parse(df: DataFrame, cleaned: str, valid: str, value: str) -> DataFrame
     same = F.col(cleaned) == F.col("_slice")
     ok = F.when(same, F.col("_whole")).when(_may_be_json(F.col(cleaned)), is_valid_json(cleaned)).otherwise(F.lit(False))
     parsed = F.when(F.col("_whole"), F.try_variant_get("_wrap", "$[0]", "variant"))
-    return t.select(*df.columns, ok.alias(valid), parsed.alias(value))
+    more = [F.col("_slice").alias(piece)] if piece else []
+    return t.select(*df.columns, ok.alias(valid), parsed.alias(value), *more)
 
 
 def as_object_map(v: Column | str) -> Column:
@@ -120,6 +124,20 @@ def as_object_map(v: Column | str) -> Column:
     return F.try_variant_get(col_(v), "$", "map<string,variant>")
 
 
+def holds_empty_list(x: Column) -> Column:
+    """False only for JSON texts without an empty list at any depth."""
+    return x.rlike(r"\[[ \t\r\n]*+\]")
+
+
+def is_empty_object(x: Column) -> Column:
+    return x.rlike(r"\A\{[ \t\r\n]*+\}\z")
+
+
+def may_be_infinite(x: Column) -> Column:
+    """False only for JSON texts whose numbers are all finite doubles."""
+    return F.contains(x, F.lit("NaN")) | F.contains(x, F.lit("Infinity")) | x.rlike("[0-9](?:[eE]|[0-9]{299})")
+
+
 # The short escapes of JSON by code point.
 _SHORT = {8: "\\b", 9: "\\t", 10: "\\n", 12: "\\f", 13: "\\r", 34: '\\"', 92: "\\\\"}
 # Stand-ins for an escaped backslash and an escaped quote: control characters, which JSON text never holds.

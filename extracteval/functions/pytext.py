@@ -32,6 +32,18 @@ def py_strip(c: Column | str) -> Column:
     return F.trim(col_(c), F.lit(PY_WHITESPACE))
 
 
+def stands_bare(x: Column, more: str) -> Column:
+    """White space or a sign of ``more`` stands at both ends, or the text is empty."""
+    signs = F.lit(PY_WHITESPACE + more)
+    return F.contains(signs, F.left(x, F.lit(1))) & F.contains(signs, F.substring(x, -1, 1))
+
+
+def needs_strip(x: Column) -> Column:
+    """White space stands at one end, or the text is empty; stripping reads a text several times, this test once."""
+    signs = F.lit(PY_WHITESPACE)
+    return F.contains(signs, F.left(x, F.lit(1))) | F.contains(signs, F.substring(x, -1, 1))
+
+
 def py_split(c: Column | str) -> Column:
     """``str.split()`` with no separator: runs of whitespace, no empty tokens."""
     parts = F.split(col_(c), WS + "+")

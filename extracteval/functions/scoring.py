@@ -6,10 +6,13 @@ row needs no shuffle and no Python.  Value kinds come from ``schema_of_variant``
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from extracteval.functions.pytext import col_, float_text, py_float, py_strip, round_half_even
+from extracteval.functions import jsonx
+from extracteval.functions.pytext import col_, float_text, py_float, py_strip, round_half_even, stands_bare
 
 _INTEGRAL = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 
@@ -178,7 +181,23 @@ def field_pairs(exp_map: Column | str, pred_map: Column | str) -> Column:
     )
 
 
-def pair_credit(s: Column) -> Column:
+def value_pairs(exp_map: Column | str, pred_map: Column | str) -> Column:
+    """field_pairs without the types: MAP<key, STRUCT<e, p>>."""
+    return F.map_zip_with(
+        F.coalesce(col_(exp_map), _empty_map()),
+        F.coalesce(col_(pred_map), _empty_map()),
+        lambda k, e, p: F.struct(e.alias("e"), p.alias("p")),
+    )
+
+
+def earns_all(expected: Column | str) -> Column:
+    """Every key of this JSON object earns its full credit from a prediction of the same text; an empty list and an
+    infinite number do not match themselves."""
+    x = col_(expected)
+    return ~(jsonx.holds_empty_list(x) | jsonx.may_be_infinite(x))
+
+
+def pair_credit(s: Column | Mapping[str, Column]) -> Column:
     """Credit in [0, 1] of one expected key (``s`` a field_pairs value)."""
     e, et, p, pt = s["e"], s["et"], s["p"], s["pt"]
     strings, lists = F.lit("STRING"), F.lit("ARRAY<STRING>")
@@ -219,8 +238,9 @@ def format_compliance(output: Column | str) -> Column:
     """1.0 only-braces, 0.5 both braces somewhere, else 0.0 (no validity check)."""
     x = col_(output)
     s = py_strip(x)
+    between = stands_bare(x, "{}") & s.startswith("{") & s.endswith("}")
     return (
         F.when(x.startswith("{") & x.endswith("}"), F.lit(1.0))
-        .when(F.contains(x, F.lit("{")) & F.contains(x, F.lit("}")), F.when(s.startswith("{") & s.endswith("}"), F.lit(1.0)).otherwise(F.lit(0.5)))
+        .when(F.contains(x, F.lit("{")) & F.contains(x, F.lit("}")), F.when(between, F.lit(1.0)).otherwise(F.lit(0.5)))
         .otherwise(F.lit(0.0))
     )

@@ -2,8 +2,8 @@
 
 One ``select`` computes every per-output metric; ``groupBy(label)`` turns them into summaries
 with partial (map-side) aggregation, so a label holding most rows costs one partial row per
-task.  Means of already-rounded values are summed as DECIMAL so the result does not depend on
-partitioning.
+task.  Means of already-rounded values are summed as whole units of their last digit, so the result
+does not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -67,38 +67,59 @@ def alignment_mismatch(outputs: DataFrame, cases: DataFrame, labels: Sequence[st
     return rows
 
 
-def _with_parsed(df: DataFrame, output: str = "output", expected: str = "expected") -> DataFrame:
-    t = df.withColumn("_clean", jsonx.strip_fences(output))
-    t = jsonx.with_parse(t, "_clean", "_valid", "_value")
-    t = t.withColumn("_pm", jsonx.as_object_map("_value"))
-    return t.withColumn("_em", jsonx.as_object_map(F.try_parse_json(jsonx.numbers_for_names(F.col(expected)))))
+def _with_parsed(df: DataFrame) -> DataFrame:
+    """Adds ``_valid`` and ``_value`` of the output, ``_same`` (its object is the expected text as it stands, so neither
+    is parsed nor compared again) and ``_full`` (and every key of it earns full credit)."""
+    t = df.withColumn("_clean", jsonx.strip_fences("output"))
+    t = jsonx.with_parse(t, "_clean", "_valid", "_value", "_slice")
+    t = t.withColumn("_same", F.coalesce(F.col("_value").isNotNull() & (F.col("_slice") == F.col("expected")), F.lit(False)))
+    return t.withColumn("_full", F.when(F.col("_same"), scoring.earns_all("expected")).otherwise(F.lit(False)))
+
+
+def _expected_value() -> Column:
+    return F.when(F.col("_same"), F.col("_value")).otherwise(F.try_parse_json(jsonx.numbers_for_names(F.col("expected"))))
 
 
 def score_outputs(aligned: DataFrame) -> DataFrame:
     """A1: label, test_id, input_preview, valid_json, field_accuracy, format_compliance, output_preview."""
-    t = _with_parsed(aligned)
+    t = _with_parsed(aligned).withColumn("_pm", F.when(~F.col("_full"), jsonx.as_object_map("_value")))
+    # the expected object is read only where it is compared or may hold an empty list
+    open_list = jsonx.holds_empty_list(F.col("expected"))
+    t = t.withColumn("_em", F.when((F.size("_pm") > 0) | open_list, jsonx.as_object_map(_expected_value())))
+    full = F.when(jsonx.is_empty_object(F.col("expected")), F.lit(0.0)).otherwise(F.lit(1.0))
     return t.select(
         "label",
         "test_id",
         F.concat(F.left("input", F.lit(60)), F.lit("...")).alias("input_preview"),
         F.col("_valid").alias("valid_json"),
-        scoring.field_accuracy("_em", "_pm").alias("field_accuracy"),
+        F.when(F.col("_full"), full).otherwise(scoring.field_accuracy("_em", "_pm")).alias("field_accuracy"),
         scoring.format_compliance("output").alias("format_compliance"),
         py_strip(F.left("output", F.lit(100))).alias("output_preview"),
-        scoring.empty_list_flag("_em").alias("empty_expected_list"),
+        F.when(open_list, scoring.empty_list_flag("_em")).otherwise(F.lit(False)).alias("empty_expected_list"),
     )
 
 
 def _pairs_long(aligned: DataFrame) -> DataFrame:
-    t = _with_parsed(aligned)
-    e = t.select("label", "test_id", F.explode(F.map_entries(scoring.field_pairs("_em", "_pm"))).alias("kv"))
-    return e.where(F.col("kv.value.e").isNotNull()).select("label", "test_id", F.col("kv.key").alias("key"), F.col("kv.value").alias("s"))
+    """One row per expected key: its value ``e`` and the predicted ``p`` with their types ``et`` and ``pt``, and ``_full``."""
+    t = _with_parsed(aligned).withColumn("_em", jsonx.as_object_map(_expected_value()))
+    t = t.withColumn("_pm", F.when(~F.col("_same"), jsonx.as_object_map("_value")))
+    e = t.select("label", "test_id", "_same", "_full", F.explode(scoring.value_pairs("_em", "_pm")).alias("key", "s"))
+    e = e.where(F.col("s.e").isNotNull())
+    same, full = F.col("_same"), F.col("_full")
+    e = e.select("label", "test_id", "_full", "key", F.col("s.e").alias("e"), F.when(same, F.col("s.e")).otherwise(F.col("s.p")).alias("p"))
+    # types are read outside the lambda, where they are compiled
+    e = e.withColumn("et", F.schema_of_variant("e"))
+    return e.withColumn("pt", F.when(full, F.col("et")).otherwise(F.schema_of_variant("p")))
+
+
+def _pair() -> dict[str, Column]:
+    return {c: F.col(c) for c in ("e", "et", "p", "pt")}
 
 
 def field_breakdown(aligned: DataFrame) -> DataFrame:
     """J4 + R9 long form: one row per expected key with the predicted value and its credit."""
     e = _pairs_long(aligned)
-    s = F.col("s")
+    s = _pair()
     present = s["p"].isNotNull()
     return e.select(
         "label",
@@ -108,14 +129,14 @@ def field_breakdown(aligned: DataFrame) -> DataFrame:
         scoring.py_text(s["e"], s["et"]).alias("expected_value"),
         F.when(present, scoring.py_text(s["p"], s["pt"])).alias("predicted_value"),
         present.alias("present"),
-        scoring.pair_credit(s).alias("credit"),
+        F.when(F.col("_full"), F.lit(1.0)).otherwise(scoring.pair_credit(s)).alias("credit"),
     )
 
 
 def list_overlap(aligned: DataFrame) -> DataFrame:
     """Per list-valued expected key, distinct expected / predicted texts and their overlap."""
-    e = _pairs_long(aligned).where(F.col("s.et").startswith("ARRAY"))
-    s = F.col("s")
+    e = _pairs_long(aligned).where(F.col("et").startswith("ARRAY"))
+    s = _pair()
     es = scoring.text_set(s["e"])
     ps = F.when(s["pt"].startswith("ARRAY"), scoring.text_set(s["p"]))
     return e.select(
@@ -129,8 +150,9 @@ def list_overlap(aligned: DataFrame) -> DataFrame:
 
 
 def _mean_of_rounded(c: str, scale: int = 3) -> Column:
-    exact = F.sum(F.col(c).cast(f"decimal({scale + 1},{scale})"))
-    return round_half_even(exact.cast("double") / F.count(F.lit(1)).cast("double"), 3)
+    # whole thousandths add up exactly in any order
+    units = F.sum(F.rint(F.col(c) * F.lit(10.0**scale)).cast("bigint"))
+    return round_half_even(units.cast("double") / F.lit(10.0**scale) / F.count(F.lit(1)).cast("double"), 3)
 
 
 def evaluate_outputs(scored: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ bounded number of frequent tokens is broadcast, the others are shuffled once a t
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from extracteval.functions.pytext import col_, py_split, py_strip
+from extracteval.functions.pytext import col_, py_strip
 from extracteval.operators.prompts import pair_text
 from extracteval.operators.scan import ordinal_within
 from extracteval.session import ship_package
@@ -28,26 +29,47 @@ FIRST_ID = 2
 MAX_LEN = 384
 HEAD = 65_536  # most frequent tokens that are broadcast
 HEAD_LENGTH = 64  # code points of a token that is broadcast
+SHARED = 64  # rows that are looked up together
 
 
 def build_vocab(texts: DataFrame, text_col: str = "text", size: int | None = None, copies: str | None = None) -> DataFrame:
     """Token -> token_id by rank of (count desc, digest, token); ids start after pad and unk.
 
-    Ranks come from a levelled scan: by count, then by the digest's five leading digits (at most 1,048,576
-    a count), so the many tokens that occur once are spread over all tasks.  ``size`` keeps the first so many ids;
-    ``copies`` names a column that says how often a row counts.
+    Tokens are counted in Arrow batches first.  Ranks come from a levelled scan: by count, then by the digest's five leading
+    digits (at most 1,048,576 a count), so the many tokens that occur once are spread over all tasks.  ``size`` keeps
+    the first so many ids; ``copies`` names a column that says how often a row counts.
     """
-    toks = texts.select(F.explode(py_split(text_col)).alias("token"), F.col(copies) if copies else F.lit(1).alias("_one"))
-    counts = toks.groupBy("token").agg(F.sum(copies or "_one").alias("n"))
-    keyed = counts.select("token", "n", (-F.col("n")).alias("_less"), F.md5("token").alias("_key"))
-    ranked = ordinal_within(keyed, [], ["_less", "_key", "token"], "_rank", levels=[F.col("_less"), F.left("_key", F.lit(5))])
-    vocab = ranked.select("token", (F.col("_rank") + FIRST_ID - 1).alias("token_id"), F.col("n").cast("bigint").alias("n"))
+    ship_package(texts.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, sizes = _words(batch.column(0))
+            coded = flat.dictionary_encode()
+            each = np.repeat(batch.column(1).to_numpy(), sizes) if copies else None
+            n = np.bincount(coded.indices.to_numpy(), each, len(coded.dictionary))
+            yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(n.astype(np.int64))], ["token", "n"])
+
+    toks = texts.select(F.make_valid_utf8(text_col), *[copies][: bool(copies)]).mapInArrow(count, "token string, n bigint")
+    counts = toks.groupBy("token").agg(F.sum("n").alias("n"))
+    digest = F.md5("token")
+    keyed = counts.select("token", "n", (-F.col("n")).alias("_less"), F.unhex(digest).alias("_key"))
+    ranked = ordinal_within(keyed, [], ["_less", "_key", "token"], "_rank", levels=[F.col("_less"), F.left(digest, F.lit(5))])
+    vocab = ranked.select("token", (F.col("_rank") + FIRST_ID - 1).alias("token_id"), "n")
     return vocab if size is None else vocab.where(F.col("token_id") < size + FIRST_ID)
 
 
 def save_vocab(vocab: DataFrame, path: str) -> DataFrame:
-    """Write a vocabulary to a new folder and read it back, as a tokenizer is built once and then loaded."""
-    vocab.write.parquet(path)
+    """Write a vocabulary to a new folder and read it back, as a tokenizer is built once and then loaded.
+
+    What was shuffled for it goes when it is written, not when the driver next collects its garbage.
+    """
+    conf, name = vocab.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        vocab.write.parquet(path)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
     return vocab.sparkSession.read.schema(vocab.schema).parquet(path)
 
 
@@ -67,47 +89,12 @@ def spread_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return keyed.groupBy("_ra", "_rb").agg(*same, F.count(F.lit(1)).alias("_copies"))
 
 
-def _look_up(often: DataFrame, key: str, value: str):
-    """Functions over arrays of ``key`` for a bounded table: each element's ``value`` (null where it has none), the
-    elements without one (each once a row, with its places), and the values found elsewhere put in those places."""
-    ship_package(often.sparkSession)
-    head = often.select(key, value).toArrow().combine_chunks()  # a few megabytes at most
-    keys, values = (pa.concat_arrays(head.column(c).chunks) if head.num_rows else pa.array([], head.schema.field(c).type) for c in (key, value))
-    kinds = {"token": T.StringType(), "token_id": T.LongType()}
-    rest = T.ArrayType(T.StructType([T.StructField(key, kinds[key]), T.StructField("places", T.ArrayType(T.IntegerType()))]))
-
-    @F.arrow_udf(T.ArrayType(kinds[value]))
-    def near(rows: pa.Array) -> pa.Array:
-        flat = rows.flatten()
-        return pa.ListArray.from_arrays(_offsets(_lengths(rows)), values.take(pc.index_in(flat, value_set=keys)))
-
-    @F.arrow_udf(rest)
-    def missing(rows: pa.Array) -> pa.Array:
-        flat, sizes = rows.flatten(), _lengths(rows)
-        wanted = pc.is_valid(flat) if key == "token" else pc.fill_null(pc.greater_equal(flat, FIRST_ID), False)
-        lost = pc.and_(wanted, pc.is_null(pc.index_in(flat, value_set=keys))).to_numpy(zero_copy_only=False)
-        coded = flat.filter(pa.array(lost)).dictionary_encode()
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(len(sizes)), sizes)[lost]
-        place = (np.arange(len(flat)) - np.repeat(_offsets(sizes)[:-1], sizes))[lost]
-        order = np.lexsort((code, row))  # stable, so places ascend
-        row, place, code = row[order], place[order], code[order]
-        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (code[1:] != code[:-1])][: len(row)])
-        places = pa.ListArray.from_arrays(pa.array(np.r_[first, len(row)], pa.int32()), pa.array(place, pa.int32()))
-        groups = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(code[first])), places], [key, "places"])
-        return pa.ListArray.from_arrays(_offsets(np.bincount(row[first], minlength=len(sizes))), groups)
-
-    @F.arrow_udf(T.ArrayType(kinds[value]))
-    def put(rows: pa.Array, far: pa.Array) -> pa.Array:
-        flat, starts, found = rows.flatten(), _offsets(_lengths(rows)), far.flatten()
-        where, late = found.field("places"), found.field("value")
-        sizes = _lengths(where)
-        target = np.repeat(np.repeat(starts[:-1], _lengths(far)), sizes) + where.flatten().to_numpy(zero_copy_only=False)
-        source = np.arange(len(flat))
-        source[target] = len(flat) + np.repeat(np.arange(len(late)), sizes)
-        return pa.ListArray.from_arrays(starts, pa.concat_arrays([flat, late.cast(flat.type)]).take(pa.array(source)))
-
-    return near, missing, put
+def together(df: DataFrame, by: Sequence[str]) -> list[str] | None:
+    """``by`` if each row has it and at most ``SHARED`` rows share one, so that they can be looked up together; else None."""
+    by = list(by)
+    rows = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    other = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in by], F.col("_rows") > SHARED)
+    return None if rows.where(other).limit(1).count() else by
 
 
 def _lengths(rows: pa.Array) -> np.ndarray:
@@ -118,22 +105,85 @@ def _offsets(sizes: np.ndarray) -> np.ndarray:
     return np.r_[0, np.cumsum(sizes)].astype(np.int32)
 
 
-def _translate(texts: DataFrame, keys: Sequence[str], elements: Column, vocab: DataFrame, key: str, value: str, head: int) -> DataFrame:
-    """keys, ``_copies`` and ``_found``, the ``value`` of every element of an array of ``key`` (null: none).
+def _only(flat: pa.Array, sizes: np.ndarray, kept: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The elements to keep, and how many of them each row has."""
+    if kept.all():
+        return flat, sizes
+    return flat.filter(pa.array(kept)), np.bincount(np.repeat(np.arange(len(sizes)), sizes)[kept], minlength=len(sizes))
+
+
+def _words(texts: pa.Array, limit: int | None = None) -> tuple[pa.Array, np.ndarray]:
+    """``py_split`` of a batch: its words one after another, and how many each text has (null: none)."""
+    parts = pc.utf8_split_whitespace(texts)  # the white space of Python; empty words at both ends
+    flat = parts.flatten()
+    flat, sizes = _only(flat, _lengths(parts), pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False))
+    if limit is None:
+        return flat, sizes
+    return _only(flat, sizes, np.arange(len(flat)) - np.repeat(_offsets(sizes)[:-1], sizes) < limit)
+
+
+def _known_ids(rows: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The ids of a batch without special ones, and how many each row has."""
+    flat = rows.flatten()
+    return _only(flat, _lengths(rows), pc.fill_null(pc.greater_equal(flat, FIRST_ID), False).to_numpy(zero_copy_only=False))
+
+
+def _as_ids(found: pa.Array, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(_offsets(sizes), pc.fill_null(found, UNK_ID))
+
+
+def _as_text(found: pa.Array, sizes: np.ndarray) -> pa.Array:
+    flat, sizes = _only(found, sizes, pc.is_valid(found).to_numpy(zero_copy_only=False))
+    return pc.binary_join(pa.ListArray.from_arrays(_offsets(sizes), flat), " ")
 
-    ``texts`` comes from ``spread_rows``.  The ``head`` most frequent tokens (no longer than ``HEAD_LENGTH``) are looked
-    up where the row is; all others are shuffled, each once a row with its places.
+
+def _translate(
+    rows: DataFrame, asking: DataFrame, by: Sequence[str], keep: Sequence[str], column: str, vocab: DataFrame, key: str, value: str, head: int,
+    elements: Callable, result: Callable, kind: T.DataType, out: str,
+) -> DataFrame:
+    """``keep`` and ``out``: ``result`` of the ``value`` of all ``elements`` (a ``key`` each) of ``column``.
+
+    The ``head`` most frequent tokens (no longer than ``HEAD_LENGTH``) are looked up where the row is. Of all others
+    those that rows with equal ``by`` have are shuffled to the vocabulary, each once a batch, and come back as one list.
+    ``by`` is never null and tells small groups apart.  ``rows`` stay where they are if they are laid out by it.
+    ``asking`` has ``by`` and ``column`` of the same rows; ``rows`` itself where both are read from one exchange.
     """
-    row = ["_ra", "_rb"]
+    ship_package(rows.sparkSession)
     often = (F.col("token_id") < head + FIRST_ID) & (F.length("token") <= HEAD_LENGTH)
-    near, missing, put = _look_up(vocab.where(often), key, value)
-    rows = texts.select(*row, *keys, "_copies", elements.alias("_elements"))
-    tail = rows.select(*row, F.explode(missing("_elements")).alias("m")).select(*row, F.col("m")[key].alias(key), F.col("m.places").alias("places"))
-    found = tail.join(vocab.where(~often).select(key, value), key)
-    far = found.groupBy(*row).agg(F.collect_list(F.struct("places", F.col(value).alias("value"))).alias("_far"))
-    here = rows.select(*row, *keys, "_copies", near("_elements").alias("_near"))
-    joined = here.join(far, row, "left").withColumn("_done", F.when(F.col("_far").isNotNull(), put("_near", "_far")))
-    return joined.select(*keys, "_copies", F.coalesce("_done", "_near").alias("_found"))
+    table = vocab.where(often).select(key, value).toArrow().combine_chunks()  # a few megabytes at most
+    keys, values = (pa.concat_arrays(table.column(c).chunks) if table.num_rows else pa.array([], table.schema.field(c).type) for c in (key, value))
+    at, groups = asking.columns.index(column), [asking.columns.index(c) for c in by]
+
+    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, sizes = elements(batch.column(at))
+            coded = flat.dictionary_encode()
+            code = coded.indices.to_numpy()
+            lost = pc.is_null(pc.index_in(coded.dictionary, value_set=keys)).to_numpy(zero_copy_only=False)[code]
+            row, code = np.repeat(np.arange(len(sizes)), sizes)[lost], code[lost]
+            group = np.zeros(len(sizes), np.int64)
+            for g in groups:
+                part = batch.column(g).dictionary_encode()
+                group = np.unique(group * len(part.dictionary) + part.indices.to_numpy(), return_inverse=True)[1]
+            first = np.unique(group[row] * len(coded.dictionary) + code, return_index=True)[1]
+            found = [batch.column(g).take(pa.array(row[first])) for g in groups]
+            yield pa.RecordBatch.from_arrays([*found, coded.dictionary.take(pa.array(code[first]))], [*by, key])
+
+    @F.arrow_udf(kind)
+    def look_up(batch: pa.Array, far: pa.Array) -> pa.Array:
+        flat, sizes = elements(batch)
+        coded, late = flat.dictionary_encode(), far.flatten()
+        source = pc.fill_null(pc.index_in(coded.dictionary, value_set=keys), -1).to_numpy().copy()
+        code = pc.fill_null(pc.index_in(late.field(key), value_set=coded.dictionary), -1).to_numpy()
+        source[code[code >= 0]] = len(values) + np.flatnonzero(code >= 0)
+        found = pa.concat_arrays([values, late.field(value).cast(values.type)]).take(pa.array(source, mask=source < 0))
+        return result(found.take(coded.indices), sizes)
+
+    schema = T.StructType([*(rows.schema[c] for c in by), T.StructField(key, T.StringType() if key == "token" else T.LongType())])
+    found = asking.mapInArrow(missing, schema).join(vocab.where(~often).select(key, value), key)
+    # dealt out as plain rows, which are smaller than lists of one
+    far = found.repartition(*by).groupBy(*by).agg(F.collect_list(F.struct(key, value)).alias("_far"))
+    return rows.join(far, list(by), "left").select(*keep, look_up(column, "_far").alias(out))
 
 
 def _copied(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -142,39 +192,55 @@ def _copied(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def tokenize_ids(
-    df: DataFrame, keys: Sequence[str], text_col: str, vocab: DataFrame, out: str = "ids", limit: int | None = None, head: int = HEAD
+    df: DataFrame, keys: Sequence[str], text_col: str, vocab: DataFrame, out: str = "ids", limit: int | None = None, head: int = HEAD,
+    by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keys + ``out`` ARRAY<BIGINT> of token ids in text order, one row for each row of ``df``.
 
     Unknown tokens get UNK_ID; ``limit`` keeps a text's first tokens and looks up no other.  The ``head``
     most frequent tokens (no longer than ``HEAD_LENGTH``, so a few megabytes at most) go to all tasks
-    and are looked up where the text is, in Arrow batches; only other tokens are shuffled, each once a text with its places.
+    and are looked up where the text is, in Arrow batches; only other tokens are shuffled, each once a text.
+
+    Rows that share ``by`` (some of ``keys``, as ``together`` returned them) are looked up together: a token that several of
+    them have is shuffled once, and texts are not shuffled at all where ``df`` is laid out by it.
     """
     keys = list(keys)
-    words = py_split(text_col)
-    words = words if limit is None else F.slice(words, 1, limit)
+    words = partial(_words, limit=limit)
+    how = (vocab, "token", "token_id", head, words, _as_ids, T.ArrayType(T.LongType()), out)
+    valid = F.make_valid_utf8(text_col).alias("_text")
+    if by:
+        return _translate(df.select(*keys, valid), df.select(*by, valid), by, keys, "_text", *how)
     texts = df if {"_ra", "_rb"} <= set(df.columns) else spread_rows(df, [*keys, text_col])
-    t = _translate(texts, keys, words, vocab, "token", "token_id", head)
-    ids = F.transform("_found", lambda i: F.coalesce(i, F.lit(UNK_ID).cast("bigint")))
-    return _copied(t.select(*keys, "_copies", ids.alias(out)), [*keys, out])
+    row = ["_ra", "_rb"]
+    rows = texts.select(*row, *keys, "_copies", valid)
+    return _copied(_translate(rows, rows, row, [*keys, "_copies"], "_text", *how), [*keys, out])
 
 
-def decode_ids(df: DataFrame, keys: Sequence[str], ids_col: str, vocab: DataFrame, out: str = "text", head: int = HEAD) -> DataFrame:
+def decode_ids(
+    df: DataFrame, keys: Sequence[str], ids_col: str, vocab: DataFrame, out: str = "text", head: int = HEAD, by: Sequence[str] | None = None
+) -> DataFrame:
     """Ids back to text (tokens joined by a space), special ids (below FIRST_ID) and unknown ones skipped.
 
     The same table the other way round: frequent ids where the row is, the rest by a shuffle of each
-    row's different ids.
+    row's different ids (of the different ids of the rows that share ``by``, see ``tokenize_ids``).
     """
     keys = list(keys)
-    ids = F.transform(ids_col, lambda i: F.when(i >= FIRST_ID, i.cast("bigint")))
-    t = _translate(spread_rows(df, [*keys, ids_col]), keys, ids, vocab, "token_id", "token", head)
-    return _copied(t.select(*keys, "_copies", F.array_join("_found", " ").alias(out)), [*keys, out])
+    ids = F.col(ids_col).cast("array<bigint>").alias("_ids")
+    how = (vocab, "token_id", "token", head, _known_ids, _as_text, T.StringType(), out)
+    if by:  # ids come out of Arrow batches, so their layout is not known
+        rows = df.select(*keys, ids).repartition(*by)
+        return _translate(rows, rows, by, keys, "_ids", *how)
+    row = ["_ra", "_rb"]
+    rows = spread_rows(df, [*keys, ids_col]).select(*row, *keys, "_copies", ids)
+    return _copied(_translate(rows, rows, row, [*keys, "_copies"], "_ids", *how), [*keys, out])
 
 
-def decode_new_ids(df: DataFrame, keys: Sequence[str], n_prompt: str, vocab: DataFrame, ids_col: str = "ids", out: str = "text") -> DataFrame:
+def decode_new_ids(
+    df: DataFrame, keys: Sequence[str], n_prompt: str, vocab: DataFrame, ids_col: str = "ids", out: str = "text", by: Sequence[str] | None = None
+) -> DataFrame:
     """P6 on ids: the ids after the first ``n_prompt``, decoded (special ids skipped) and stripped."""
     new = F.slice(ids_col, F.col(n_prompt) + 1, F.greatest(F.size(ids_col) - F.col(n_prompt), F.lit(0)))
-    text = decode_ids(df.select(*keys, new.alias("_new")), keys, "_new", vocab, out)
+    text = decode_ids(df.select(*keys, new.alias("_new")), keys, "_new", vocab, out, by=by)
     return text.withColumn(out, py_strip(out))
 
 

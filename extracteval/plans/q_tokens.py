@@ -174,12 +174,14 @@ def q_t3_stack(spark, sf):
 def q_p6_ids(spark, sf):
     """P6 on token ids: each generated sequence encoded, cut after its prompt's length and decoded."""
     cases = X.x_cases(spark, sf)
-    al = X.x_outputs(spark, sf, cases).select("label", "test_id", "output").join(cases.select("test_id", "input"), "test_id")
     prompt = prompts.inference_prompt("input")
-    whole = al.select("label", "test_id", F.size(py_split(prompt)).alias("n_prompt"), F.concat(prompt, F.col("output")).alias("text"))
+    asked = cases.select("test_id", "input").repartition("test_id").withColumn("n_prompt", F.size(py_split(prompt)))
+    al = X.x_outputs(spark, sf, cases).select("label", "test_id", "output").join(asked, "test_id")
+    whole = al.select("label", "test_id", "n_prompt", F.concat(prompt, F.col("output")).alias("text"))
+    by = encode.together(whole, ["test_id"])
     vocab = _saved_vocab(spark, whole)
-    ids = encode.tokenize_ids(whole, ["label", "test_id", "n_prompt"], "text", vocab)
-    return encode.decode_new_ids(ids, ["label", "test_id"], "n_prompt", vocab)
+    ids = encode.tokenize_ids(whole, ["label", "test_id", "n_prompt"], "text", vocab, by=by)
+    return encode.decode_new_ids(ids, ["label", "test_id"], "n_prompt", vocab, by=by)
 
 
 LOGP = S.with_(S.X_LOGITS,

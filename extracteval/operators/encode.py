@@ -49,7 +49,7 @@ def build_vocab(texts: DataFrame, text_col: str = "text", size: int | None = Non
             n = np.bincount(coded.indices.to_numpy(), each, len(coded.dictionary))
             yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(n.astype(np.int64))], ["token", "n"])
 
-    toks = texts.select(F.make_valid_utf8(text_col), *[copies][: bool(copies)]).mapInArrow(count, "token string, n bigint")
+    toks = texts.select(F.make_valid_utf8(text_col), *([copies] if copies else [])).mapInArrow(count, "token string, n bigint")
     counts = toks.groupBy("token").agg(F.sum("n").alias("n"))
     digest = F.md5("token")
     keyed = counts.select("token", "n", (-F.col("n")).alias("_less"), F.unhex(digest).alias("_key"))
@@ -69,7 +69,7 @@ def save_vocab(vocab: DataFrame, path: str) -> DataFrame:
     try:
         vocab.write.parquet(path)
     finally:
-        conf.unset(name) if before is None else conf.set(name, before)
+        conf.set(name, before or "false")
     return vocab.sparkSession.read.schema(vocab.schema).parquet(path)
 
 
